@@ -47,14 +47,15 @@ def sums_before(
     order: str,
     sums: Mapping[str, Column],
     prefixes: Sequence[int],
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """``rows`` with, per name in ``sums``, the sum over the rows before it in ``order`` within ``by``.
 
-    Any ``prefixes`` give the same result; they only decide how the work is spread. Columns in ``by``
-    must not be null.
+    Any ``prefixes`` give the same result; they only decide how the work is spread. Rows equal in
+    ``order`` come in the order of ``ties``. Columns in ``by`` must not be null.
     """
     if not prefixes:
-        return _window_sums(rows, list(by) or [F.lit(0)], order, sums)
+        return _window_sums(rows, list(by) or [F.lit(0)], [order, *ties], sums)
     *shorter, longest = prefixes
     bucket = f"_bucket_{longest}"
     rows = rows.withColumn(bucket, F.substring(F.coalesce(F.col(order), F.lit("")), 1, longest))
@@ -66,14 +67,14 @@ def sums_before(
     ).select(*keys, *[f"_start_{name}" for name in sums])
 
     # The window comes first: its sort order already is what a sort-merge join with `starts` needs.
-    inside = _window_sums(rows, keys, order, sums).join(starts, keys, "left")
+    inside = _window_sums(rows, keys, [order, *ties], sums).join(starts, keys, "left")
     return inside.withColumns(
         {name: F.col(name) + F.coalesce(F.col(f"_start_{name}"), F.lit(0)) for name in sums}
     ).drop(bucket, *[f"_start_{name}" for name in sums])
 
 
-def _window_sums(rows: DataFrame, keys: list, order: str, sums: Mapping[str, Column]) -> DataFrame:
-    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def _window_sums(rows: DataFrame, keys: list, order: list[str], sums: Mapping[str, Column]) -> DataFrame:
+    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumns({name: F.coalesce(F.sum(value).over(before), F.lit(0)) for name, value in sums.items()})
 
 
@@ -84,6 +85,7 @@ def with_position(
     also: Mapping[str, Column] | None = None,
     prefixes: Sequence[int] | None = None,
     into: str = "position",
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """``rows`` with their 0-based position in ``order`` within ``by``, and further running sums.
 
@@ -92,10 +94,14 @@ def with_position(
     """
     if prefixes is None:
         prefixes = bucket_prefixes(rows, order)
-    return sums_before(rows, by, order, {into: F.lit(1).cast("bigint"), **(also or {})}, prefixes)
+    return sums_before(rows, by, order, {into: F.lit(1).cast("bigint"), **(also or {})}, prefixes, ties)
 
 
 def rank_by_sequence(records: DataFrame, order: str = "sequence_number", into: str = "sequence_rank") -> DataFrame:
-    """The place of every record in the string order of all sequence numbers, from 1."""
-    ranked = with_position(records, (), order, into=into)
+    """The place of every record in the string order of all sequence numbers, from 1.
+
+    Records of different shards may carry the same number; they come in the order of their shards.
+    """
+    ties = [c for c in ("shard_id",) if c in records.columns]
+    ranked = with_position(records, (), order, into=into, ties=ties)
     return ranked.withColumn(into, F.col(into) + 1)

@@ -1,0 +1,91 @@
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from shardstream.model import COMMITTABLE_COLUMNS, RECORD_COLUMNS, TRIM_HORIZON
+from shardstream.operators import fetch, lag, positions
+from shardstream.operators.sets import process_record_sets
+from tests.helpers import records, rows
+
+
+def test_sets_and_back_is_the_identity(log):
+    sets = fetch.record_sets(fetch.with_fetch(log, 50))
+    back = fetch.flatten_record_sets(sets)
+    assert rows(back, *RECORD_COLUMNS) == rows(log, *RECORD_COLUMNS)
+
+
+def test_no_set_is_larger_than_allowed_and_only_the_last_is_smaller(log):
+    sizes = fetch.fetch_summary(fetch.with_fetch(log, 50)).collect()
+    last = {}
+    for r in sizes:
+        last[r.shard_id] = max(last.get(r.shard_id, 0), r.fetch_no)
+    assert all(r.records == 50 or r.fetch_no == last[r.shard_id] for r in sizes)
+    assert all(0 < r.records <= 50 for r in sizes)
+
+
+def test_records_keep_their_order_in_the_set(spark):
+    made = records(spark, ("a", "10", "x"), ("a", "1", "y"), ("a", "100", "z"), ("a", "0", "w"))
+    flat = fetch.flatten_record_sets(fetch.record_sets(fetch.with_fetch(made, 3)))
+    assert rows(flat, "fetch_no", "pos", "sequence_number") == [(0, 0, "0"), (0, 1, "1"), (0, 2, "10"), (1, 0, "100")]
+
+
+def test_max_records_must_be_positive(log):
+    with pytest.raises(ValueError):
+        fetch.with_fetch(log, 0)
+
+
+def test_envelope_is_constant_over_a_set_and_starts_before_it(spark, log):
+    progress = positions.shard_tips(log.where("sequence_number < '00000000000000000300'"))
+    rest = positions.resume(log, progress.where("shard_id <> 'shard-2'"))
+    rows_ = lag.committable(fetch.with_fetch(rest, 40), positions.shard_tips(log), progress.where("shard_id <> 'shard-2'"))
+    assert set(COMMITTABLE_COLUMNS) <= set(rows_.columns)
+    per_set = rows_.groupBy("shard_id", "fetch_no").agg(
+        F.countDistinct("starting_sequence_number", "millis_behind_latest").alias("n"),
+        F.min("sequence_number").alias("first"),
+        F.max("starting_sequence_number").alias("start"),
+        F.min("millis_behind_latest").alias("lag"),
+    )
+    for r in per_set.collect():
+        assert r.n == 1
+        assert r.lag >= 0
+        assert r.start == TRIM_HORIZON if r.shard_id == "shard-2" else r.start < r.first
+
+
+def test_last_set_of_a_shard_is_at_the_tip(log):
+    rows_ = lag.committable(fetch.with_fetch(log, 100))
+    lags = rows_.groupBy("shard_id").agg(F.min("millis_behind_latest"), F.max("millis_behind_latest")).collect()
+    assert all(r[1] == 0 and r[2] > 0 for r in lags)
+
+
+def test_equal_arrivals_and_whole_milliseconds(spark):
+    t0 = datetime(2024, 1, 1)
+    made = spark.createDataFrame(
+        [("a", t0, t0), ("b", t0, t0 + timedelta(microseconds=1999)), ("c", t0, t0 + timedelta(seconds=2))],
+        "k string, entry timestamp, leave timestamp",
+    )
+    got = rows(made.select("k", fetch.time_in_cache_ms("entry", "leave").alias("ms"), lag.behind_ms("entry", "leave")))
+    assert got == [("a", 0, 0), ("b", 1, 1), ("c", 2000, 2000)]
+
+
+def test_time_in_cache_of_a_set_that_is_read_now(log):
+    timed = fetch.with_time_in_cache(fetch.record_sets(fetch.with_fetch(log, 500)))
+    assert timed.where("time_spent_in_cache_ms > 0").count() == timed.count()
+
+
+def test_strip_gives_bare_records(log):
+    bare = fetch.strip_envelope(lag.committable(fetch.with_fetch(log, 100)))
+    assert bare.columns == list(RECORD_COLUMNS)
+    assert rows(bare) == rows(log, *RECORD_COLUMNS)
+
+
+def test_user_function_gets_each_set_in_order(log):
+    def first_and_last(part):
+        out = part.iloc[[0]][["shard_id", "fetch_no"]].copy()
+        out["n"], out["sorted"] = len(part), bool(part["sequence_number"].is_monotonic_increasing)
+        return out
+
+    schema = "shard_id string, fetch_no bigint, n bigint, sorted boolean"
+    got = process_record_sets(fetch.with_fetch(log, 60).repartition(5), first_and_last, schema).collect()
+    assert all(r.sorted and r.n <= 60 for r in got)
+    assert sum(r.n for r in got) == log.count()
