@@ -1,0 +1,47 @@
+import pytest
+from pyspark.sql import functions as F
+
+from shardstream.functions.payload import change_record, image_column
+from shardstream.model import RECORD_COLUMNS
+from shardstream.plans import tables
+from shardstream.sources.changes import decode_new_image, metrics_listener, read_changes
+from shardstream.sources.log import append_slice
+from shardstream.streaming.health import Endings
+from tests.helpers import records, rows
+
+ONE = '{"eventName":"INSERT","dynamodb":{"NewImage":{"Id":{"N":"1"},"Value":{"S":"abc"}}}}'
+
+
+def test_the_inserted_item_is_decoded(spark):
+    made = records(spark, ("a", "1", ONE))
+    assert rows(decode_new_image(made, tables.IMAGE), "id", "value") == [(1, "abc")]
+
+
+def test_what_is_no_change_gives_null(spark):
+    texts = (None, "", "not json", '{"dynamodb":{}}', '{"dynamodb":{"NewImage":{"Id":{"S":"x"}}}}')
+    made = records(spark, *[("a", str(i), text) for i, text in enumerate(texts)])
+    assert rows(decode_new_image(made, tables.IMAGE), "id", "value") == [(None, None)] * len(texts)
+
+
+def test_only_two_kinds_of_attribute(spark):
+    with pytest.raises(ValueError):
+        image_column(change_record(F.col("data")), "Id", "B")
+
+
+def test_change_log_as_table_and_as_stream(spark, events, tmp_path):
+    log = str(tmp_path / "log")
+    append_slice(tables.change_log(events), log, 0)
+    table = read_changes(spark, log, tables.IMAGE)
+    assert rows(table, "id", "value") == rows(events, "user_id", "event_type")
+    stream = read_changes(spark, log, tables.IMAGE, stream=True)
+    assert stream.isStreaming
+    assert stream.columns == [*RECORD_COLUMNS, "id", "value"]
+
+
+def test_exactly_one_way_to_report():
+    listener = Endings()
+    assert metrics_listener(listener, None) is listener
+    assert metrics_listener(None, print) is not None
+    for both_or_none in ((None, None), (listener, print)):
+        with pytest.raises(ValueError):
+            metrics_listener(*both_or_none)

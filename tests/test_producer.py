@@ -1,0 +1,200 @@
+import sys
+
+import pandas as pd
+import pytest
+from pyspark import cloudpickle
+from pyspark.errors import PythonException
+from pyspark.errors.exceptions.captured import SparkRuntimeException
+from pyspark.sql import functions as F
+
+from shardstream.functions.attempts import all_attempts_ok, is_complete
+from shardstream.functions.retry import LINEAR, RetryPolicy
+from shardstream.functions.routing import shard_of
+from shardstream.model import PUT_REQUEST, RECORD_COLUMNS
+from shardstream.operators.puts import unacknowledged
+from shardstream.operators.quota import PutSettings
+from shardstream.plans import tables
+from shardstream.sources.log import read_log
+from shardstream.streaming.producer import (
+    DEAD_LETTER,
+    assign_sequence,
+    finish,
+    identify_requests,
+    put_records,
+    put_through,
+    route_requests,
+    spread_writers,
+    start_producer,
+)
+from tests.helpers import rows
+
+# Workers cannot import this file; they get its functions with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+@pytest.fixture
+def requests(events):
+    return tables.put_requests(events)
+
+
+def quick(max_retries=5, batch=500, parallelism=4):
+    return PutSettings(parallelism, batch, 1000, 1000, RetryPolicy(max_retries, LINEAR, 1))
+
+
+def test_one_record_is_published(spark, tmp_path):
+    request = spark.createDataFrame([("s", "123", bytearray(b"XYZ"))], "stream_name string, partition_key string, data binary")
+    results = put_records(request, str(tmp_path), 1)
+    got = results.select(is_complete("shard_id", "sequence_number"), all_attempts_ok("attempts")).collect()
+    assert [tuple(r) for r in got] == [(True, True)]
+    stored = read_log(spark, str(tmp_path)).first()
+    assert (stored.stream_name, stored.partition_key, bytes(stored.data)) == ("s", "123", b"XYZ")
+
+
+def test_every_request_has_one_result_and_its_shard(spark, requests, tmp_path):
+    results = put_records(requests, str(tmp_path), 4)
+    assert unacknowledged(requests, results).count() == 0
+    assert results.count() == results.select("shard_id", "sequence_number").distinct().count() == 1000
+    routed = requests.select("request_id", shard_of("partition_key", 4).alias("shard_id"))
+    assert rows(results, "request_id", "shard_id") == rows(routed)
+
+
+def test_sequence_order_is_request_order_across_batches(spark, requests, tmp_path):
+    early, late = requests.where("request_id < '00000000000000000400'"), requests.where("request_id >= '00000000000000000400'")
+    results = put_records(early, str(tmp_path), 4, 0).unionByName(put_records(late, str(tmp_path), 4, 1))
+    per_shard = results.groupBy("shard_id").agg(F.array_sort(F.collect_list(F.struct("sequence_number", "request_id"))).alias("r"))
+    for r in per_shard.collect():
+        ids = [x.request_id for x in r.r]
+        assert ids == sorted(ids)
+
+
+def test_sequences_do_not_depend_on_partitioning(requests):
+    routed = route_requests(requests, 4)
+    one = assign_sequence(routed.repartition(1), 3)
+    many = assign_sequence(routed.repartition(7, "data"), 3)
+    assert rows(one, "request_id", "sequence_number") == rows(many, "request_id", "sequence_number")
+
+
+def test_a_put_batch_is_not_put_twice(spark, requests, tmp_path):
+    first = put_records(requests, str(tmp_path), 4)
+    again = put_records(requests.limit(3), str(tmp_path), 4)
+    assert rows(first, "request_id", "sequence_number") == rows(again, "request_id", "sequence_number")
+
+
+def test_null_partition_key_stops_the_put(spark, tmp_path):
+    bad = spark.createDataFrame([("1", "s", None, bytearray(b""))], PUT_REQUEST)
+    with pytest.raises(SparkRuntimeException, match="partition key"):
+        put_records(bad, str(tmp_path), 2)
+
+
+def test_null_key_still_has_a_shard(spark):
+    made = spark.createDataFrame([(None,), ("",)], "k string").select(shard_of("k", 8))
+    assert len(set(rows(made))) == 1 and rows(made)[0][0] is not None
+
+
+def test_given_ids_stay_and_missing_ones_are_unique(spark, requests):
+    assert identify_requests(requests) is requests
+    named = identify_requests(requests.drop("request_id"))
+    assert named.select("request_id").distinct().count() == 1000
+
+
+def test_streaming_put_survives_a_crash(spark, requests, tmp_path):
+    source, log, job = str(tmp_path / "in"), str(tmp_path / "log"), str(tmp_path / "job")
+    requests.write.parquet(source)
+    stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    results = []
+
+    def crash(result, batch_id):
+        raise RuntimeError("results lost")
+
+    with pytest.raises(Exception, match="results lost"):
+        start_producer(stream, log, job, 4, crash, once=True).awaitTermination()
+    start_producer(stream, log, job, 4, lambda r, i: results.extend(rows(r, "request_id")), once=True).awaitTermination()
+    assert sorted(results) == rows(requests, "request_id")
+    stored = read_log(spark, log)
+    assert rows(stored, *RECORD_COLUMNS[3:5]) == rows(requests, *RECORD_COLUMNS[3:5])
+    assert stored.select("shard_id", "sequence_number").distinct().count() == 1000
+
+
+def test_finish_writes_what_has_arrived(spark, requests, tmp_path):
+    source, log, job = str(tmp_path / "in"), str(tmp_path / "log"), str(tmp_path / "job")
+    requests.write.parquet(source)
+    query = start_producer(spark.readStream.schema(requests.schema).parquet(source), log, job, 4)
+    finish(query)
+    assert not query.isActive and query.exception() is None
+    assert read_log(spark, log).count() == 1000
+
+
+def answers(batch, ok, kind="record_failed"):
+    made = pd.DataFrame({"shard_id": "s", "sequence_number": batch["request_id"], "successful": ok})
+    made["error_kind"], made["error_code"], made["error_message"] = kind, "Throttled", "slow"
+    return made
+
+
+def failing(times):
+    """A put function that fails each record so many times."""
+    seen = {}
+
+    def put(batch):
+        for r in batch["request_id"]:
+            seen[r] = seen.get(r, 0) + 1
+        return answers(batch, [seen[r] > times for r in batch["request_id"]])
+
+    return put
+
+
+@pytest.mark.parametrize("failures, attempts", [(0, 1), (1, 2), (5, 6)])
+def test_record_is_put_again_until_it_works(requests, failures, attempts):
+    results = put_through(requests.limit(20), failing(failures), quick()).collect()
+    assert len(results) == 20
+    assert all(r.successful and len(r.attempts) == attempts for r in results)
+    assert all([a.successful for a in r.attempts] == [False] * failures + [True] for r in results)
+
+
+def test_record_past_its_retries_stops_the_job(requests):
+    with pytest.raises(PythonException, match="record failed to put - Throttled : slow"):
+        put_through(requests.limit(2), failing(6), quick()).collect()
+
+
+def test_record_past_its_retries_can_be_kept(requests):
+    results = put_through(requests.limit(5), failing(6), quick(), on_exhausted=DEAD_LETTER).collect()
+    assert all(not r.successful and r.shard_id is None and len(r.attempts) == 6 for r in results)
+    assert all(r.attempts[-1].error_code == "Throttled" for r in results)
+
+
+def test_other_errors_are_not_tried_again(requests):
+    def broken(batch):
+        return answers(batch, False, "connection_lost")
+
+    with pytest.raises(PythonException, match="record failed to put"):
+        put_through(requests.limit(1), broken, quick(), on_exhausted=DEAD_LETTER).collect()
+
+
+def test_calls_are_bounded_and_only_failed_records_come_again(requests):
+    seen = set()
+
+    def put(batch):
+        assert len(batch) <= 7
+        ok = [int(r) % 2 == 0 or r in seen for r in batch["request_id"]]
+        seen.update(batch["request_id"])
+        return answers(batch, ok)
+
+    results = put_through(requests, put, quick(batch=7)).collect()
+    assert len(results) == 1000
+    assert all(len(r.attempts) == 1 + int(r.request_id) % 2 for r in results)
+
+
+def test_unanswered_requests_stop_the_job(requests):
+    with pytest.raises(PythonException, match="answered 0 of"):
+        put_through(requests.limit(3), lambda batch: answers(batch, True).head(0), quick()).collect()
+
+
+def test_hot_key_is_spread_over_the_writers(requests):
+    hot = requests.withColumn("partition_key", F.lit("one"))
+    sizes = spread_writers(hot, quick(parallelism=5)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 5
+    assert max(r["count"] for r in sizes) < 300
+
+
+def test_unknown_policy_is_refused(requests):
+    with pytest.raises(ValueError):
+        put_through(requests, failing(0), quick(), on_exhausted="ignore")
