@@ -25,20 +25,18 @@ def bucket_prefixes(rows: DataFrame, order: str) -> tuple[int, ...]:
     """Prefix lengths that keep every bucket small, for the strings found in ``order``.
 
     Reads the one column once and brings a single row back. Dense sequence numbers need few levels:
-    they share all characters left of the digits that vary.
+    they share all characters left of the digits that vary. Whether the strings are digits is judged
+    by the lowest and the highest one.
     """
     value = F.col(order)
     found = rows.agg(
-        F.min(value).alias("low"),
-        F.max(value).alias("high"),
-        F.max(F.length(value)).alias("width"),
-        F.coalesce(F.min(value.rlike("^[0-9]*$")), F.lit(False)).alias("digits"),
+        F.min(value).alias("low"), F.max(value).alias("high"), F.max(F.length(value)).alias("width")
     ).first()
     if found["width"] is None:
         return ()
-    step = DIGIT_STEP if found["digits"] else TEXT_STEP
-    shared = len(commonprefix([found["low"], found["high"]]))
-    return tuple(sorted(range(found["width"] - step, shared, -step)))
+    ends = [found["low"], found["high"]]
+    step = DIGIT_STEP if all(end.isdigit() for end in ends) else TEXT_STEP
+    return tuple(sorted(range(found["width"] - step, len(commonprefix(ends)), -step)))
 
 
 def sums_before(

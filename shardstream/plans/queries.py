@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,10 +102,8 @@ def shard_progress_with_lag(spark: SparkSession, folder: str) -> DataFrame:
         F.max("last_sequence_number").alias("sequence_number"),
         F.max("millis_behind_latest").alias("max_millis_behind"),
     )
-    committed = progress.checkpoint_records(per_shard, t.shard_status(spark)).withColumnRenamed(
-        "sequence_number", "committed"
-    )
-    return per_shard.join(committed, "shard_id", "left")
+    marked = progress.with_can_checkpoint(per_shard, t.shard_status(spark))
+    return marked.withColumn("committed", F.when(F.col("can_checkpoint"), F.col("sequence_number"))).drop("can_checkpoint")
 
 
 # Sources
@@ -346,20 +346,18 @@ def put_records_to_log(spark: SparkSession, folder: str) -> DataFrame:
 def put_with_retries(spark: SparkSession, folder: str) -> DataFrame:
     """Put through a function that fails the first attempts of most records."""
     requests = t.put_requests(t.events(spark, folder)).withColumn("routed", shard_of("partition_key", t.SHARDS))
-    failed: dict[str, int] = {}
-
-    def put(batch: pd.DataFrame) -> pd.DataFrame:
-        ok = []
-        for request_id in batch["request_id"]:
-            before = failed.pop(request_id, 0)
-            ok.append(before == int(request_id) % 8)
-            if not ok[-1] and before < t.RETRIES:
-                failed[request_id] = before + 1
-        answers = pd.DataFrame({"shard_id": batch["routed"], "sequence_number": batch["request_id"], "successful": ok})
-        answers["error_kind"] = RECORD_FAILED
-        answers["error_code"] = "Throttled"
-        answers["error_message"] = "slow down"
-        return answers
+
+    def put(batch: pa.Table) -> pa.Table:
+        number = np.array(batch["request_id"].to_numpy(), dtype=np.int64)
+        said = {"error_kind": RECORD_FAILED, "error_code": "Throttled", "error_message": "slow down"}
+        return pa.table(
+            {
+                "shard_id": batch["routed"],
+                "sequence_number": batch["request_id"],
+                "successful": batch["attempt"].to_numpy() > number % 8,
+                **{name: pa.repeat(value, batch.num_rows) for name, value in said.items()},
+            }
+        )
 
     settings = quota.PutSettings.by_number_of_shards(t.SHARDS)
     results = put_through(requests, put, settings, on_exhausted=DEAD_LETTER, longest_pause_ms=0)
@@ -497,16 +495,20 @@ def throttle_slots_by_bytes(spark: SparkSession, folder: str) -> DataFrame:
 def apply_per_shard(spark: SparkSession, folder: str) -> DataFrame:
     """A user function on every record set, put together per shard."""
 
-    def measure(records: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
+    def measure(records: pa.Table) -> pa.Table:
+        last = records.slice(records.num_rows - 1)
+        return pa.table(
             {
-                "shard_id": records["shard_id"].iloc[:1],
-                "records": [len(records)],
-                "bytes": [int(records["data"].str.len().sum())],
-                "last": records["sequence_number"].iloc[-1:].to_list(),
+                "shard_id": last["shard_id"],
+                "records": [records.num_rows],
+                "bytes": [pc.sum(pc.binary_length(records["data"])).as_py()],
+                "last": last["sequence_number"],
             }
-        )
+        ).cast(result)
 
+    result = pa.schema(
+        [("shard_id", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("last", pa.string())]
+    )
     fetches = _fetches(spark, folder).select("shard_id", "fetch_no", "sequence_number", "data")
     measured = process_record_sets(
         fetches, measure, "shard_id string, records bigint, bytes bigint, last string"

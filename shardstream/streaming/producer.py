@@ -5,7 +5,9 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,9 +31,10 @@ LONGEST_PAUSE_MS = 1000
 RAISE = "raise"
 DEAD_LETTER = "dead_letter"
 
-# put(requests) -> one row per request, in the same order, with the columns shard_id,
-# sequence_number, successful, error_kind, error_code and error_message.
-PutFunction = Callable[[pd.DataFrame], pd.DataFrame]
+# A put function gets the requests with the number of the attempt, and answers with one row per request
+# in the same order.
+PutFunction = Callable[[pa.Table], pa.Table]
+ANSWER_COLUMNS = ["shard_id", "sequence_number", "successful", "error_kind", "error_code", "error_message"]
 
 
 class PutFailed(RuntimeError):
@@ -158,46 +161,66 @@ def put_through(
         raise ValueError(f"on_exhausted must be {RAISE!r} or {DEAD_LETTER!r}, not {on_exhausted!r}")
     policy, size = settings.retry, settings.max_batch_size
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for start in range(0, len(frame), size):
-                part = frame.iloc[start : start + size].reset_index(drop=True)
-                yield _put_until_done(part, put, policy, on_exhausted, longest_pause_ms)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, size):
+                yield _put_until_done(batch.slice(start, size), put, policy, on_exhausted, longest_pause_ms)
 
-    return spread_writers(identify_requests(requests), settings).mapInPandas(run, PUT_RESULT)
+    return spread_writers(identify_requests(requests), settings).mapInArrow(run, PUT_RESULT)
 
 
 def _put_until_done(
-    requests: pd.DataFrame, put: PutFunction, policy: RetryPolicy, on_exhausted: str, longest_pause_ms: int
-) -> pd.DataFrame:
-    attempts: list[list[dict]] = [[] for _ in range(len(requests))]
-    results: list[tuple | None] = [None] * len(requests)
-    open_rows = list(range(len(requests)))
-    attempt = 0
-    while open_rows:
-        attempt += 1
-        answers = put(requests.iloc[open_rows].reset_index(drop=True))
-        if len(answers) != len(open_rows):
-            raise PutFailed(f"the put function answered {len(answers)} of {len(open_rows)} requests")
-        again = []
-        for row, answer in zip(open_rows, answers.itertuples(index=False), strict=True):
-            code, message = (None, None) if answer.successful else (answer.error_code, answer.error_message)
-            attempts[row].append(
-                {"attempt": attempt, "successful": bool(answer.successful), "error_code": code, "error_message": message}
-            )
-            if answer.successful:
-                results[row] = (answer.shard_id, answer.sequence_number, True)
-            elif answer.error_kind == RECORD_FAILED and attempt <= policy.max_retries:
-                again.append(row)
-            elif answer.error_kind == RECORD_FAILED and on_exhausted == DEAD_LETTER:
-                results[row] = (None, None, False)
-            else:
-                raise PutFailed(f"record failed to put - {code} : {message}")
-        open_rows = again
-        if open_rows:
+    requests: pa.RecordBatch, put: PutFunction, policy: RetryPolicy, on_exhausted: str, longest_pause_ms: int
+) -> pa.RecordBatch:
+    """Put one request batch until every record is done; one result per request, in their order."""
+    rounds: list[tuple[np.ndarray, pa.Table]] = []
+    waiting = np.arange(requests.num_rows)
+    while len(waiting):
+        attempt = len(rounds) + 1
+        number = pa.array(np.full(len(waiting), attempt, np.int32))
+        answers = put(pa.table(requests.take(pa.array(waiting))).append_column("attempt", number))
+        if answers.num_rows != len(waiting):
+            raise PutFailed(f"the put function answered {answers.num_rows} of {len(waiting)} requests")
+        rounds.append((waiting, answers.select(ANSWER_COLUMNS).append_column("attempt", number)))
+        failed = pc.invert(answers["successful"]).to_numpy()
+        record_level = pc.fill_null(pc.equal(answers["error_kind"], RECORD_FAILED), False).to_numpy()
+        spent = attempt > policy.max_retries
+        fatal = failed & (~record_level | (spent and on_exhausted == RAISE))
+        if fatal.any():
+            first = answers.slice(int(fatal.argmax()), 1).to_pylist()[0]
+            raise PutFailed(f"record failed to put - {first['error_code']} : {first['error_message']}")
+        waiting = waiting[failed & (not spent)]
+        if len(waiting):
             pause = min(delay_ms(policy.strategy, policy.base_ms, attempt), longest_pause_ms)
             time.sleep(pause / 1000)
-    frame = pd.DataFrame(results, columns=["shard_id", "sequence_number", "successful"])
-    frame.insert(0, "request_id", requests["request_id"])
-    frame["attempts"] = attempts
-    return frame
+    return _results(requests["request_id"], rounds)
+
+
+def _results(request_ids: pa.Array, rounds: list[tuple[np.ndarray, pa.Table]]) -> pa.RecordBatch:
+    """Results from the answers of each round, given with the requests they belong to."""
+    row = np.concatenate([rows for rows, _ in rounds])
+    made = pa.concat_tables([answers for _, answers in rounds]).take(pa.array(np.argsort(row, kind="stable")))
+    made = made.combine_chunks()
+    ends = np.cumsum(np.bincount(row, minlength=len(request_ids)))
+    ok = made["successful"]
+    nothing = pa.scalar(None, pa.string())
+
+    def text(name: str, when: pa.ChunkedArray) -> pa.Array:
+        return pc.if_else(when, made[name].cast(pa.string()), nothing).combine_chunks()
+
+    failed = pc.invert(ok)
+    attempts = pa.StructArray.from_arrays(
+        [made["attempt"].combine_chunks(), ok.combine_chunks(), text("error_code", failed), text("error_message", failed)],
+        ["attempt", "successful", "error_code", "error_message"],
+    )
+    last = pa.array(ends - 1)
+    return pa.RecordBatch.from_arrays(
+        [
+            request_ids,
+            text("shard_id", ok).take(last),
+            text("sequence_number", ok).take(last),
+            ok.combine_chunks().take(last),
+            pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), attempts),
+        ],
+        ["request_id", "shard_id", "sequence_number", "successful", "attempts"],
+    )

@@ -81,9 +81,9 @@ def test_strip_gives_bare_records(log):
 
 def test_user_function_gets_each_set_in_order(log):
     def first_and_last(part):
-        out = part.iloc[[0]][["shard_id", "fetch_no"]].copy()
-        out["n"], out["sorted"] = len(part), bool(part["sequence_number"].is_monotonic_increasing)
-        return out
+        numbers = part["sequence_number"].to_pylist()
+        first = part.select(["shard_id", "fetch_no"]).slice(0, 1)
+        return first.append_column("n", [[len(numbers)]]).append_column("sorted", [[numbers == sorted(numbers)]])
 
     schema = "shard_id string, fetch_no bigint, n bigint, sorted boolean"
     got = process_record_sets(fetch.with_fetch(log, 60).repartition(5), first_and_last, schema).collect()

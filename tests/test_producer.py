@@ -1,6 +1,6 @@
 import sys
 
-import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.errors import PythonException
@@ -125,19 +125,23 @@ def test_finish_writes_what_has_arrived(spark, requests, tmp_path):
 
 
 def answers(batch, ok, kind="record_failed"):
-    made = pd.DataFrame({"shard_id": "s", "sequence_number": batch["request_id"], "successful": ok})
-    made["error_kind"], made["error_code"], made["error_message"] = kind, "Throttled", "slow"
-    return made
+    n = batch.num_rows
+    said = {"error_kind": kind, "error_code": "Throttled", "error_message": "slow"}
+    return pa.table(
+        {
+            "shard_id": pa.repeat("s", n),
+            "sequence_number": batch["request_id"],
+            "successful": pa.array([bool(x) for x in ok], pa.bool_()),
+            **{name: pa.repeat(value, n) for name, value in said.items()},
+        }
+    )
 
 
 def failing(times):
     """A put function that fails each record so many times."""
-    seen = {}
 
     def put(batch):
-        for r in batch["request_id"]:
-            seen[r] = seen.get(r, 0) + 1
-        return answers(batch, [seen[r] > times for r in batch["request_id"]])
+        return answers(batch, [a > times for a in batch["attempt"].to_pylist()])
 
     return put
 
@@ -163,20 +167,18 @@ def test_record_past_its_retries_can_be_kept(requests):
 
 def test_other_errors_are_not_tried_again(requests):
     def broken(batch):
-        return answers(batch, False, "connection_lost")
+        return answers(batch, [False] * batch.num_rows, "connection_lost")
 
     with pytest.raises(PythonException, match="record failed to put"):
         put_through(requests.limit(1), broken, quick(), on_exhausted=DEAD_LETTER).collect()
 
 
 def test_calls_are_bounded_and_only_failed_records_come_again(requests):
-    seen = set()
-
     def put(batch):
-        assert len(batch) <= 7
-        ok = [int(r) % 2 == 0 or r in seen for r in batch["request_id"]]
-        seen.update(batch["request_id"])
-        return answers(batch, ok)
+        assert batch.num_rows <= 7
+        odd = [int(r) % 2 == 1 for r in batch["request_id"].to_pylist()]
+        assert all(odd) or batch["attempt"][0].as_py() == 1
+        return answers(batch, [not o or a > 1 for o, a in zip(odd, batch["attempt"].to_pylist(), strict=True)])
 
     results = put_through(requests, put, quick(batch=7)).collect()
     assert len(results) == 1000
@@ -185,7 +187,7 @@ def test_calls_are_bounded_and_only_failed_records_come_again(requests):
 
 def test_unanswered_requests_stop_the_job(requests):
     with pytest.raises(PythonException, match="answered 0 of"):
-        put_through(requests.limit(3), lambda batch: answers(batch, True).head(0), quick()).collect()
+        put_through(requests.limit(3), lambda batch: answers(batch.slice(0, 0), []), quick()).collect()
 
 
 def test_hot_key_is_spread_over_the_writers(requests):
