@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,13 +11,11 @@ from shardstream.operators.ordering import with_position
 DEFAULT_MAX_RECORDS = 10_000
 
 
-def with_fetch(
-    records: DataFrame, max_records: int = DEFAULT_MAX_RECORDS, prefixes: Sequence[int] | None = None
-) -> DataFrame:
+def with_fetch(records: DataFrame, max_records: int = DEFAULT_MAX_RECORDS) -> DataFrame:
     """Cut every shard, in sequence order, into fetches of at most ``max_records`` records."""
     if max_records < 1:
         raise ValueError("max_records must be at least 1")
-    numbered = with_position(records, into="fetch_no", prefixes=prefixes)
+    numbered = with_position(records, into="fetch_no")
     return numbered.withColumn("fetch_no", F.expr(f"fetch_no div {int(max_records)}"))
 
 

@@ -1,42 +1,30 @@
 """Row numbers and running sums in sequence order, without one task per shard.
 
 A window over a whole shard runs in one task, so one shard with a third of the log stops the job.
-Here the shard is cut at prefixes of the sequence number. A prefix never goes down when the string
-goes up, so the sum before a row is the sum of the buckets before its bucket plus the sum before it
-inside its bucket. Only one row per bucket is needed for the first part, and it is computed the same
-way over shorter prefixes until few buckets are left.
+Where a shard is too large for that, it is cut at prefixes of the sequence number. A prefix never goes
+down when the string goes up, so the sum before a row is the sum of the buckets before its bucket plus
+the sum before it inside its bucket. The first part needs one row per bucket; those rows are summed in
+the same way, which cuts them again if there are too many of them. Buckets are counted, and those that are still too large are cut further.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Characters by which one level of buckets is finer than the next. Unique digit strings give at most
-# 11 111 rows per bucket at 4 characters, other text stays near that at 2.
-DIGIT_STEP = 4
-TEXT_STEP = 2
+from shardstream.operators.shards import join_small
+from shardstream.session import settle
 
+# Rows that one task may number in one go.
+WINDOW_ROWS = 200_000
 
-def bucket_prefixes(rows: DataFrame, order: str) -> tuple[int, ...]:
-    """Prefix lengths that keep every bucket small, for the strings found in ``order``.
-
-    Reads the one column once and brings a single row back. Dense sequence numbers need few levels:
-    they share all characters left of the digits that vary. Whether the strings are digits is judged
-    by the lowest and the highest one.
-    """
-    value = F.col(order)
-    found = rows.agg(
-        F.min(value).alias("low"), F.max(value).alias("high"), F.max(F.length(value)).alias("width")
-    ).first()
-    if found["width"] is None:
-        return ()
-    ends = [found["low"], found["high"]]
-    step = DIGIT_STEP if all(end.isdigit() for end in ends) else TEXT_STEP
-    return tuple(sorted(range(found["width"] - step, len(commonprefix(ends)), -step)))
+# How many times more buckets one more character is taken to give: for digits, and for other text.
+DIGITS = 10
+TEXT = 16
 
 
 def sums_before(
@@ -44,35 +32,94 @@ def sums_before(
     by: Sequence[str],
     order: str,
     sums: Mapping[str, Column],
-    prefixes: Sequence[int],
     ties: Sequence[str] = (),
 ) -> DataFrame:
     """``rows`` with, per name in ``sums``, the sum over the rows before it in ``order`` within ``by``.
 
-    Any ``prefixes`` give the same result; they only decide how the work is spread. Rows equal in
-    ``order`` come in the order of ``ties``. Columns in ``by`` must not be null.
+    Rows equal in ``order`` come in the order of ``ties``. Columns in ``by`` must not be null. Counts
+    the rows first, so it is for tables and micro-batches, not for a stream as such.
     """
-    if not prefixes:
-        return _window_sums(rows, list(by) or [F.lit(0)], [order, *ties], sums)
-    *shorter, longest = prefixes
-    bucket = f"_bucket_{longest}"
-    rows = rows.withColumn(bucket, F.substring(F.coalesce(F.col(order), F.lit("")), 1, longest))
-    keys = [*by, bucket]
+    return _sums_before(rows, by, order, sums, ties, math.inf)
 
-    totals = rows.groupBy(*keys).agg(*[F.sum(value).alias(f"_total_{name}") for name, value in sums.items()])
-    starts = sums_before(
-        totals, by, bucket, {f"_start_{name}": F.col(f"_total_{name}") for name in sums}, shorter
-    ).select(*keys, *[f"_start_{name}" for name in sums])
 
+def _sums_before(
+    rows: DataFrame, by: Sequence[str], order: str, sums: Mapping[str, Column], ties: Sequence[str], former: float
+) -> DataFrame:
+    """As above, where cutting brought the largest group down from ``former`` rows."""
+    largest = rows.groupBy(*by).count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    gains = WINDOW_ROWS < largest < former / 2
+    length = _first_prefix(rows, order, largest) if gains else 0
+    if length == 0:
+        return _window_sums(rows, by, [order, *ties], sums)
+
+    bucket = f"_{order.removeprefix('_')}_bucket"
+    keys = [*by, bucket]
+    bucketed, totals = _cut(rows, by, order, bucket, length, sums)
+    carried = {f"_start_{name}": F.col(f"_total_{name}") for name in sums}
+    starts = _sums_before(totals, by, bucket, carried, (), largest)
+    starts = starts.select(*keys, *[f"_start_{name}" for name in sums])
     # The window comes first: its sort order already is what a sort-merge join with `starts` needs.
-    inside = _window_sums(rows, keys, [order, *ties], sums).join(starts, keys, "left")
-    return inside.withColumns(
-        {name: F.col(name) + F.coalesce(F.col(f"_start_{name}"), F.lit(0)) for name in sums}
-    ).drop(bucket, *[f"_start_{name}" for name in sums])
+    inside = _window_sums(bucketed, keys, [order, *ties], sums).join(starts, keys, "left")
+    placed = [(F.col(name) + F.coalesce(F.col(f"_start_{name}"), F.lit(0))).alias(name) for name in sums]
+    return inside.select(*rows.columns, *placed)
+
 
+def _first_prefix(rows: DataFrame, order: str, largest: int) -> int:
+    """A prefix length that cuts numbers without large gaps into buckets that are small enough.
 
-def _window_sums(rows: DataFrame, keys: list, order: list[str], sums: Mapping[str, Column]) -> DataFrame:
-    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    Leaves a character off; 0 if there is none to leave.
+    """
+    value = F.col(order)
+    low, high, width = rows.agg(F.min(value), F.max(value), F.max(F.length(value))).first()
+    if width is None or width < 2:
+        return 0
+    base = DIGITS if low.isdigit() and high.isdigit() else TEXT
+    more = math.ceil(math.log(largest / WINDOW_ROWS, base))
+    return min(len(commonprefix([low, high])) + more, width - 1)
+
+
+def _cut(
+    rows: DataFrame, by: Sequence[str], order: str, bucket: str, length: int, sums: Mapping[str, Column]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with their bucket, and the totals of every bucket.
+
+    A bucket that is still too large is cut again, further to the right of what its own strings share.
+    Only strings that are all equal stay together.
+    """
+    keys = [*by, bucket]
+    value = F.coalesce(F.col(order), F.lit(""))
+    bucketed = rows.withColumn(bucket, F.substring(value, 1, length))
+    while True:
+        totals = settle(
+            bucketed.groupBy(*keys).agg(
+                F.count(F.lit(1)).alias("_rows"),
+                *[F.sum(total).alias(f"_total_{name}") for name, total in sums.items()],
+            )
+        )
+        large = totals.where(F.col("_rows") > WINDOW_ROWS).select(*keys, "_rows")
+        if large.isEmpty():
+            return bucketed, totals
+        inside = join_small(bucketed.select(*keys, order), large, keys, "inner", salt_by=order, settled=True)
+        ends = inside.groupBy(*keys, "_rows").agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+        more = F.ceil(F.log(float(TEXT), F.col("_rows") / F.lit(WINDOW_ROWS)))
+        next_length = (_shared(F.col("_low"), F.col("_high")) + more).cast("int").alias("_next")
+        deeper = settle(ends.where(F.col("_low") < F.col("_high")).select(*keys, next_length))
+        if deeper.isEmpty():
+            return bucketed, totals
+        bucketed = join_small(bucketed, deeper, keys, salt_by=order, settled=True)
+        cut = F.when(F.col("_next").isNull(), F.col(bucket)).otherwise(F.substring(value, F.lit(1), F.col("_next")))
+        bucketed = bucketed.withColumn(bucket, cut).drop("_next")
+
+
+def _shared(low: Column, high: Column) -> Column:
+    """Number of characters two strings have in common from the left."""
+    lengths = F.sequence(F.lit(0), F.least(F.length(low), F.length(high)))
+    return F.array_max(F.filter(lengths, lambda n: F.substring(low, F.lit(1), n) == F.substring(high, F.lit(1), n)))
+
+
+def _window_sums(rows: DataFrame, keys: Sequence[str], order: list[str], sums: Mapping[str, Column]) -> DataFrame:
+    groups = Window.partitionBy(*(keys or [F.lit(0)]))
+    before = groups.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumns({name: F.coalesce(F.sum(value).over(before), F.lit(0)) for name, value in sums.items()})
 
 
@@ -81,18 +128,14 @@ def with_position(
     by: Sequence[str] = ("shard_id",),
     order: str = "sequence_number",
     also: Mapping[str, Column] | None = None,
-    prefixes: Sequence[int] | None = None,
     into: str = "position",
     ties: Sequence[str] = (),
 ) -> DataFrame:
     """``rows`` with their 0-based position in ``order`` within ``by``, and further running sums.
 
-    ``order`` is compared as a string, so unpadded numbers come as 0, 1, 10, 100. ``prefixes`` saves
-    the look at the column where the caller knows its width.
+    ``order`` is compared as a string, so unpadded numbers come as 0, 1, 10, 100.
     """
-    if prefixes is None:
-        prefixes = bucket_prefixes(rows, order)
-    return sums_before(rows, by, order, {into: F.lit(1).cast("bigint"), **(also or {})}, prefixes, ties)
+    return sums_before(rows, by, order, {into: F.lit(1).cast("bigint"), **(also or {})}, ties)
 
 
 def rank_by_sequence(records: DataFrame, order: str = "sequence_number", into: str = "sequence_rank") -> DataFrame:

@@ -1,17 +1,19 @@
-"""Joining a log with tables that hold one row per shard (progress, status, tips)."""
+"""Joining a log with small tables: one row per shard (progress, status, tips), or per other key."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardstream.session import settle
 
-# A per-shard table is sent to every executor only up to this size, which is counted first.
-BROADCAST_ROWS = 100_000
+# A small table is sent to every executor only up to this size, which is counted first.
+BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Copies of a larger per-shard table, so that one shard's records go to this many tasks.
+# Copies of a larger table, so that the rows of one key go to this many tasks.
 SALTS = 64
 
 
@@ -22,24 +24,39 @@ def fits_broadcast(table: DataFrame) -> bool:
     return size["n"] <= BROADCAST_ROWS and size["b"] <= BROADCAST_BYTES
 
 
-def join_shards(
+def join_small(
     rows: DataFrame,
-    per_shard: DataFrame,
+    table: DataFrame,
+    keys: Sequence[str],
     how: str = "left",
     salt_by: str = "sequence_number",
     settled: bool = False,
 ) -> DataFrame:
-    """Join ``rows`` with a table of one row per ``shard_id``.
+    """Join ``rows`` with a table that has one row per ``keys``, adding the table's other columns.
 
     The table is settled (unless it already is) and measured: if it is small it is broadcast and
-    ``rows`` do not move. Otherwise both sides are shuffled by shard and salt, which spreads a hot
-    shard.
+    ``rows`` do not move. Otherwise both sides are shuffled by key and salt, which spreads a hot key.
     """
     if how not in ("left", "inner"):
-        raise ValueError(f"join_shards does left and inner joins, not {how!r}")
-    table = per_shard if settled else settle(per_shard)
+        raise ValueError(f"join_small does left and inner joins, not {how!r}")
+    columns = [*rows.columns, *[c for c in table.columns if c not in keys]]
+    if not settled:
+        table = settle(table)
     if fits_broadcast(table):
-        return rows.join(F.broadcast(table), "shard_id", how)
-    salt = F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int")
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("_salt", salt).join(copies, ["shard_id", "_salt"], how).drop("_salt")
+        joined = rows.join(F.broadcast(table), [*keys], how)
+    else:
+        salt = F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int")
+        copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how)
+    return joined.select(*columns)
+
+
+def join_shards(
+    rows: DataFrame,
+    per_shard: DataFrame,
+    how: str = "left",
+    salt_by: str = "sequence_number",
+    settled: bool = False,
+) -> DataFrame:
+    """``join_small`` on the shard."""
+    return join_small(rows, per_shard, ["shard_id"], how, salt_by, settled)

@@ -1,14 +1,13 @@
 """Positions and running sums: the bucketed way equals one window over the shard."""
 
-from itertools import pairwise
-
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shardstream.operators.ordering import bucket_prefixes, rank_by_sequence, sums_before, with_position
+from shardstream.operators import ordering
+from shardstream.operators.ordering import _cut, _first_prefix, rank_by_sequence, sums_before, with_position
 from tests.helpers import rows
 
 
@@ -21,25 +20,52 @@ def one_pass(records):
     return records.withColumn("before", F.coalesce(F.sum(F.octet_length("data")).over(w), F.lit(0)))
 
 
-@pytest.mark.parametrize("prefixes", [(), (18,), (16, 18), (4, 17, 19), (20,), (40,)])
-def test_any_prefixes_give_the_window_result(log, prefixes):
-    got = sums_before(log, ["shard_id"], "sequence_number", size(), prefixes)
+@pytest.fixture
+def window_rows(monkeypatch):
+    return lambda n: monkeypatch.setattr(ordering, "WINDOW_ROWS", n)
+
+
+@pytest.mark.parametrize("limit", [1, 3, 10, 50, 100_000])
+def test_small_buckets_give_the_window_result(log, window_rows, limit):
+    window_rows(limit)
+    got = sums_before(log, ["shard_id"], "sequence_number", size())
+    assert got.columns == [*log.columns, "before"]
     columns = ("shard_id", "sequence_number", "before")
     assert rows(got, *columns) == rows(one_pass(log), *columns)
 
 
-def test_measured_prefixes_skip_shared_characters(log):
-    assert bucket_prefixes(log, "sequence_number") == ()
-    wide = log.withColumn("sequence_number", F.concat(F.lit("7"), "sequence_number", F.lit("000000000")))
-    assert bucket_prefixes(wide, "sequence_number") == (22, 26)
-    text = log.withColumn("sequence_number", F.concat("partition_key", F.lit("/"), "sequence_number"))
-    lengths = bucket_prefixes(text, "sequence_number")
-    assert lengths and all(b - a == 2 for a, b in pairwise(lengths))
+def cut(records, length=None):
+    """Sizes of the buckets, and the totals per shard, of one cut."""
+    length = length or _first_prefix(records, "sequence_number", records.count())
+    bucketed, totals = _cut(records, ["shard_id"], "sequence_number", "b", length, size())
+    return [r[0] for r in bucketed.groupBy("shard_id", "b").count().select("count").collect()], totals
+
+
+def test_no_task_numbers_more_than_it_may(log, window_rows):
+    window_rows(20)
+    sizes, totals = cut(log)
+    assert max(sizes) <= 20 and sum(sizes) == 1000
+    assert totals.count() == len(sizes)
+    assert totals.groupBy("shard_id").count().agg(F.max("count")).first()[0] > 20
+
+
+def test_only_large_buckets_are_cut_further(spark, window_rows):
+    """A third of a hot shard lies behind one long common prefix."""
+    window_rows(1000)
+    sizes, totals = cut(hot_prefix(spark))
+    assert max(sizes) <= 1000
+    assert len(sizes) < 800
+
+
+def test_shared_characters_are_skipped(spark, window_rows):
+    window_rows(10)
+    made = spark.range(1000).select(F.concat(F.lit("tenant/a/"), F.lpad(F.col("id").cast("string"), 8, "0")).alias("s"))
+    assert _first_prefix(made, "s", 1000) == len("tenant/a/00000") + 2
+    assert _first_prefix(made.select(F.lit("x").alias("s")), "s", 1000) == 0
 
 
 def test_empty_table(spark, log):
     none = log.where("false")
-    assert bucket_prefixes(none, "sequence_number") == ()
     assert with_position(none).count() == 0
 
 
@@ -57,31 +83,43 @@ def test_equal_numbers_of_two_shards_come_in_shard_order(spark):
     assert ranked == [(1, "a", "0"), (2, "a", "1"), (3, "b", "1")]
 
 
-def test_missing_numbers_are_kept(spark):
+def test_missing_numbers_are_kept(spark, window_rows):
+    window_rows(1)
     made = spark.createDataFrame([("a", None), ("a", "11"), ("a", "12")], "shard_id string, sequence_number string")
-    got = rows(with_position(made, prefixes=(1,)), "position", "sequence_number")
-    assert got == [(0, None), (1, "11"), (2, "12")]
+    assert rows(with_position(made), "position", "sequence_number") == [(0, None), (1, "11"), (2, "12")]
+
+
+def test_equal_numbers_are_all_numbered(spark, window_rows):
+    window_rows(2)
+    made = spark.createDataFrame([("a", "77")] * 5 + [("a", "12")], "shard_id string, sequence_number string")
+    assert [r[0] for r in rows(with_position(made), "position")] == [0, 1, 2, 3, 4, 5]
 
 
-def test_one_bucket_never_holds_a_hot_shard(spark):
-    """One shard with nearly all rows: the largest window group stays at 10 000 rows."""
-    hot = spark.range(0, 120_000).select(
+def hot_prefix(spark):
+    return spark.range(0, 30_000).select(
         F.when(F.col("id") % 100 == 0, "cold").otherwise("hot").alias("shard_id"),
-        F.lpad(F.col("id").cast("string"), 20, "0").alias("sequence_number"),
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("tenant-000000001-"), F.lpad(F.col("id").cast("string"), 6, "0")))
+        .otherwise(F.md5(F.col("id").cast("string").cast("binary")))
+        .alias("sequence_number"),
+        F.encode(F.lit("x"), "UTF-8").alias("data"),
     )
-    prefixes = bucket_prefixes(hot, "sequence_number")
-    biggest = hot.groupBy("shard_id", F.substring("sequence_number", 1, prefixes[-1])).count().agg(F.max("count"))
-    assert biggest.first()[0] <= 10_000
-    last = with_position(hot).groupBy("shard_id").agg(F.max("position")).collect()
-    assert {r[0]: r[1] for r in last} == {"hot": 118_799, "cold": 1_199}
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_hot_shard_with_one_hot_prefix(spark, window_rows):
+    window_rows(1000)
+    hot = hot_prefix(spark)
+    columns = ("shard_id", "sequence_number", "before")
+    assert rows(sums_before(hot, ["shard_id"], "sequence_number", size()), *columns) == rows(one_pass(hot), *columns)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     numbers=st.lists(st.text("019a", min_size=1, max_size=6), unique=True, min_size=1, max_size=40),
-    prefixes=st.lists(st.integers(1, 6), unique=True, max_size=3).map(sorted),
+    limit=st.integers(1, 8),
 )
-def test_position_is_the_place_in_string_order(spark, numbers, prefixes):
+def test_position_is_the_place_in_string_order(spark, numbers, limit):
     made = spark.createDataFrame([("x", n) for n in numbers], "shard_id string, sequence_number string")
-    got = {r.sequence_number: r.position for r in with_position(made, prefixes=prefixes).collect()}
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ordering, "WINDOW_ROWS", limit)
+        got = {r.sequence_number: r.position for r in with_position(made).collect()}
     assert got == {n: i for i, n in enumerate(sorted(numbers))}
