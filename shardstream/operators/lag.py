@@ -15,19 +15,24 @@ def behind_ms(last: Column | str, tip: Column | str) -> Column:
                             F.col(tip) if isinstance(tip, str) else tip)
 
 
-def with_millis_behind(rows: DataFrame, tips: DataFrame, last: str, salt_by: str = "fetch_no") -> DataFrame:
+def with_millis_behind(
+    rows: DataFrame, tips: DataFrame, last: str, salt_by: str = "fetch_no", settled: bool = False
+) -> DataFrame:
     """Add the lag of rows that know their fetch's last arrival."""
-    joined = join_shards(rows, tips.select("shard_id", "tip_ts"), salt_by=salt_by)
+    joined = join_shards(rows, tips.select("shard_id", "tip_ts"), salt_by=salt_by, settled=settled)
     return joined.withColumn("millis_behind_latest", behind_ms(last, "tip_ts")).drop("tip_ts")
 
 
-def committable(fetches: DataFrame, tips: DataFrame | None = None, progress: DataFrame | None = None) -> DataFrame:
+def committable(
+    fetches: DataFrame, tips: DataFrame | None = None, progress: DataFrame | None = None, settled: bool = False
+) -> DataFrame:
     """Records of fetches with starting sequence and lag, both constant over one fetch.
 
-    ``tips`` default to the ends of the given records.
+    ``tips`` default to the ends of the given records. ``settled`` tells that tips and progress are
+    cheap to read again and will not change.
     """
     tips = shard_tips(fetches) if tips is None else tips
     whole_fetch = Window.partitionBy("shard_id", "fetch_no")
     marked = fetches.withColumn("_last", F.max("arrival_ts").over(whole_fetch))
-    behind = with_millis_behind(marked, tips, "_last").drop("_last")
-    return with_starting_sequence(behind, progress)
+    behind = with_millis_behind(marked, tips, "_last", settled=settled).drop("_last")
+    return with_starting_sequence(behind, progress, settled)

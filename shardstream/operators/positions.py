@@ -94,12 +94,12 @@ def start_reading(
     return resume(records, progress, _arrived_since(since) if position == AT_TIMESTAMP else None)
 
 
-def with_starting_sequence(records: DataFrame, progress: DataFrame | None) -> DataFrame:
+def with_starting_sequence(records: DataFrame, progress: DataFrame | None, settled: bool = False) -> DataFrame:
     """The sequence each shard's reader started after: constant per shard, fixed at the start."""
     if progress is None:
         return records.withColumn("starting_sequence_number", F.lit(TRIM_HORIZON))
     starts = progress.select("shard_id", F.col("sequence_number").alias("starting_sequence_number"))
-    joined = join_shards(records, starts)
+    joined = join_shards(records, starts, settled=settled)
     return joined.withColumn(
         "starting_sequence_number", F.coalesce("starting_sequence_number", F.lit(TRIM_HORIZON))
     )

@@ -81,14 +81,15 @@ def merge_progress(committed: DataFrame, status: DataFrame | None, prior: DataFr
     )
 
 
-def invalid_progress(progress: DataFrame, records: DataFrame) -> DataFrame:
+def invalid_progress(progress: DataFrame, records: DataFrame, settled: bool = False) -> DataFrame:
     """Progress rows whose sequence number is not in the log.
 
     The log is only filtered by the few wanted keys and never shuffled, unless the progress table is
     too large to broadcast.
     """
     positions = F.col("sequence_number").isin(TRIM_HORIZON, LATEST, SHARD_END)
-    wanted = settle(progress.where(F.col("sequence_number").isNotNull() & ~positions))
+    wanted = progress.where(F.col("sequence_number").isNotNull() & ~positions)
+    wanted = wanted if settled else settle(wanted)
     keys = ["shard_id", "sequence_number"]
     probe = wanted.select(*keys).distinct()
     probe = F.broadcast(probe) if fits_broadcast(wanted) else probe

@@ -26,6 +26,12 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path.rstrip('/')}/{_DONE}")
 
 
+def drop_batch(spark: SparkSession, folder: str, batch_id: int) -> None:
+    """Remove what one batch wrote, if it is there."""
+    files, hadoop = _path(spark, batch_folder(folder, batch_id))
+    files.delete(hadoop, True)
+
+
 def latest_batch(spark: SparkSession, folder: str) -> int | None:
     """The highest batch written completely, or None."""
     files, hadoop = _path(spark, folder)

@@ -86,14 +86,17 @@ def start_consumer(
     options = options or SourceOptions()
     progress = f"{job.rstrip('/')}/progress"
     started_at = current_progress(spark, progress)
+    started_at = settle(started_at) if started_at is not None else None
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        # What a batch reads more than once is kept until its end; only the job's start is settled.
         batch = batch.persist()
+        reasons = status().persist() if status else None
         try:
-            reasons = settle(status()) if status else None
             handed = batch
             if with_envelope:
-                handed = committable(with_fetch(batch, options.fetch_records), shard_tips(batch), started_at)
+                fetches = with_fetch(batch, options.fetch_records)
+                handed = committable(fetches, shard_tips(batch), started_at, settled=True)
             handled = process(handed, batch_id)
             commit_batch(
                 batch if handled is None else handled,
@@ -104,6 +107,8 @@ def start_consumer(
             )
         finally:
             batch.unpersist()
+            if reasons is not None:
+                reasons.unpersist()
 
     writer = records.writeStream.foreachBatch(run).option("checkpointLocation", f"{job.rstrip('/')}/checkpoint")
     return writer.trigger(**({"availableNow": True} if once else options.trigger())).start()
@@ -120,13 +125,19 @@ def commit_batch(
 
     With ``delivered`` every committed sequence must be one of the delivered records.
     """
-    committed = checkpoint_records(handled, status)
-    if delivered is not None:
-        wrong = invalid_progress(committed, delivered).head(1)
-        if wrong:
-            raise InvalidProgress(f"not delivered: {wrong[0].asDict()}")
-        before = progress_at(handled.sparkSession, progress, batch_id - 1)
-        back = backward_progress(committed, before).head(1) if before is not None else []
-        if back:
-            raise InvalidProgress(f"goes back: {back[0].asDict()}")
-    return store_progress(committed, progress, batch_id, status)
+    committed = checkpoint_records(handled, status).persist()
+    try:
+        if delivered is not None:
+            _refuse(invalid_progress(committed, delivered, settled=True), "not delivered")
+            before = progress_at(handled.sparkSession, progress, batch_id - 1)
+            if before is not None:
+                _refuse(backward_progress(committed, before), "goes back")
+        return store_progress(committed, progress, batch_id, status)
+    finally:
+        committed.unpersist()
+
+
+def _refuse(wrong: DataFrame, why: str) -> None:
+    first = wrong.head(1)
+    if first:
+        raise InvalidProgress(f"{why}: {first[0].asDict()}")

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shardstream.model import PROGRESS
 from shardstream.operators.progress import merge_progress
-from shardstream.sources.folders import batch_folder, is_complete, latest_batch
+from shardstream.sources.folders import batch_folder, drop_batch, is_complete, latest_batch
+
+# Batches whose progress stays readable; the table of the batch before these is removed.
+KEPT_BATCHES = 100
 
 
 def progress_at(spark: SparkSession, folder: str, batch_id: int | None) -> DataFrame | None:
@@ -34,4 +37,6 @@ def store_progress(
     if prior is None and batch_id > 0:
         raise ValueError(f"no progress stored for batch {batch_id - 1} in {folder}")
     merge_progress(committed, status, prior).write.mode("overwrite").parquet(batch_folder(folder, batch_id))
+    if batch_id >= KEPT_BATCHES:
+        drop_batch(spark, folder, batch_id - KEPT_BATCHES)
     return progress_at(spark, folder, batch_id)

@@ -192,3 +192,16 @@ def test_a_complete_slice_is_left_alone(spark, log, place):
     assert append_slice(log.limit(10), place["log"], 0)
     assert not append_slice(log, place["log"], 0)
     assert read_log(spark, place["log"]).count() == 10
+
+
+def test_old_progress_tables_are_removed(spark, log, place, monkeypatch):
+    from shardstream.sources.folders import batch_folder, exists
+    from shardstream.streaming import progress_table
+
+    monkeypatch.setattr(progress_table, "KEPT_BATCHES", 2)
+    for i, part in enumerate(slices(log)):
+        append_slice(part, place["log"], i)
+        run(spark, place)
+    folder = place["job"] + "/progress"
+    assert [exists(spark, batch_folder(folder, i)) for i in range(4)] == [False, False, True, True]
+    assert progress(spark, place) == rows(checkpoint_records(log))
