@@ -1,4 +1,8 @@
-"""Committing progress: which records count, and what is stored per shard."""
+"""Committing progress: which records count, and what is stored per shard.
+
+A status table (shard and shutdown reason) is one that is kept somewhere, so that reading it twice is
+cheap and gives the same.
+"""
 
 from __future__ import annotations
 
@@ -16,7 +20,7 @@ FAILED = "failed"
 
 def with_can_checkpoint(records: DataFrame, status: DataFrame) -> DataFrame:
     """Mark records of shards that are not shut down. No row is removed: all are still delivered."""
-    joined = join_shards(records, status.select("shard_id", "shutdown_reason"))
+    joined = join_shards(records, status.select("shard_id", "shutdown_reason"), settled=True)
     return joined.withColumn("can_checkpoint", F.col("shutdown_reason").isNull()).drop("shutdown_reason")
 
 
@@ -41,7 +45,8 @@ def checkpoint_record_sets(sets: DataFrame, status: DataFrame | None = None) ->
     if status is None:
         sets = sets.withColumn("shutdown_reason", F.lit(None).cast("string"))
     else:
-        sets = join_shards(sets, status.select("shard_id", "shutdown_reason"), salt_by="fetch_no")
+        status = status.select("shard_id", "shutdown_reason")
+        sets = join_shards(sets, status, salt_by="fetch_no", settled=True)
     last = F.try_element_at("records", F.lit(-1))["sequence_number"]
     closed = F.col("shutdown_reason").isNotNull()
     return sets.select(

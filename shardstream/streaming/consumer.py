@@ -7,7 +7,7 @@ holds every record once when ``process`` writes per batch id, as ``write_batches
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from shardstream.operators.shards import join_shards
 from shardstream.session import settle
 from shardstream.sources.folders import batch_folder, is_complete
 from shardstream.sources.log import read_log, stream_log
-from shardstream.sources.options import SourceOptions
+from shardstream.sources.options import Overrides, SourceOptions, resolve_options
 from shardstream.streaming.progress_table import current_progress, progress_at, store_progress
 
 Process = Callable[[DataFrame, int], "DataFrame | None"]
@@ -114,6 +114,20 @@ def start_consumer(
     return writer.trigger(**({"availableNow": True} if once else options.trigger())).start()
 
 
+def start_from_config(
+    spark: SparkSession,
+    log: str,
+    job: str,
+    process: Process,
+    config: Mapping[str, object] | None = None,
+    overrides: Overrides | None = None,
+    **more,
+) -> StreamingQuery:
+    """Read a log and run ``process`` on it with settings from a configuration."""
+    options = resolve_options(config, overrides)
+    return start_consumer(read_records(spark, log, job, options), process, job, options, **more)
+
+
 def commit_batch(
     handled: DataFrame,
     progress: str,

@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from shardstream.model import LATEST, RECORD_COLUMNS, SHARD_END, TRIM_HORIZON
 from shardstream.operators.progress import checkpoint_records
+from shardstream.plans import tables
 from shardstream.sources.log import append_slice, read_log, stream_log
-from shardstream.sources.options import SourceOptions
-from shardstream.streaming.consumer import read_records, start_consumer, write_batches
+from shardstream.sources.options import Overrides, SourceOptions
+from shardstream.streaming.changes import start_changes
+from shardstream.streaming.consumer import read_records, start_consumer, start_from_config, write_batches
+from shardstream.streaming.health import Endings
 from shardstream.streaming.progress_table import current_progress
 from tests.helpers import records, rows
 
@@ -205,3 +208,41 @@ def test_old_progress_tables_are_removed(spark, log, place, monkeypatch):
     folder = place["job"] + "/progress"
     assert [exists(spark, batch_folder(folder, i)) for i in range(4)] == [False, False, True, True]
     assert progress(spark, place) == rows(checkpoint_records(log))
+
+
+def test_settings_from_a_configuration(spark, log, place):
+    append_slice(log, place["log"], 0)
+    config = {"initial-position-in-stream": "LATEST", "max-records": 70}
+    sizes = []
+
+    def look(batch, batch_id):
+        sizes.extend(r["count"] for r in batch.groupBy("shard_id", "fetch_no").count().collect())
+
+    start_from_config(
+        spark, place["log"], place["job"], look, config, Overrides(initial_position=TRIM_HORIZON),
+        with_envelope=True, once=True,
+    ).awaitTermination()
+    assert sum(sizes) == 1000 and max(sizes) == 70
+
+
+def test_changes_are_decoded_and_reported(spark, events, place):
+    append_slice(tables.change_log(events), place["log"], 0)
+    seen = []
+
+    def keep(batch, batch_id):
+        seen.extend(rows(batch, "id", "value", "starting_sequence_number"))
+
+    def start(**reports):
+        return start_changes(
+            spark, place["log"], place["job"], tables.IMAGE, keep, options=FROM_START,
+            with_envelope=True, once=True, **reports,
+        )
+
+    with pytest.raises(ValueError, match="either"):
+        start()
+    listener = Endings()
+    query = start(listener=listener)
+    query.awaitTermination()
+    spark.streams.removeListener(listener)
+    assert sorted((i, v) for i, v, _ in seen) == sorted(tuple(r) for r in events.select("user_id", "event_type").collect())
+    assert {start for _, _, start in seen} == {TRIM_HORIZON}
