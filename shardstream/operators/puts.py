@@ -16,8 +16,11 @@ from shardstream.functions.retry import (
 
 
 def unacknowledged(requests: DataFrame, results: DataFrame) -> DataFrame:
-    """Requests without a result. The put is drained exactly when there is none."""
-    return requests.join(results.select("request_id"), "request_id", "left_anti")
+    """Requests without a result. The put is drained exactly when there is none.
+
+    Repeated results of one request are dropped before they are shuffled.
+    """
+    return requests.join(results.select("request_id").distinct(), "request_id", "left_anti")
 
 
 def attempt_schedule(requests: DataFrame, failures: Column | str, policy: RetryPolicy) -> DataFrame:

@@ -149,9 +149,13 @@ def put_through(
     settings: PutSettings,
     on_exhausted: str = RAISE,
     longest_pause_ms: int = LONGEST_PAUSE_MS,
+    limit_writers: bool = False,
 ) -> DataFrame:
     """Put requests with a user's function and return one result per request.
 
+    Requests are put where they are read; ``limit_writers`` moves them to ``parallelism`` tasks, which
+    bounds the calls under way but also the speed.
+
     Each call gets at most ``max_batch_size`` requests. Records that fail are put again under the
     retry policy, together with the others that failed; a record past its retries stops the job, or
     becomes an unsuccessful result with ``on_exhausted="dead_letter"``. Any other error stops the job.
@@ -166,7 +170,10 @@ def put_through(
             for start in range(0, batch.num_rows, size):
                 yield _put_until_done(batch.slice(start, size), put, policy, on_exhausted, longest_pause_ms)
 
-    return spread_writers(identify_requests(requests), settings).mapInArrow(run, PUT_RESULT)
+    requests = identify_requests(requests)
+    if limit_writers:
+        requests = spread_writers(requests, settings)
+    return requests.mapInArrow(run, PUT_RESULT)
 
 
 def _put_until_done(
