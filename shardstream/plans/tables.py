@@ -14,6 +14,9 @@ SHARDS = 4
 STREAM = "events"
 FETCH_RECORDS = 500
 
+# Most that one micro-batch reads.
+BATCH_BYTES = 256 * 1024**3
+
 # Fixed values of the test log: dates that cut it, and the state of each shard.
 PROGRESS_UNTIL = "2024-01-10"
 LATEST_FROM = "2024-01-25"
@@ -29,7 +32,8 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 def events_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The events as a stream. A pattern, because a plain path would have to be a folder."""
-    return spark.readStream.schema(events(spark, folder).schema).parquet(f"{folder}/events.parque[t]")
+    reader = spark.readStream.schema(events(spark, folder).schema).option("maxBytesPerTrigger", BATCH_BYTES)
+    return reader.parquet(f"{folder}/events.parque[t]")
 
 
 def padded(number: Column | str) -> Column:

@@ -89,8 +89,10 @@ def start_consumer(
     started_at = settle(started_at) if started_at is not None else None
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        # What a batch reads more than once is kept until its end; only the job's start is settled.
-        batch = batch.persist()
+        # Committing reads two narrow columns again, which is cheaper than keeping the payloads; only
+        # envelopes read the batch often enough. The tables made here live until the batch ends.
+        if with_envelope:
+            batch = batch.persist()
         reasons = status().persist() if status else None
         try:
             handed = batch
@@ -106,7 +108,8 @@ def start_consumer(
                 delivered=batch if handled is not None and options.validate_sequence_number else None,
             )
         finally:
-            batch.unpersist()
+            if with_envelope:
+                batch.unpersist()
             if reasons is not None:
                 reasons.unpersist()
 
