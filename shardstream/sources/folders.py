@@ -26,6 +26,19 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path.rstrip('/')}/{_DONE}")
 
 
+def publish(spark: SparkSession, staged: str, target: str) -> None:
+    """Move a complete write to its place, in one step where the file system can.
+
+    What an incomplete write left at ``target`` is replaced.
+    """
+    files, source = _path(spark, staged)
+    _, goal = _path(spark, target)
+    files.delete(goal, True)
+    files.mkdirs(goal.getParent())
+    if not files.rename(source, goal):
+        raise OSError(f"could not move {staged} to {target}")
+
+
 def drop_batch(spark: SparkSession, folder: str, batch_id: int) -> None:
     """Remove what one batch wrote, if it is there."""
     files, hadoop = _path(spark, batch_folder(folder, batch_id))

@@ -5,25 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shardstream.model import RECORD, RECORD_COLUMNS
-from shardstream.sources.folders import batch_folder, is_complete
+from shardstream.sources.folders import batch_folder, is_complete, publish
+
+# Where slices are written before they are part of the log; readers pass over names with an underscore.
+STAGING = "_staging"
 
 
 def append_slice(records: DataFrame, log: str, batch_id: int, one_file_per_shard: bool = False) -> bool:
     """Append records as slice ``batch_id``; False when that slice is already complete.
 
-    A slice that was written completely is left alone, so that a replayed batch gives readers nothing
-    twice; an incomplete one is replaced. Append slices in the order their records arrived.
+    A slice that is complete is left alone, so that a replayed batch gives readers nothing twice. A
+    slice is written aside and then moved into the log, so that readers see all of it or nothing on
+    file systems that rename in one step. Append slices in the order their records arrived.
 
-    Files of one slice become visible in no particular order. A reader that takes a slice in several
-    micro-batches keeps the order of a shard only with ``one_file_per_shard``, which sends each shard
-    through one task; leave it off where one shard may hold much of a slice.
+    A reader that takes a slice in several micro-batches keeps the order of a shard only with
+    ``one_file_per_shard``, which sends each shard through one task; leave it off where one shard may
+    hold much of a slice.
     """
-    target = batch_folder(log, batch_id)
-    if is_complete(records.sparkSession, target):
+    spark, target = records.sparkSession, batch_folder(log, batch_id)
+    if is_complete(spark, target):
         return False
     if one_file_per_shard:
         records = records.repartition("shard_id").sortWithinPartitions("shard_id", "sequence_number")
-    records.write.mode("overwrite").parquet(target)
+    staged = batch_folder(f"{log.rstrip('/')}/{STAGING}", batch_id)
+    records.write.mode("overwrite").parquet(staged)
+    publish(spark, staged, target)
     return True
 
 

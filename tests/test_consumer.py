@@ -246,3 +246,21 @@ def test_changes_are_decoded_and_reported(spark, events, place):
     spark.streams.removeListener(listener)
     assert sorted((i, v) for i, v, _ in seen) == sorted(tuple(r) for r in events.select("user_id", "event_type").collect())
     assert {start for _, _, start in seen} == {TRIM_HORIZON}
+
+
+def test_leftovers_of_a_crashed_append_are_not_read(spark, log, place):
+    append_slice(log.limit(10), place["log"], 0)
+    log.limit(7).write.parquet(place["log"] + "/_staging/batch_id=1")
+    assert read_log(spark, place["log"]).count() == 10
+    run(spark, place)
+    assert spark.read.parquet(place["out"]).count() == 10
+    assert append_slice(log.limit(20), place["log"], 1)
+    assert read_log(spark, place["log"]).count() == 30
+    run(spark, place)
+    assert spark.read.parquet(place["out"]).count() == 30
+
+
+def test_incomplete_slice_is_replaced(spark, log, place):
+    log.limit(5).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(place["log"] + "/batch_id=0")
+    assert append_slice(log.limit(8), place["log"], 0)
+    assert read_log(spark, place["log"]).count() == 8
