@@ -34,6 +34,16 @@ def from_latest(records: DataFrame, tips: DataFrame) -> DataFrame:
     return resume(records, tips.select("shard_id", "sequence_number"))
 
 
+def lowest_progress(progress: DataFrame) -> str | None:
+    """The sequence before which no listed shard reads on; None if there is no such bound."""
+    stored = F.col("sequence_number")
+    found = progress.agg(
+        F.min(F.when(~stored.isin(TRIM_HORIZON, SHARD_END), stored)).alias("low"),
+        F.bool_or(stored.isNull() | (stored == TRIM_HORIZON)).alias("from_start"),
+    ).first()
+    return None if found["from_start"] else found["low"]
+
+
 def resume(
     records: DataFrame,
     progress: DataFrame,
@@ -46,15 +56,10 @@ def resume(
     ``every_shard_listed`` says that no such shard exists, the smallest stored sequence becomes a
     filter on the scan, which skips the files every shard is done with.
     """
-    progress = settle(progress.select("shard_id", F.col("sequence_number").alias("_done")))
-    if every_shard_listed:
-        positions = F.col("_done").isin(TRIM_HORIZON, SHARD_END)
-        low = progress.agg(
-            F.min(F.when(~positions, F.col("_done"))).alias("low"),
-            F.coalesce(F.bool_or(F.col("_done").isNull() | (F.col("_done") == TRIM_HORIZON)), F.lit(True)).alias("all"),
-        ).first()
-        if not low["all"] and low["low"] is not None:
-            records = records.where(F.col("sequence_number") > low["low"])
+    progress = settle(progress.select("shard_id", "sequence_number"))
+    if every_shard_listed and (low := lowest_progress(progress)) is not None:
+        records = records.where(F.col("sequence_number") > low)
+    progress = progress.withColumnRenamed("sequence_number", "_done")
     done = F.col("_done")
     start = F.lit(True) if otherwise is None else otherwise
     wanted = (

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shardstream.model import RECORD, RECORD_COLUMNS
+from shardstream.model import RECORD, RECORD_COLUMNS, SEQUENCE_PART
+from shardstream.operators.positions import lowest_progress, resume
+from shardstream.session import settle
 from shardstream.sources.folders import batch_folder, is_complete, publish
 
 # Where slices are written before they are part of the log; readers pass over names with an underscore.
@@ -38,6 +41,20 @@ def read_log(spark: SparkSession, log: str) -> DataFrame:
     return spark.read.schema(RECORD).parquet(log).select(*RECORD_COLUMNS)
 
 
+def read_after(spark: SparkSession, log: str, progress: DataFrame) -> DataFrame:
+    """Records after each shard's progress, from a log whose sequence numbers ``put_records`` gave.
+
+    Every shard must be listed in ``progress``. The batch in the lowest sequence number says which
+    slices all shards are done with; their files are not opened.
+    """
+    progress = settle(progress.select("shard_id", "sequence_number"))
+    records = spark.read.schema(RECORD).parquet(log)
+    low = lowest_progress(progress)
+    if low is not None:
+        records = records.where(F.col("batch_id") >= int(low[:SEQUENCE_PART]))
+    return resume(records.select(*RECORD_COLUMNS), progress, every_shard_listed=True)
+
+
 def stream_log(spark: SparkSession, log: str, **options: str) -> DataFrame:
     """A log as a stream. ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a micro-batch."""
     reader = spark.readStream.schema(RECORD)

@@ -14,17 +14,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shardstream.functions.retry import RECORD_FAILED, RetryPolicy, delay_ms
 from shardstream.functions.routing import shard_of
-from shardstream.model import PUT_RESULT, RECORD_COLUMNS
+from shardstream.model import PUT_RESULT, RECORD_COLUMNS, SEQUENCE_PART
 from shardstream.operators.ordering import with_position
 from shardstream.operators.quota import PutSettings
 from shardstream.session import settle
 from shardstream.sources.folders import batch_folder, is_complete
 from shardstream.sources.log import append_slice
 
-# A sequence number is the batch and the place in its shard, each padded to this many digits, so that
-# string order is put order.
-SEQUENCE_PART = 10
-
 # Longest pause inside a task. Longer delays are data (see attempt_schedule), not waiting.
 LONGEST_PAUSE_MS = 1000
 

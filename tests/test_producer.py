@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from shardstream.functions.attempts import all_attempts_ok, is_complete
 from shardstream.functions.retry import LINEAR, RetryPolicy
 from shardstream.functions.routing import shard_of
-from shardstream.model import PUT_REQUEST, RECORD_COLUMNS
+from shardstream.model import PUT_REQUEST, RECORD_COLUMNS, TRIM_HORIZON
+from shardstream.operators.positions import resume, shard_tips
 from shardstream.operators.puts import unacknowledged
 from shardstream.operators.quota import PutSettings
 from shardstream.plans import tables
-from shardstream.sources.log import read_log
+from shardstream.sources.log import read_after, read_log
 from shardstream.streaming.producer import (
     DEAD_LETTER,
     assign_sequence,
@@ -200,3 +201,17 @@ def test_hot_key_is_spread_over_the_writers(requests):
 def test_unknown_policy_is_refused(requests):
     with pytest.raises(ValueError):
         put_through(requests, failing(0), quick(), on_exhausted="ignore")
+
+
+def test_reading_on_skips_finished_slices(spark, requests, tmp_path):
+    log = str(tmp_path)
+    for i in range(4):
+        put_records(requests.where(F.col("request_id").cast("bigint") % 4 == i), log, 4, i)
+    stored = shard_tips(read_log(spark, log).where("sequence_number < '00000000020000000003'"))
+    rest = read_after(spark, log, stored)
+    columns = ("shard_id", "sequence_number")
+    assert rows(rest, *columns) == rows(resume(read_log(spark, log), stored.select(*columns)), *columns)
+    plan = rest._jdf.queryExecution().executedPlan().toString()
+    assert "batch_id" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+    from_start = stored.select("shard_id", F.lit(TRIM_HORIZON).alias("sequence_number"))
+    assert read_after(spark, log, from_start).count() == 1000
