@@ -4,7 +4,10 @@ A window over a whole shard runs in one task, so one shard with a third of the l
 Where a shard is too large for that, it is cut at prefixes of the sequence number. A prefix never goes
 down when the string goes up, so the sum before a row is the sum of the buckets before its bucket plus
 the sum before it inside its bucket. The first part needs one row per bucket; those rows are summed in
-the same way, which cuts them again if there are too many of them. Buckets are counted, and those that are still too large are cut further.
+the same way, which cuts them again if there are too many of them.
+
+Buckets are counted, and those that are still too large are cut further. Only equal strings stay
+together, and within a shard there should be none.
 """
 
 from __future__ import annotations

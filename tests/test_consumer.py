@@ -153,7 +153,8 @@ def test_order_of_a_shard_holds_across_micro_batches(spark, log, place):
     spans = []
 
     def note(batch, batch_id):
-        spans.append({r[0]: (r[1], r[2]) for r in batch.groupBy("shard_id").agg(F.min("sequence_number"), F.max("sequence_number")).collect()})
+        ends = batch.groupBy("shard_id").agg(F.min("sequence_number"), F.max("sequence_number"))
+        spans.append({shard: (low, high) for shard, low, high in ends.collect()})
 
     stream = stream_log(spark, place["log"], maxFilesPerTrigger="1")
     start_consumer(stream, note, place["job"], FROM_START, once=True).awaitTermination()

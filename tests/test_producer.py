@@ -62,7 +62,8 @@ def test_every_request_has_one_result_and_its_shard(spark, requests, tmp_path):
 def test_sequence_order_is_request_order_across_batches(spark, requests, tmp_path):
     early, late = requests.where("request_id < '00000000000000000400'"), requests.where("request_id >= '00000000000000000400'")
     results = put_records(early, str(tmp_path), 4, 0).unionByName(put_records(late, str(tmp_path), 4, 1))
-    per_shard = results.groupBy("shard_id").agg(F.array_sort(F.collect_list(F.struct("sequence_number", "request_id"))).alias("r"))
+    put = F.struct("sequence_number", "request_id")
+    per_shard = results.groupBy("shard_id").agg(F.array_sort(F.collect_list(put)).alias("r"))
     for r in per_shard.collect():
         ids = [x.request_id for x in r.r]
         assert ids == sorted(ids)
