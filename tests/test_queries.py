@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from shardstream.plans.oracles import ORACLES
+from shardstream.plans.queries import QUERIES
 from tests.helpers import rows
 
 FOLDER = "/root/testdata/sf0.01"
@@ -18,7 +20,9 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry_point.queries().items()
+    assert ORACLES.items() <= entry_point.oracle_sql().items()
 
 
 def test_entry(spark):
@@ -27,10 +31,10 @@ def test_entry(spark):
     assert set(result.columns) >= {"shard_id", "committed", "max_millis_behind"}
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_as_sql(name, spark, duck):
-    sql = entry_point.oracle_sql()[name]
-    result = entry_point.queries()[name](spark, FOLDER)
+    sql = ORACLES[name]
+    result = QUERIES[name](spark, FOLDER)
     expected = duck.sql(sql)
     columns = sorted(result.columns)
     assert sorted(expected.columns) == columns
