@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardstream.llm.common import read_table
 from shardstream.llm.fingerprints import compare_with_next
 from shardstream.llm.licenses import scan_licenses
+from shardstream.llm.packing import pack_documents
+from shardstream.llm.urls import judge_pages
 
 
 def joined_labels(matches: Column) -> Column:
@@ -51,7 +54,19 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_link_graph_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page by rule, else by the trust and distrust of its host."""
+    return judge_pages(read_table(spark, sf_dir, "pages"))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 4096 tokens."""
+    return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
+    "op3_link_graph_filter": op3_link_graph_filter,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op1_license_scan": op1_license_scan,
     "op9_winnowing": op9_winnowing,
 }
