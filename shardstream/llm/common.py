@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -57,9 +58,62 @@ def map_rows(
     return table.select(*columns).mapInArrow(run, schema)
 
 
+def add_columns(table: DataFrame, columns: list[str], added: str, start: Callable[[], Callable]) -> DataFrame:
+    """The table with columns that a function makes from the values of ``columns``, as in ``map_rows``.
+
+    All other columns are passed on; those of the added names are replaced.
+    """
+    new = StructType.fromDDL(added)
+    kept = [f for f in table.schema if f.name not in new.names]
+    schema = StructType(kept + list(new))
+    out = to_arrow_schema(schema, prefers_large_types=False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = start()
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                values = zip(*(part.column(c).to_pylist() for c in columns), strict=True)
+                made = zip(*(function(*v) for v in values), strict=True)
+                old = [part.column(f.name).cast(out.field(f.name).type) for f in kept]
+                fresh = [pa.array(v, type=out.field(f.name).type) for v, f in zip(made, new, strict=True)]
+                yield pa.RecordBatch.from_arrays(old + fresh, schema=out)
+
+    return table.mapInArrow(run, schema)
+
+
+class Kept(dict):
+    """A table that makes what it lacks, and begins anew when full."""
+
+    def __init__(self, make: Callable, most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = made = self.make(key)
+        return made
+
+
 def arrow_schema(schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def labelled_sample(labels: DataFrame, label: str, most: int, id_col: str = "doc_id") -> DataFrame:
+    """At most ``most`` labelled ids of each label, 0 and 1, chosen by a hash of the id: (id, label).
+
+    The bound makes it safe to broadcast. Null ids and labels are left out; an id labelled twice counts once,
+    with its higher label.
+    """
+    known = labels.select(F.col(id_col).alias("labelled_id"), F.col(label).cast("int").alias("label"))
+    known = known.filter("labelled_id is not null and label in (0, 1)").groupBy("labelled_id").agg(
+        F.max("label").alias("label")
+    )
+    by_hash = [F.xxhash64("labelled_id"), F.col("labelled_id")]
+    parts = [known.filter(F.col("label") == k).orderBy(*by_hash).limit(most) for k in (0, 1)]
+    return parts[0].unionByName(parts[1])

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shardstream.llm.common import arrow_schema, map_rows, partitions, pin
+from shardstream.llm.common import Kept, arrow_schema, map_rows, partitions, pin
 
 SIZE, END_ID = 4096, 1
 KEPT_WORDS = 400_000
@@ -35,7 +35,7 @@ class WordIds:
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
-        self.chunks, self.words = Kept(self._chunk), Kept(self._word)
+        self.chunks, self.words = Kept(self._chunk, KEPT_WORDS), Kept(self._word, KEPT_WORDS)
 
     def _chunk(self, chunk: str) -> bytes:
         return b"".join(map(self.words.__getitem__, WORDS.findall(chunk)))
@@ -51,20 +51,6 @@ class WordIds:
         return b"".join(map(self.chunks.__getitem__, text.lower().split()))
 
 
-class Kept(dict):
-    """A table that makes what it lacks, and begins anew when full."""
-
-    def __init__(self, make: Callable[[str], bytes], most: int = KEPT_WORDS):
-        super().__init__()
-        self.make, self.most = make, most
-
-    def __missing__(self, key: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        self[key] = made = self.make(key)
-        return made
-
-
 def shown_bytes() -> dict[int, int]:
     """How a byte-level vocabulary shows a byte: as its own character if that is visible, else as the next one from 256."""
     visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]

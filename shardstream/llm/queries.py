@@ -10,6 +10,8 @@ from shardstream.llm.common import read_table
 from shardstream.llm.fingerprints import compare_with_next
 from shardstream.llm.licenses import scan_licenses
 from shardstream.llm.packing import pack_documents
+from shardstream.llm.quality import resample
+from shardstream.llm.toxicity import score_toxicity
 from shardstream.llm.urls import judge_pages
 
 
@@ -54,6 +56,17 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    scored = score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "n_words", "n_hits")
+
+
+def op4_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of every document and whether it is sampled, as many as reach the cut that the labels give."""
+    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_link_graph_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page by rule, else by the trust and distrust of its host."""
     return judge_pages(read_table(spark, sf_dir, "pages"))
@@ -65,6 +78,8 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op4_importance_resampling": op4_importance_resampling,
     "op3_link_graph_filter": op3_link_graph_filter,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op1_license_scan": op1_license_scan,
