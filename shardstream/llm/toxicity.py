@@ -22,7 +22,7 @@ MOST_LABELLED = 20_000
 MOST_TERMS = 20_000
 PREFIXES = range(3, 9)
 #: What a beginning of words needs: so many words of toxic documents, and this share of them in toxic documents.
-LEAST_WORDS, LEAST_SHARE = 4, 0.98
+LEAST_WORDS, LEAST_SHARE = 4, 0.6
 LEAST_WEIGHT, PULL = 2.0, 4
 THRESHOLD = 0.7
 #: Phrases in which an entry is harmless. More are learned: neighbours of an entry seen in clean documents only.
@@ -81,9 +81,9 @@ def fit_lexicon(known: DataFrame, most_terms: int = MOST_TERMS) -> dict[str, flo
     """Entries and weights. An entry begins with a space, one that is a whole word ends with one.
 
     An entry's share of toxic documents must be too high for chance among as many words as there are. The beginning of
-    words is an entry if several words of toxic documents begin so and hardly any of clean ones. Of two entries
-    of which one begins the other the shorter one stays. The weight is the log odds of the share, drawn towards the
-    share of all words where support is small. At most ``most_terms`` entries, by support, are kept.
+    words is an entry if several words of toxic documents begin so. Of two entries of which one begins the other the
+    less likely one by chance stays. The weight is the log odds of the share, drawn towards the share of all words
+    where support is small. At most ``most_terms`` entries are kept.
     """
     counts = pin(word_counts(known), "words")
     total = counts.agg(F.count("*"), F.sum("toxic"), F.sum("clean")).first()
@@ -107,15 +107,19 @@ def fit_lexicon(known: DataFrame, most_terms: int = MOST_TERMS) -> dict[str, flo
         F.col("clean") > 0, F.col("clean") * F.log((1 - share) / (1 - base))
     ).otherwise(0.0)
     drawn = (F.col("toxic") + PULL * base) / (n + PULL)
-    whole = (surprise >= chance - 2) & (share > base)
+    whole = (surprise >= chance - 3) & (share > base)
     begins = (F.col("words") >= LEAST_WORDS) & (share >= LEAST_SHARE) & (surprise >= chance + 2)
     chosen = summed.filter(F.col("toxic") > 0).filter(F.when(F.col("term").endswith(" "), whole).otherwise(begins))
     chosen = chosen.withColumn("weight", F.log(drawn / (1 - drawn)) - float(np.log(base / (1 - base))))
-    rows = chosen.filter(F.col("weight") >= LEAST_WEIGHT).orderBy(F.desc("toxic"), "term").limit(most_terms).collect()
+    chosen = chosen.withColumn("surprise", surprise).filter(F.col("weight") >= LEAST_WEIGHT)
+    best = chosen.orderBy(F.desc("surprise"), F.desc(F.length("term")), "term").limit(most_terms).collect()
     lexicon: dict[str, float] = {}
-    for row in sorted(rows, key=lambda r: len(r.term)):
-        if not any(row.term[:k] in lexicon for k in range(2, len(row.term))):
-            lexicon[row.term] = row.weight
+    begun: set[str] = set()
+    for term, weight in ((r.term, r.weight) for r in best):
+        parts = {term[:k] for k in range(2, len(term) + 1)}
+        if term not in begun and not parts & lexicon.keys():
+            lexicon[term] = weight
+            begun |= parts
     return lexicon
 
 
