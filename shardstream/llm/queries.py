@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shardstream.llm.common import read_table
 from shardstream.llm.fingerprints import compare_with_next
+from shardstream.llm.jaccard import jaccard_groups
 from shardstream.llm.licenses import scan_licenses
 from shardstream.llm.packing import pack_documents
 from shardstream.llm.quality import resample
@@ -72,12 +73,18 @@ def op3_link_graph_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of every document by Jaccard similarity of five-word shingles of 0.8 or more."""
+    return jaccard_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 4096 tokens."""
     return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES = {
+    "op6_jaccard_join": op6_jaccard_join,
     "op2_toxicity": op2_toxicity,
     "op4_importance_resampling": op4_importance_resampling,
     "op3_link_graph_filter": op3_link_graph_filter,
