@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardstream.llm.common import read_table
+from shardstream.llm.embeddings import near_copies
 from shardstream.llm.fingerprints import compare_with_next
 from shardstream.llm.jaccard import jaccard_groups
 from shardstream.llm.licenses import scan_licenses
@@ -73,6 +74,11 @@ def op3_link_graph_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op5_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and group of every vector by cosine of 0.95 or more."""
+    return near_copies(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of every document by Jaccard similarity of five-word shingles of 0.8 or more."""
     return jaccard_groups(read_table(spark, sf_dir, "documents"))
@@ -84,6 +90,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_near_embeddings": op5_near_embeddings,
     "op6_jaccard_join": op6_jaccard_join,
     "op2_toxicity": op2_toxicity,
     "op4_importance_resampling": op4_importance_resampling,
