@@ -12,6 +12,7 @@ from shardstream.llm.fingerprints import compare_with_next
 from shardstream.llm.jaccard import jaccard_groups
 from shardstream.llm.licenses import scan_licenses
 from shardstream.llm.packing import pack_documents
+from shardstream.llm.pieces import decode_ids, encode_texts
 from shardstream.llm.quality import resample
 from shardstream.llm.toxicity import score_toxicity
 from shardstream.llm.urls import judge_pages
@@ -89,7 +90,23 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the pieces of every document and of the text decoded from them, and whether that is the document's."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    decoded = decode_ids(encode_texts(read_table(spark, sf_dir, "documents"), model), model)
+    digest = F.sha2("decoded", 256)
+    return decoded.select(
+        "doc_id",
+        "n_chunks",
+        "n_ids",
+        "ids_crc32",
+        digest.alias("decoded_sha256"),
+        (digest == F.col("text_sha256")).alias("round_trip"),
+    )
+
+
 QUERIES = {
+    "op10_sentencepiece": op10_sentencepiece,
     "op5_near_embeddings": op5_near_embeddings,
     "op6_jaccard_join": op6_jaccard_join,
     "op2_toxicity": op2_toxicity,
