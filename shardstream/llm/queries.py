@@ -13,6 +13,7 @@ from shardstream.llm.jaccard import jaccard_groups
 from shardstream.llm.licenses import scan_licenses
 from shardstream.llm.packing import pack_documents
 from shardstream.llm.pieces import decode_ids, encode_texts
+from shardstream.llm.pii import FORMS, find_spans, written
 from shardstream.llm.quality import resample
 from shardstream.llm.toxicity import score_toxicity
 from shardstream.llm.urls import judge_pages
@@ -85,6 +86,17 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, by form and by trusted contexts."""
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return find_spans(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", *map(number, FORMS), F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans")
+    )
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 4096 tokens."""
     return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -106,6 +118,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_personal_data": op7_personal_data,
     "op10_sentencepiece": op10_sentencepiece,
     "op5_near_embeddings": op5_near_embeddings,
     "op6_jaccard_join": op6_jaccard_join,
