@@ -214,8 +214,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     text = F.col(text_col)
     same = text.isNotNull() & F.col(id_col).eqNullSafe(F.col("span_id")) & (F.xxhash64(text_col) == F.col("span_hash"))
     both = docs.join(pin(spans, "redactions"), same & (F.length(text) == F.col("span_length")), "left")
-    out = F.when(F.col("span_hash").isNotNull(), redacted(text, F.col("spans"))).otherwise(text)
-    changed = {text_col: out}
+    hit = F.col("span_hash").isNotNull()
+    made = {text_col: F.when(hit, redacted(text, F.col("spans"))).otherwise(text)}
     if length_col in docs.columns:
-        changed[length_col] = F.when(F.col("span_hash").isNotNull(), F.length(out).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
-    return both.withColumns(changed).select(*docs.columns)
+        length = F.length(redacted(text, F.col("spans"))).cast(docs.schema[length_col].dataType)
+        made[length_col] = F.when(hit, length).otherwise(F.col(length_col))
+    return both.select(*(made[c].alias(c) if c in made else F.col(c) for c in docs.columns))
