@@ -64,10 +64,11 @@ def count_shingles(docs: DataFrame, size: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(counts[place])], ["place", "n"])
 
     counted = docs.select("text").mapInArrow(run, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
-    rows = counted.toPandas()  # at most COUNTERS rows
-    table = np.zeros(COUNTERS, np.int64)
-    table[rows["place"]] = rows["n"]
-    return np.minimum(table, np.iinfo(np.int32).max).astype(np.int32)
+    counted = counted.select("place", F.least("n", F.lit(2**31 - 1)).cast("int").alias("n"))
+    rows = counted.toArrow()  # at most COUNTERS rows
+    table = np.zeros(COUNTERS, np.int32)
+    table[rows["place"].to_numpy()] = rows["n"].to_numpy()
+    return table
 
 
 def ordered_prefixes(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:

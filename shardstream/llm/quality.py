@@ -89,9 +89,9 @@ def count_ngrams(docs: DataFrame, id_col: str, text_col: str, sample: DataFrame)
 
 def fit_log_ratios(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> np.ndarray:
     """Log ratio of target and raw model for every bucket, smoothed by one count; zeros where nothing is labelled good."""
-    rows = count_ngrams(docs, id_col, text_col, sample).toPandas()  # at most BUCKETS rows
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[rows["bucket"]], target[rows["bucket"]] = rows["raw"], rows["target"]
+    rows = count_ngrams(docs, id_col, text_col, sample).toArrow()  # at most BUCKETS rows
+    raw, target, bucket = np.zeros(BUCKETS), np.zeros(BUCKETS), rows["bucket"].to_numpy()
+    raw[bucket], target[bucket] = rows["raw"].to_numpy(), rows["target"].to_numpy()
     if not target.any():
         return np.zeros(BUCKETS)
     return np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
