@@ -1,19 +1,78 @@
-"""A corpus pipeline of the operators in ``shardstream.llm``: stages over a folder of tables."""
+"""A corpus pipeline of the operators in ``shardstream.llm``: stages over a folder of tables.
+
+Each stage gets all documents that the one before it kept, and ``labels`` from the folder where it learns. All but the
+last return the columns of ``documents``; columns and rows may hold nulls, and rows may repeat, as the operators'
+docstrings say.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import shardstream
 from shardstream.llm.common import pin, read_table
+from shardstream.llm.jaccard import jaccard_groups
+from shardstream.llm.packing import pack_documents
+from shardstream.llm.pii import redact
+from shardstream.llm.quality import resample
+from shardstream.llm.toxicity import score_toxicity
 
 # Workers get the few functions they run with the job.
 cloudpickle.register_pickle_by_value(shardstream)
 
-STAGES = []
 
-#: The stages learn models and pack; SQL cannot express them.
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that importance resampling takes: as many as reach the cut fitted on the labels."""
+    return resample(docs, read_table(spark, sf_dir, "labels"), with_columns=True)
+
+
+def civil_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that are not predicted toxic."""
+    scored = score_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    return scored.filter("predicted = 0").select(*docs.columns)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id.
+
+    Rows with a null id are in no group and stay. Of rows that repeat an id one stays, that with the smallest text.
+    """
+    groups = pin(jaccard_groups(docs), "groups")
+    dropped = pin(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "dropped")
+    kept = docs.join(dropped, "doc_id", "left_anti")
+    repeated = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    repeated = pin(repeated.select("doc_id"), "repeated")
+    others = [c for c in docs.columns if c != "doc_id"]
+    row = F.struct(*(["text"] if "text" in others else []), *(c for c in others if c != "text"))
+    single = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row"))
+    single = single.select("doc_id", "row.*").select(*docs.columns)
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(single)
+
+
+def private_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with personal data replaced by its kind."""
+    return redact(docs)
+
+
+def packed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 4096 tokens."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality", good_documents),
+    ("toxicity", civil_documents),
+    ("near_copies", distinct_documents),
+    ("personal_data", private_documents),
+    ("packing", packed_documents),
+]
+
+#: The stages learn models, look for groups and pack; SQL cannot express them.
 ORACLE_SQL = None
 
 
