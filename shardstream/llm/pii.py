@@ -214,9 +214,13 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     text = F.col(text_col)
     same = text.isNotNull() & F.col(id_col).eqNullSafe(F.col("span_id")) & (F.xxhash64(text_col) == F.col("span_hash"))
     both = docs.join(pin(spans, "redactions"), same & (F.length(text) == F.col("span_length")), "left")
+    new = "redacted"
+    while new in docs.columns:  # a name of its own
+        new += "_"
     hit = F.col("span_hash").isNotNull()
-    made = {text_col: F.when(hit, redacted(text, F.col("spans"))).otherwise(text)}
+    both = both.select(*(F.col(c) for c in docs.columns), hit.alias("span_hit"), redacted(text, F.col("spans")).alias(new))
+    made = {text_col: F.when(F.col("span_hit"), F.col(new)).otherwise(text)}
     if length_col in docs.columns:
-        length = F.length(redacted(text, F.col("spans"))).cast(docs.schema[length_col].dataType)
-        made[length_col] = F.when(hit, length).otherwise(F.col(length_col))
+        length = F.length(new).cast(docs.schema[length_col].dataType)
+        made[length_col] = F.when(F.col("span_hit"), length).otherwise(F.col(length_col))
     return both.select(*(made[c].alias(c) if c in made else F.col(c) for c in docs.columns))
