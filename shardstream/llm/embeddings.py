@@ -17,11 +17,11 @@ from shardstream.llm.components import connected_components
 
 COSINE = 0.95
 #: Pivots are a sample of the vectors, one for so many of them and at most MOST_PIVOTS; what is broadcast is bounded.
-ROWS_PER_PIVOT, MOST_PIVOTS = 400, 2048
-TILE = 1024
+ROWS_PER_PIVOT, MOST_PIVOTS = 4096, 2048
+TILE, BLOCK = 4096, 512
 #: Products of so many int8 numbers are exact in single precision.
 EXACT_TERMS = (1 << 24) // 127**2
-SLACK = 1e-9
+SLACK, ROUNDING = 1e-9, 1e-4
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
@@ -45,19 +45,26 @@ def near_pairs(left: np.ndarray, right: np.ndarray, cosine: float) -> tuple[np.n
     that this leaves open are computed in double precision; the others are decided by their codes.
     """
     (a, a_scale, a_lost), (b, b_scale, b_lost) = quantised(left), quantised(right)
-    product = np.zeros((len(a), len(b)))
-    for at in range(0, a.shape[1], EXACT_TERMS):
-        product += a[:, at : at + EXACT_TERMS].astype(np.float32) @ b[:, at : at + EXACT_TERMS].astype(np.float32).T
-    product *= a_scale[:, None]
-    product *= b_scale
-    bound = (1 + a_lost)[:, None] * b_lost + a_lost[:, None] + SLACK
-    x, y = np.nonzero(product + bound >= cosine)
-    sure = product[x, y] - bound[x, y] >= cosine
-    for at in range(0, len(x), 1 << 16):
-        part = slice(at, at + (1 << 16))
-        open_ = np.flatnonzero(~sure[part]) + at
-        sure[open_] = np.einsum("ij,ij->i", left[x[open_]], right[y[open_]]) >= cosine
-    return x[sure], y[sure]
+    worst = (1 + a_lost.max()) * b_lost.max() + a_lost.max()
+    found = []
+    for at in range(0, len(a), BLOCK):
+        rows = slice(at, at + BLOCK)
+        product = np.zeros((len(a[rows]), len(b)), np.float32)
+        for k in range(0, a.shape[1], EXACT_TERMS):
+            terms = slice(k, k + EXACT_TERMS)
+            product += a[rows, terms].astype(np.float32) @ b[:, terms].astype(np.float32).T
+        # A first look with the largest bound of the tiles, and room for the rounding of single precision.
+        x, y = np.nonzero(product * b_scale.astype(np.float32) >= ((cosine - worst - ROUNDING) / a_scale[rows])[:, None])
+        near = product[x, y].astype(np.float64) * a_scale[rows][x] * b_scale[y]
+        x += at
+        bound = (1 + a_lost[x]) * b_lost[y] + a_lost[x] + (ROUNDING if a.shape[1] > EXACT_TERMS else SLACK)
+        sure = near - bound >= cosine
+        open_ = np.flatnonzero(~sure & (near + bound >= cosine))
+        for k in range(0, len(open_), 1 << 16):
+            part = open_[k : k + (1 << 16)]
+            sure[part] = np.einsum("ij,ij->i", left[x[part]], right[y[part]]) >= cosine
+        found.append((x[sure], y[sure]))
+    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
 
 def spanning(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -103,16 +110,16 @@ def visits(classes: DataFrame, pivots: np.ndarray, cosine: float) -> DataFrame:
         centers = shared.value
         apart = distance * np.sqrt(np.maximum(2 - 2 * centers @ centers.T, 0)) + 1e-6
         for batch in batches:
-            for start in range(0, batch.num_rows, TILE):
-                part = batch.slice(start, TILE)
+            for start in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(start, BLOCK)
                 near = unit_rows(matrix(part.column("vector"))) @ centers.T
                 home = near.argmax(1)
                 enters = near.max(1)[:, None] - near <= apart[home]
                 enters &= np.arange(len(centers)) < home[:, None]
                 enters[np.arange(len(home)), home] = True
                 row, cell = np.nonzero(enters)
-                for at in range(0, len(row), 4 * TILE):
-                    r, c = row[at : at + 4 * TILE], cell[at : at + 4 * TILE]
+                for at in range(0, len(row), TILE):
+                    r, c = row[at : at + TILE], cell[at : at + TILE]
                     where = [pa.array(c.astype(np.int32)), pa.array(home[r] == c)]
                     yield pa.RecordBatch.from_arrays([*where, *part.take(pa.array(r)).columns], ["cell", "home", *part.schema.names])
 
