@@ -207,20 +207,16 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     Documents without spans are as before, null texts included. Rows and other columns stay as they are. The documents
     that have spans are met by id and text.
     """
-    spans = find_spans(docs, id_col, text_col).filter(F.size("spans") > 0)
-    spans = spans.select(
-        F.col(id_col).alias("span_id"), F.col("text_hash").alias("span_hash"), F.col("length").alias("span_length"), "spans"
-    ).dropDuplicates(["span_id", "span_hash", "span_length"])
-    text = F.col(text_col)
-    same = text.isNotNull() & F.col(id_col).eqNullSafe(F.col("span_id")) & (F.xxhash64(text_col) == F.col("span_hash"))
-    both = docs.join(pin(spans, "redactions"), same & (F.length(text) == F.col("span_length")), "left")
-    new = "redacted"
-    while new in docs.columns:  # a name of its own
-        new += "_"
-    hit = F.col("span_hash").isNotNull()
-    both = both.select(*(F.col(c) for c in docs.columns), hit.alias("span_hit"), redacted(text, F.col("spans")).alias(new))
-    made = {text_col: F.when(F.col("span_hit"), F.col(new)).otherwise(text)}
-    if length_col in docs.columns:
-        length = F.length(new).cast(docs.schema[length_col].dataType)
-        made[length_col] = F.when(F.col("span_hit"), length).otherwise(F.col(length_col))
-    return both.select(*(made[c].alias(c) if c in made else F.col(c) for c in docs.columns))
+    spans = find_spans(docs, id_col, text_col).filter(F.size("spans") > 0).withColumnRenamed(id_col, "id")
+    spans = pin(spans.select("id", "text_hash", "length", "spans").dropDuplicates(["id", "text_hash", "length"]), "spans")
+    at = {c: f"column{k}" for k, c in enumerate(docs.columns)}  # names that no column beside them has
+    rows, text = docs.withColumnsRenamed(at), F.col(at[text_col])
+    same = F.col(at[id_col]).eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("text_hash"))
+    both = rows.join(spans, text.isNotNull() & same & (F.length(text) == F.col("length")), "left")
+    hit = F.col("text_hash").isNotNull()
+    both = both.select(*at.values(), hit.alias("hit"), redacted(text, F.col("spans")).alias("redacted"))
+    made = {text_col: F.when(F.col("hit"), F.col("redacted")).otherwise(text)}
+    if length_col in at:
+        length = F.length("redacted").cast(docs.schema[length_col].dataType)
+        made[length_col] = F.when(F.col("hit"), length).otherwise(F.col(at[length_col]))
+    return both.select(*(made.get(c, F.col(at[c])).alias(c) for c in docs.columns))

@@ -1,0 +1,74 @@
+import numpy as np
+import pytest
+
+from shardstream.llm import embeddings
+from shardstream.llm.embeddings import near_copies, near_pairs, quantised, unit_rows
+
+VECTORS = "vec_id bigint, embedding array<float>, label int"
+
+
+def by_hand(rows, cosine):
+    """(n_links, component) of each row, by comparing all."""
+    good = [k for k, (i, v) in enumerate(rows) if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    group = {k: k for k in range(len(rows))}
+    links = [0] * len(rows)
+    for a in good:
+        for b in good:
+            if a != b and len(rows[a][1]) == len(rows[b][1]):
+                u, v = (np.array(rows[k][1], np.float32).astype(float) for k in (a, b))
+                if u @ v / np.sqrt(u @ u) / np.sqrt(v @ v) >= cosine - 1e-12:
+                    links[a] += 1
+                    old, new = group[a], group[b]
+                    group = {k: new if g == old else g for k, g in group.items()}
+    return [(n, min((rows[k][0] for k in range(len(rows)) if group[k] == group[a] and rows[k][0] is not None), default=None)) for a, n in enumerate(links)]
+
+
+def clustered(n, dims, seed):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(n // 8 + 1, dims))
+    near = centers[rng.integers(0, len(centers), n)] + rng.normal(size=(n, dims)) * rng.uniform(0, 0.4, (n, 1))
+    return near * rng.uniform(0.1, 9, (n, 1))
+
+
+@pytest.mark.parametrize("tile", [16, 4096])
+def test_equal_to_comparing_all(spark, monkeypatch, tile):
+    monkeypatch.setattr(embeddings, "ROWS_PER_PIVOT", 40)
+    rows = [(k, [float(np.float32(x)) for x in v]) for k, v in enumerate(clustered(300, 12, 1))]
+    rows += [(300 + k, rows[k][1]) for k in range(0, 60, 3)] + [(400, [-x for x in rows[0][1]])]
+    frame = spark.createDataFrame([(*r, 0) for r in rows], VECTORS)
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in near_copies(frame, tile=tile).collect())
+    want = [(i, n, c, c == i) for (i, _), (n, c) in zip(rows, by_hand(rows, 0.95), strict=True)]
+    assert got == sorted(want)
+    assert sum(n for _, n, _, _ in got) > 100
+
+
+def test_pairs_close_to_the_limit_are_decided_in_full_precision():
+    rng = np.random.default_rng(5)
+    u = unit_rows(rng.normal(size=(200, 64)))
+    w = rng.normal(size=(200, 64))
+    w = unit_rows(w - (w * u).sum(1, keepdims=True) * u)
+    angle = np.arccos(0.95) + rng.choice([-1e-6, 1e-6, 1e-3, -1e-3], (200, 1))
+    v = np.cos(angle) * u + np.sin(angle) * w
+    x, y = near_pairs(u, v, 0.95)
+    assert set(zip(x.tolist(), y.tolist(), strict=True)) == set(zip(*(z.tolist() for z in np.nonzero(u @ v.T >= 0.95)), strict=True))
+
+
+def test_the_error_bound_holds():
+    u, v = unit_rows(clustered(200, 48, 2)), unit_rows(clustered(200, 48, 3))
+    (a, s, lost), (b, t, gone) = quantised(u), quantised(v)
+    near = (a * s[:, None]) @ (b * t[:, None]).T
+    assert (np.abs(near - u @ v.T) <= (1 + lost)[:, None] * gone + lost[:, None]).all()
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [nan, 1.0]),
+        (6, [inf, 1.0]), (7, [None, 1.0]), (None, [1.0, 0.0]), (8, [1.0, 0.0, 0.0]), (9, [1e-30, 0.0]), (None, None),
+    ]
+    frame = spark.createDataFrame([(*r, None) for r in rows], VECTORS).selectExpr("*", "'x' as id", "1 as rep", "2 as vector")
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in near_copies(frame).collect()), key=repr)
+    want = [(0, 3, 0, True), (1, 3, 0, False), (1, 3, 0, False), (9, 3, 0, False)]
+    want += [(k, 0, k, True) for k in (2, 3, 4, 5, 6, 7, 8)] + [(None, 0, None, False)] * 2
+    assert got == sorted(want, key=repr)
+    assert near_copies(spark.createDataFrame([], VECTORS)).count() == 0

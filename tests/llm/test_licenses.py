@@ -1,0 +1,80 @@
+import re
+
+import pytest
+
+from shardstream.llm.licenses import Automaton, compiled, scan_licenses
+from shardstream.llm.queries import op1_license_scan
+from tests.llm.data import documents, no_documents, odd_documents
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def by_hand(text):
+    words = WORD.findall(lowered(text))
+    places = []
+    for phrase, label in PHRASES.items():
+        want = phrase.split()
+        places += [(at, label) for at in range(len(words)) if words[at : at + len(want)] == want]
+    starts = [p for p, _ in places]
+    labels = ",".join(sorted({x for _, x in places}))
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), labels
+
+
+def test_base_columns_equal_a_plain_search(spark, small):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    for row in op1_license_scan(spark, small).collect():
+        got = row.n_words, row.n_base, row.first_word, row.last_word, row.base_labels
+        assert got == by_hand(texts[row.doc_id])
+        assert set(filter(None, row.base_labels.split(","))) <= set(row.labels.split(","))
+        assert row.score == (1.0 if set(row.labels.split(",")) - set(row.base_labels.split(",")) - {""} else 0.5 * (row.n_base > 0))
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["MIT License MIT-license, mit\tLICENSE", "cc by cc cc by-by", "GNU  General (Public) License9 gnu general public license", "É mit licenseé", "mit licenſe", "\u212a cc\x7fby"],
+)
+def test_words_and_phrases(text):
+    n_words, found = compiled({}, PHRASES)(text)
+    want = by_hand(text)
+    starts = [m["first_word"] for m in found]
+    assert (n_words, len(found), min(starts, default=None), max(starts, default=None)) == want[:4]
+
+
+def test_optional_and_replaceable_regions():
+    a = Automaton("keep <<optional>>very <<optional>>old<<end>> stuff<<end>> by <<words 1-2>> safe")
+    ends = {t: a.longest([w.encode() for w in t.split()], 0) for t in (
+        "keep by me safe", "keep very stuff by me and safe", "keep very old stuff by me safe", "keep old by me safe",
+        "keep by safe", "keep by a b c safe", "keep by safe safe", "keep by me",
+    )}
+    assert list(ends.values()) == [4, 7, 7, -1, -1, -1, 4, -1]
+
+
+def test_templates_must_begin_with_a_word():
+    for bad in ("<<optional>>only<<end>>", "<<words 1-2>> then", "<<optional>>open"):
+        with pytest.raises(ValueError):
+            Automaton(bad)
+
+
+def test_a_whole_license_text_with_its_variable_parts(spark):
+    text = (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
+        " following conditions are met:\n1. Redistributions of source code must retain the above copyright notice, this list"
+        " of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright"
+        " notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided"
+        " with the distribution.\n3. Neither the name of Some Holder nor the names of its contributors may be used to endorse"
+        " or promote products derived from this software without specific prior written permission."
+    )
+    rows = scan_licenses(documents(spark, [text, text.replace("Some Holder", "the holder"), text.replace("retain", "keep")]))
+    assert [[m.label for m in r.matches] for r in rows.orderBy("doc_id").collect()] == [["bsd-text"], ["bsd-text"], []]
+
+
+def test_odd_rows(spark):
+    rows = scan_licenses(odd_documents(spark)).collect()
+    assert len(rows) == 10
+    assert sorted(r.n_words for r in rows if r.doc_id in (1, 2, 4)) == [0, 0, 0]
+    assert scan_licenses(no_documents(spark)).count() == 0
