@@ -1,7 +1,7 @@
 """Committing progress: which records count, and what is stored per shard.
 
-A status table (shard and shutdown reason) is one that is kept somewhere, so that reading it twice is
-cheap and gives the same.
+A status table (shard, shutdown reason and, of a terminated shard, the sequence it ends with) is one
+that is kept somewhere, so that reading it twice is cheap and gives the same.
 """
 
 from __future__ import annotations
@@ -37,6 +37,19 @@ def checkpoint_records(records: DataFrame, status: DataFrame | None = None) -> D
     return last.join(closed, "shard_id", "left_anti")
 
 
+def delivered_progress(records: DataFrame, status: DataFrame | None = None) -> DataFrame:
+    """The last delivered sequence of each shard that this reader still owns.
+
+    A terminated shard gets no new records, but those that are delivered are done with: it goes on
+    being read until its end. Any other shutdown takes the shard away.
+    """
+    last = records.groupBy("shard_id").agg(F.max("sequence_number").alias("sequence_number"))
+    if status is None:
+        return last
+    lost = status.where(F.col("shutdown_reason").isNotNull() & (F.col("shutdown_reason") != TERMINATE))
+    return last.join(lost.select("shard_id"), "shard_id", "left_anti")
+
+
 def checkpoint_record_sets(sets: DataFrame, status: DataFrame | None = None) -> DataFrame:
     """Per set: the sequence of its last record and what committing it comes to.
 
@@ -60,8 +73,10 @@ def checkpoint_record_sets(sets: DataFrame, status: DataFrame | None = None) ->
 def merge_progress(committed: DataFrame, status: DataFrame | None, prior: DataFrame | None) -> DataFrame:
     """The progress table after a commit: one row per shard that any of the tables knows.
 
-    A terminated shard is stored as finished; otherwise progress moves to the committed sequence, and
-    never back behind the prior one. All inputs hold one row per shard.
+    Progress moves to the committed sequence, and never back behind the prior one. A terminated shard
+    is stored as finished once its progress has reached ``ending_sequence_number``; as long as it has
+    not, or the status does not say where the shard ends, reading goes on after what is stored. All inputs
+    hold one row per shard.
     """
     merged = committed.select("shard_id", F.col("sequence_number").alias("_committed"))
     if prior is None:
@@ -72,16 +87,22 @@ def merge_progress(committed: DataFrame, status: DataFrame | None, prior: DataFr
         )
     if status is None:
         merged = merged.withColumn("shutdown_reason", F.lit(None).cast("string"))
+        merged = merged.withColumn("_ending", F.lit(None).cast("string"))
     else:
-        merged = merged.join(status.select("shard_id", "shutdown_reason"), "shard_id", "full")
+        known = "ending_sequence_number" in status.columns
+        ending = F.col("ending_sequence_number") if known else F.lit(None).cast("string")
+        ends = status.select("shard_id", "shutdown_reason", ending.alias("_ending"))
+        merged = merged.join(ends, "shard_id", "full")
     # Positions are not sequence numbers: the start position is before all of them, the end after.
     prior_sequence = F.when(F.col("_prior") != TRIM_HORIZON, F.col("_prior"))
     moved = F.when(F.col("_prior") == SHARD_END, F.lit(SHARD_END)).otherwise(
         F.coalesce(F.greatest("_committed", prior_sequence), F.col("_prior"))
     )
+    reached = ~moved.isin(TRIM_HORIZON, SHARD_END) & (moved >= F.col("_ending"))
+    read_to_end = (F.col("shutdown_reason") == TERMINATE) & reached
     return merged.select(
         "shard_id",
-        F.when(F.col("shutdown_reason") == TERMINATE, SHARD_END).otherwise(moved).alias("sequence_number"),
+        F.when(read_to_end, SHARD_END).otherwise(moved).alias("sequence_number"),
         "shutdown_reason",
     )
 

@@ -4,7 +4,7 @@ from shardstream.model import SHARD_END, TERMINATE, TRIM_HORIZON
 from shardstream.operators import fetch, progress
 from tests.helpers import records, rows
 
-STATUS = "shard_id string, shutdown_reason string"
+STATUS = "shard_id string, shutdown_reason string, ending_sequence_number string"
 PROGRESS = "shard_id string, sequence_number string"
 
 
@@ -15,7 +15,7 @@ def made(spark):
 
 @pytest.fixture
 def status(spark):
-    return spark.createDataFrame([("a", None), ("b", "ZOMBIE"), ("idle", None), ("over", TERMINATE)], STATUS)
+    return spark.createDataFrame([("a", None, None), ("b", "ZOMBIE", None), ("idle", None, None), ("over", TERMINATE, "3")], STATUS)
 
 
 def test_a_shut_down_shard_is_marked_not_removed(made, status):
@@ -58,6 +58,20 @@ def test_merged_progress_knows_every_shard(spark, made, status):
     ]
 
 
+def test_a_terminated_shard_ends_where_it_has_been_read_to(spark):
+    ends = [("all", TERMINATE, "5"), ("some", TERMINATE, "9"), ("unknown", TERMINATE, None), ("lost", "ZOMBIE", "5"), ("unread", TERMINATE, "5")]
+    committed = spark.createDataFrame([("all", "5"), ("some", "5"), ("unknown", "5"), ("lost", "5")], PROGRESS)
+    status = spark.createDataFrame(ends, STATUS)
+    merged = progress.merge_progress(committed, status, None)
+    assert rows(merged, "shard_id", "sequence_number") == [
+        ("all", SHARD_END), ("lost", "5"), ("some", "5"), ("unknown", "5"), ("unread", None),
+    ]
+    without = progress.merge_progress(committed, status.drop("ending_sequence_number"), None)
+    assert SHARD_END not in {s for _, s in rows(without, "shard_id", "sequence_number")}
+    delivered = records(spark, ("all", "5", ""), ("lost", "5", ""), ("other", "1", ""))
+    assert rows(progress.delivered_progress(delivered, status), "shard_id", "sequence_number") == [("all", "5"), ("other", "1")]
+
+
 def test_merged_progress_never_goes_back(spark):
     committed = spark.createDataFrame([("a", "2"), ("b", "2"), ("c", "2")], PROGRESS)
     prior = spark.createDataFrame([("a", "3"), ("b", SHARD_END), ("c", TRIM_HORIZON)], PROGRESS)
