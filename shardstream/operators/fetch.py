@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,12 +13,26 @@ from shardstream.operators.ordering import with_position
 DEFAULT_MAX_RECORDS = 10_000
 
 
-def with_fetch(records: DataFrame, max_records: int = DEFAULT_MAX_RECORDS) -> DataFrame:
-    """Cut every shard, in sequence order, into fetches of at most ``max_records`` records."""
-    if max_records < 1:
-        raise ValueError("max_records must be at least 1")
-    numbered = with_position(records, into="fetch_no")
-    return numbered.withColumn("fetch_no", F.expr(f"fetch_no div {int(max_records)}"))
+def with_fetch(
+    records: DataFrame,
+    max_records: int = DEFAULT_MAX_RECORDS,
+    max_bytes: int | None = None,
+    window_rows: int | None = None,
+) -> DataFrame:
+    """Cut every shard, in sequence order, into fetches of at most ``max_records`` records.
+
+    With ``max_bytes`` the payloads before the last record of a fetch are fewer bytes than that, so a fetch holds at most
+    ``max_bytes`` and one record; fetch numbers go up but may leave some out. Payloads are read for this.
+    """
+    if max_records < 1 or (max_bytes is not None and max_bytes < 1):
+        raise ValueError("max_records and max_bytes must be at least 1")
+    by_records = F.expr(f"fetch_no div {int(max_records)}")
+    if max_bytes is None:
+        return with_position(records, into="fetch_no", window_rows=window_rows).withColumn("fetch_no", by_records)
+    size = F.coalesce(F.octet_length("data"), F.lit(0)).cast("bigint")
+    numbered = with_position(records, also={"_bytes_before": size}, into="fetch_no", window_rows=window_rows)
+    by_bytes = F.expr(f"_bytes_before div {int(max_bytes)}")
+    return numbered.withColumn("fetch_no", by_records + by_bytes).drop("_bytes_before")
 
 
 def fetch_summary(fetches: DataFrame) -> DataFrame:
@@ -28,13 +44,14 @@ def fetch_summary(fetches: DataFrame) -> DataFrame:
     )
 
 
-def record_sets(fetches: DataFrame) -> DataFrame:
+def record_sets(fetches: DataFrame, fields: Sequence[str] = SET_RECORD_FIELDS) -> DataFrame:
     """One row per fetch with its records as an array in sequence order.
 
     An array holds at most one fetch, so ``with_fetch`` bounds it. ``cache_entry_time`` is the last
-    arrival in the fetch.
+    arrival in the fetch. ``fields`` are those of a record that are needed, the sequence number first; others are
+    not moved.
     """
-    record = F.struct(*SET_RECORD_FIELDS)
+    record = F.struct(*fields)
     return fetches.groupBy("shard_id", "fetch_no").agg(
         F.array_sort(F.collect_list(record)).alias("records"),
         F.max("arrival_ts").alias("cache_entry_time"),

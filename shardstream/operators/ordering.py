@@ -36,53 +36,71 @@ def sums_before(
     order: str,
     sums: Mapping[str, Column],
     ties: Sequence[str] = (),
+    window_rows: int | None = None,
 ) -> DataFrame:
     """``rows`` with, per name in ``sums``, the sum over the rows before it in ``order`` within ``by``.
 
     Rows equal in ``order`` come in the order of ``ties``. Columns in ``by`` must not be null. Counts
-    the rows first, so it is for tables and micro-batches, not for a stream as such.
+    the rows first, so it is for tables and micro-batches, not for a stream as such. ``window_rows`` is the
+    most rows that one task numbers in one go (default: ``WINDOW_ROWS``); results do not depend on it.
     """
-    return _sums_before(rows, by, order, sums, ties, math.inf)
+    return _sums_before(rows, by, order, sums, ties, math.inf, window_rows or WINDOW_ROWS)
 
 
 def _sums_before(
-    rows: DataFrame, by: Sequence[str], order: str, sums: Mapping[str, Column], ties: Sequence[str], former: float
+    rows: DataFrame,
+    by: Sequence[str],
+    order: str,
+    sums: Mapping[str, Column],
+    ties: Sequence[str],
+    former: float,
+    limit: int,
 ) -> DataFrame:
     """As above, where cutting brought the largest group down from ``former`` rows."""
-    largest = rows.groupBy(*by).count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-    gains = WINDOW_ROWS < largest < former / 2
-    length = _first_prefix(rows, order, largest) if gains else 0
+    value = F.col(order)
+    groups = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"), F.max(F.length(value)).alias("width")
+    )
+    largest, low, high, width = groups.agg(
+        F.coalesce(F.max("n"), F.lit(0)), F.min("low"), F.max("high"), F.max("width")
+    ).first()
+    gains = limit < largest < former / 2
+    length = _first_prefix(low, high, width, largest, limit) if gains else 0
     if length == 0:
         return _window_sums(rows, by, [order, *ties], sums)
 
     bucket = f"_{order.removeprefix('_')}_bucket"
     keys = [*by, bucket]
-    bucketed, totals = _cut(rows, by, order, bucket, length, sums)
+    bucketed, totals = _cut(rows, by, order, bucket, length, sums, limit)
     carried = {f"_start_{name}": F.col(f"_total_{name}") for name in sums}
-    starts = _sums_before(totals, by, bucket, carried, (), largest)
+    starts = _sums_before(totals, by, bucket, carried, (), largest, limit)
     starts = starts.select(*keys, *[f"_start_{name}" for name in sums])
     # The window comes first: its sort order already is what a sort-merge join with `starts` needs.
     inside = _window_sums(bucketed, keys, [order, *ties], sums).join(starts, keys, "left")
-    placed = [(F.col(name) + F.coalesce(F.col(f"_start_{name}"), F.lit(0))).alias(name) for name in sums]
+    placed = [(F.col(name) + _counted(f"_start_{name}")).alias(name) for name in sums]
     return inside.select(*rows.columns, *placed)
 
 
-def _first_prefix(rows: DataFrame, order: str, largest: int) -> int:
+def _counted(start: str) -> Column:
+    """The sum before a row's bucket. A bucket that was not there when buckets were counted stops the job."""
+    changed = F.raise_error(F.lit("the rows changed while they were numbered: read them from something that stays the same"))
+    return F.when(F.col(start).isNull(), changed).otherwise(F.col(start))
+
+
+def _first_prefix(low: str | None, high: str | None, width: int | None, largest: int, limit: int) -> int:
     """A prefix length that cuts numbers without large gaps into buckets that are small enough.
 
     Leaves a character off; 0 if there is none to leave.
     """
-    value = F.col(order)
-    low, high, width = rows.agg(F.min(value), F.max(value), F.max(F.length(value))).first()
     if width is None or width < 2:
         return 0
     base = DIGITS if low.isdigit() and high.isdigit() else TEXT
-    more = math.ceil(math.log(largest / WINDOW_ROWS, base))
+    more = math.ceil(math.log(largest / limit, base))
     return min(len(commonprefix([low, high])) + more, width - 1)
 
 
 def _cut(
-    rows: DataFrame, by: Sequence[str], order: str, bucket: str, length: int, sums: Mapping[str, Column]
+    rows: DataFrame, by: Sequence[str], order: str, bucket: str, length: int, sums: Mapping[str, Column], limit: int
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with their bucket, and the totals of every bucket.
 
@@ -99,12 +117,12 @@ def _cut(
                 *[F.sum(total).alias(f"_total_{name}") for name, total in sums.items()],
             )
         )
-        large = totals.where(F.col("_rows") > WINDOW_ROWS).select(*keys, "_rows")
+        large = totals.where(F.col("_rows") > limit).select(*keys, "_rows")
         if large.isEmpty():
             return bucketed, totals
         inside = join_small(bucketed.select(*keys, order), large, keys, "inner", salt_by=order, settled=True)
         ends = inside.groupBy(*keys, "_rows").agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
-        more = F.ceil(F.log(float(TEXT), F.col("_rows") / F.lit(WINDOW_ROWS)))
+        more = F.ceil(F.log(float(TEXT), F.col("_rows") / F.lit(limit)))
         next_length = (_shared(F.col("_low"), F.col("_high")) + more).cast("int").alias("_next")
         deeper = settle(ends.where(F.col("_low") < F.col("_high")).select(*keys, next_length))
         if deeper.isEmpty():
@@ -133,19 +151,22 @@ def with_position(
     also: Mapping[str, Column] | None = None,
     into: str = "position",
     ties: Sequence[str] = (),
+    window_rows: int | None = None,
 ) -> DataFrame:
     """``rows`` with their 0-based position in ``order`` within ``by``, and further running sums.
 
     ``order`` is compared as a string, so unpadded numbers come as 0, 1, 10, 100.
     """
-    return sums_before(rows, by, order, {into: F.lit(1).cast("bigint"), **(also or {})}, ties)
+    return sums_before(rows, by, order, {into: F.lit(1).cast("bigint"), **(also or {})}, ties, window_rows)
 
 
-def rank_by_sequence(records: DataFrame, order: str = "sequence_number", into: str = "sequence_rank") -> DataFrame:
+def rank_by_sequence(
+    records: DataFrame, order: str = "sequence_number", into: str = "sequence_rank", window_rows: int | None = None
+) -> DataFrame:
     """The place of every record in the string order of all sequence numbers, from 1.
 
     Records of different shards may carry the same number; they come in the order of their shards.
     """
     ties = [c for c in ("shard_id",) if c in records.columns]
-    ranked = with_position(records, (), order, into=into, ties=ties)
+    ranked = with_position(records, (), order, into=into, ties=ties, window_rows=window_rows)
     return ranked.withColumn(into, F.col(into) + 1)

@@ -61,9 +61,12 @@ def quota_by_shards(records: DataFrame) -> DataFrame:
     )
 
 
-def with_batch(records: DataFrame, max_batch_size: int = MAX_RECORDS_PER_REQUEST) -> DataFrame:
-    """Pack each shard's records, in order, into requests of at most ``max_batch_size``."""
-    return _placed(records).withColumn("batch_no", _per_shard_batch(max_batch_size)).drop(*_PLACE)
+def with_batch(
+    records: DataFrame, max_batch_size: int = MAX_RECORDS_PER_REQUEST, window_rows: int | None = None
+) -> DataFrame:
+    """Pack each shard's records, in order, into requests of at most ``max_batch_size``. Payloads are not read for it."""
+    placed = with_position(records, into="_rows_before", window_rows=window_rows)
+    return placed.withColumn("batch_no", _per_shard_batch(max_batch_size)).drop("_rows_before")
 
 
 def with_throttle_slot(
@@ -71,6 +74,7 @@ def with_throttle_slot(
     max_batch_size: int = MAX_RECORDS_PER_REQUEST,
     records_per_second: int = MAX_RECORDS_PER_SHARD_PER_SECOND,
     bytes_per_second: int = MAX_BYTES_PER_SHARD_PER_SECOND,
+    window_rows: int | None = None,
 ) -> DataFrame:
     """Batch number, and earliest second from the start under both limits of the shard.
 
@@ -81,17 +85,13 @@ def with_throttle_slot(
     slot = F.greatest(
         F.expr(f"_rows_before div {int(records_per_second)}"), F.expr(f"_bytes_before div {int(bytes_per_second)}")
     )
-    placed = _placed(records)
+    size = F.coalesce(F.octet_length("data"), F.lit(0)).cast("bigint")
+    placed = with_position(records, also={"_bytes_before": size}, into="_rows_before", window_rows=window_rows)
     return placed.withColumns({"batch_no": _per_shard_batch(max_batch_size), "slot_s": slot}).drop(*_PLACE)
 
 
 _PLACE = ("_rows_before", "_bytes_before")
 
 
-def _placed(records: DataFrame) -> DataFrame:
-    size = F.coalesce(F.octet_length("data"), F.lit(0)).cast("bigint")
-    return with_position(records, also={"_bytes_before": size}, into="_rows_before")
-
-
 def _per_shard_batch(max_batch_size: int):
     return F.expr(f"_rows_before div {int(max_batch_size)}")

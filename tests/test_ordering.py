@@ -3,6 +3,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors.exceptions.captured import SparkRuntimeException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -34,10 +35,16 @@ def test_small_buckets_give_the_window_result(log, window_rows, limit):
     assert rows(got, *columns) == rows(one_pass(log), *columns)
 
 
+def first_prefix(made, order, largest):
+    value = F.col(order)
+    ends = made.agg(F.min(value), F.max(value), F.max(F.length(value))).first()
+    return _first_prefix(*ends, largest, ordering.WINDOW_ROWS)
+
+
 def cut(records, length=None):
     """Sizes of the buckets, and the totals per shard, of one cut."""
-    length = length or _first_prefix(records, "sequence_number", records.count())
-    bucketed, totals = _cut(records, ["shard_id"], "sequence_number", "b", length, size())
+    length = length or first_prefix(records, "sequence_number", records.count())
+    bucketed, totals = _cut(records, ["shard_id"], "sequence_number", "b", length, size(), ordering.WINDOW_ROWS)
     return [r[0] for r in bucketed.groupBy("shard_id", "b").count().select("count").collect()], totals
 
 
@@ -60,8 +67,8 @@ def test_only_large_buckets_are_cut_further(spark, window_rows):
 def test_shared_characters_are_skipped(spark, window_rows):
     window_rows(10)
     made = spark.range(1000).select(F.concat(F.lit("tenant/a/"), F.lpad(F.col("id").cast("string"), 8, "0")).alias("s"))
-    assert _first_prefix(made, "s", 1000) == len("tenant/a/00000") + 2
-    assert _first_prefix(made.select(F.lit("x").alias("s")), "s", 1000) == 0
+    assert first_prefix(made, "s", 1000) == len("tenant/a/00000") + 2
+    assert first_prefix(made.select(F.lit("x").alias("s")), "s", 1000) == 0
 
 
 def test_empty_table(spark, log):
@@ -123,3 +130,13 @@ def test_position_is_the_place_in_string_order(spark, numbers, limit):
         patch.setattr(ordering, "WINDOW_ROWS", limit)
         got = {r.sequence_number: r.position for r in with_position(made).collect()}
     assert got == {n: i for i, n in enumerate(sorted(numbers))}
+
+
+def test_rows_that_change_while_they_are_numbered_stop_the_job(log):
+    rows_ = log.select("shard_id", "sequence_number", "data")
+    bucketed, totals = _cut(rows_, ["shard_id"], "sequence_number", "b", 18, size(), 20)
+    less = totals.where("b <> '000000000000000000'")
+    starts = sums_before(less, ["shard_id"], "b", {"_start_before": F.col("_total_before")})
+    late = bucketed.join(starts.select("shard_id", "b", "_start_before"), ["shard_id", "b"], "left")
+    with pytest.raises(SparkRuntimeException, match="rows changed"):
+        late.select(ordering._counted("_start_before")).collect()
