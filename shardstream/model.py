@@ -28,6 +28,6 @@ SHARD_END = "SHARD_END"
 # The shutdown reason that marks a shard as finished; every other reason only stops commits.
 TERMINATE = "TERMINATE"
 
-# A sequence number written here is the batch and the place in its shard, each padded to this many
-# digits, so that string order is put order.
-SEQUENCE_PART = 10
+# A sequence number written here is the batch and the place in it, each padded to this many digits, so
+# that string order is put order. Any 64-bit number has room.
+SEQUENCE_PART = 19

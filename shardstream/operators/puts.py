@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardstream.functions.retry import (
+    RECORD_FAILED,
     RetryPolicy,
     classify,
+    delay_after_ms,
     due_ms,
-    final_status,
-    retries_used,
     total_backoff_ms,
 )
 
@@ -23,32 +23,42 @@ def unacknowledged(requests: DataFrame, results: DataFrame) -> DataFrame:
     return requests.join(results.select("request_id").distinct(), "request_id", "left_anti")
 
 
-def attempt_schedule(requests: DataFrame, failures: Column | str, policy: RetryPolicy) -> DataFrame:
-    """One row per attempt: its number, earliest start and outcome.
+def attempt_schedule(results: DataFrame, policy: RetryPolicy) -> DataFrame:
+    """One row per attempt that was made: its number, earliest start and what followed it.
 
-    ``failures`` is the number of attempts that fail before one succeeds. Nothing waits for the
-    delays; they are data.
+    Read from the attempts that results keep. Every failed attempt of a record was one of the record.
     """
-    failures = F.col(failures) if isinstance(failures, str) else failures
-    tries = F.sequence(F.lit(1).cast("bigint"), retries_used(failures, policy) + 1)
-    rows = requests.withColumn("_failures", failures).withColumn("attempt", F.explode(tries))
-    ok = F.col("attempt") > F.col("_failures")
+    rows = results.withColumn("_made", F.explode("attempts"))
+    attempt = F.col("_made")["attempt"].cast("bigint")
     return rows.withColumns(
         {
-            "due_ms": due_ms("attempt", policy),
-            "status": classify(ok, F.lit("record_failed"), F.col("attempt"), policy),
+            "attempt": attempt,
+            "due_ms": due_ms(attempt, policy),
+            "status": classify(F.col("_made")["successful"], F.lit(RECORD_FAILED), attempt, policy),
         }
-    ).drop("_failures")
+    ).drop("_made")
 
 
-def retry_outcome(requests: DataFrame, failures: Column | str, policy: RetryPolicy) -> DataFrame:
-    """Final state per request: retries used, attempts made, status and summed delay."""
-    failures = F.col(failures) if isinstance(failures, str) else failures
-    rows = requests.withColumn("retries", retries_used(failures, policy))
-    return rows.withColumns(
+def retry_outcome(results: DataFrame, policy: RetryPolicy) -> DataFrame:
+    """State per result: retries used, attempts made, what follows the last one, and summed delay."""
+    last = F.try_element_at("attempts", F.lit(-1))
+    made = F.size("attempts").cast("bigint")
+    return results.withColumns(
         {
-            "attempts_made": F.col("retries") + 1,
-            "status": final_status(failures, policy),
-            "backoff_ms": total_backoff_ms("retries", policy),
+            "retries": made - 1,
+            "attempts_made": made,
+            "status": classify(last["successful"], F.lit(RECORD_FAILED), made, policy),
+            "backoff_ms": total_backoff_ms(made - 1, policy),
         }
     )
+
+
+def due_later(requests: DataFrame, results: DataFrame, policy: RetryPolicy) -> DataFrame:
+    """Requests that are to be put again: with the ``attempts`` made so far and ``wait_ms``, the wait after the last one.
+
+    ``put_through`` takes them up where they are once that time is over. Only results that are not final are joined.
+    """
+    made = F.size("attempts")
+    open_ = results.where(~F.col("successful") & (made <= policy.max_retries))
+    open_ = open_.select("request_id", "attempts", delay_after_ms(made, policy).alias("wait_ms"))
+    return requests.drop("attempts", "wait_ms").join(open_, "request_id")

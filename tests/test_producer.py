@@ -1,4 +1,5 @@
 import sys
+import time
 
 import pyarrow as pa
 import pytest
@@ -11,11 +12,13 @@ from shardstream.functions.attempts import all_attempts_ok, is_complete
 from shardstream.functions.retry import LINEAR, RetryPolicy
 from shardstream.functions.routing import shard_of
 from shardstream.model import PUT_REQUEST, RECORD_COLUMNS, TRIM_HORIZON
+from shardstream.operators import puts
 from shardstream.operators.positions import resume, shard_tips
 from shardstream.operators.puts import unacknowledged
 from shardstream.operators.quota import PutSettings
 from shardstream.plans import tables
 from shardstream.sources.log import read_after, read_log
+from shardstream.streaming import producer
 from shardstream.streaming.producer import (
     DEAD_LETTER,
     assign_sequence,
@@ -99,6 +102,21 @@ def test_given_ids_stay_and_missing_ones_are_unique(spark, requests):
     assert named.select("request_id").distinct().count() == 1000
 
 
+def test_ids_and_sequences_differ_over_batches(spark, requests, tmp_path):
+    unnamed = requests.drop("request_id")
+    results = put_records(unnamed, str(tmp_path), 4, 0).unionByName(put_records(unnamed, str(tmp_path), 4, 1))
+    assert results.select("request_id").distinct().count() == results.count() == 2000
+    assert results.select("shard_id", "sequence_number").distinct().count() == 2000
+
+
+def test_a_number_without_room_stops_the_put(requests, monkeypatch):
+    monkeypatch.setattr(producer, "SEQUENCE_PART", 2)
+    with pytest.raises(SparkRuntimeException, match="more records than 2 digits"):
+        assign_sequence(route_requests(requests, 4), 1).collect()
+    with pytest.raises(ValueError):
+        assign_sequence(route_requests(requests, 4), 100)
+
+
 def test_streaming_put_survives_a_crash(spark, requests, tmp_path):
     source, log, job = str(tmp_path / "in"), str(tmp_path / "log"), str(tmp_path / "job")
     requests.write.parquet(source)
@@ -157,7 +175,7 @@ def test_record_is_put_again_until_it_works(requests, failures, attempts):
 
 
 def test_record_past_its_retries_stops_the_job(requests):
-    with pytest.raises(PythonException, match="record failed to put - Throttled : slow"):
+    with pytest.raises(PythonException, match=r"request \d+ is given up after attempt 6: Throttled \(slow\)"):
         put_through(requests.limit(2), failing(6), quick()).collect()
 
 
@@ -171,7 +189,7 @@ def test_other_errors_are_not_tried_again(requests):
     def broken(batch):
         return answers(batch, [False] * batch.num_rows, "connection_lost")
 
-    with pytest.raises(PythonException, match="record failed to put"):
+    with pytest.raises(PythonException, match="is given up after attempt 1"):
         put_through(requests.limit(1), broken, quick(), on_exhausted=DEAD_LETTER).collect()
 
 
@@ -182,11 +200,47 @@ def test_calls_are_bounded_and_only_failed_records_come_again(requests):
         assert all(odd) or batch["attempt"][0].as_py() == 1
         return answers(batch, [not o or a > 1 for o, a in zip(odd, batch["attempt"].to_pylist(), strict=True)])
 
-    results = put_through(requests, put, quick(batch=7), limit_writers=True).collect()
+    results = put_through(requests, put, PutSettings(4, 7, 10**6, 10**9, RetryPolicy(5, LINEAR, 1))).collect()
     assert len(results) == 1000
     assert all(len(r.attempts) == 1 + int(r.request_id) % 2 for r in results)
 
 
+def test_no_put_is_earlier_than_the_policy_allows(requests, tmp_path):
+    folder = str(tmp_path)
+
+    def put(batch):
+        for request, attempt in zip(batch["request_id"].to_pylist(), batch["attempt"].to_pylist(), strict=True):
+            with open(f"{folder}/{request}", "a") as file:
+                file.write(f"{attempt} {time.monotonic()}\n")
+        return answers(batch, [a > 3 for a in batch["attempt"].to_pylist()])
+
+    policy = RetryPolicy(5, LINEAR, 60)
+    results = put_through(requests.limit(6), put, PutSettings(2, 2, 10**6, 10**9, policy)).collect()
+    assert all(r.successful and [a.attempt for a in r.attempts] == [1, 2, 3, 4] for r in results)
+    for r in results:
+        times = [float(line.split()[1]) for line in open(f"{folder}/{r.request_id}")]
+        assert all(later - first >= 0.06 * k for k, (first, later) in enumerate(zip(times, times[1:], strict=False), 1))
+
+
+def test_records_with_long_delays_are_given_back_and_taken_up_again(spark, requests):
+    policy = RetryPolicy(3, LINEAR, 100)
+    some, settings = requests.limit(10), PutSettings(2, 5, 10**6, 10**9, policy)
+    first = put_through(some, failing(2), settings, longest_pause_ms=150)
+    assert {(r.successful, len(r.attempts)) for r in first.collect()} == {(False, 2)}
+    again = puts.due_later(some, first, policy)
+    assert {(len(r.attempts), r.wait_ms) for r in again.collect()} == {(2, 200)}
+    second = put_through(again, failing(2), settings, longest_pause_ms=150).collect()
+    assert all(r.successful and [a.attempt for a in r.attempts] == [1, 2, 3] for r in second)
+    assert puts.due_later(some, spark.createDataFrame(second, first.schema), policy).isEmpty()
+
+
+def test_writers_keep_to_the_rate(requests):
+    slow = PutSettings(2, 10, 100, 10**9, RetryPolicy(1, LINEAR, 1))
+    begun = time.monotonic()
+    assert put_through(requests.limit(100), failing(0), slow).count() == 100
+    assert time.monotonic() - begun >= 0.6
+
+
 def test_unanswered_requests_stop_the_job(requests):
     with pytest.raises(PythonException, match="answered 0 of"):
         put_through(requests.limit(3), lambda batch: answers(batch.slice(0, 0), []), quick()).collect()
@@ -208,7 +262,7 @@ def test_reading_on_skips_finished_slices(spark, requests, tmp_path):
     log = str(tmp_path)
     for i in range(4):
         put_records(requests.where(F.col("request_id").cast("bigint") % 4 == i), log, 4, i)
-    stored = shard_tips(read_log(spark, log).where("sequence_number < '00000000020000000003'"))
+    stored = shard_tips(read_log(spark, log).where(f"sequence_number < '{2:019d}{3:019d}'"))
     rest = read_after(spark, log, stored)
     columns = ("shard_id", "sequence_number")
     assert rows(rest, *columns) == rows(resume(read_log(spark, log), stored.select(*columns)), *columns)

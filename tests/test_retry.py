@@ -28,13 +28,14 @@ def test_policies_are_checked():
 @given(st.integers(0, 6), st.sampled_from([EXPONENTIAL, LINEAR]), st.integers(0, 300), st.integers(0, 9))
 def test_schedule_adds_up(spark, max_retries, strategy, base, failures):
     policy = RetryPolicy(max_retries, strategy, base)
-    requests = spark.range(1)
-    schedule = puts.attempt_schedule(requests, F.lit(failures).cast("bigint"), policy).orderBy("attempt").collect()
     tried = min(failures, max_retries) + 1
+    made = [(k, k > failures, None, None) for k in range(1, tried + 1)]
+    results = spark.createDataFrame([("r", made)], f"request_id string, attempts {ATTEMPTS}")
+    schedule = puts.attempt_schedule(results, policy).orderBy("attempt").collect()
     assert [r.attempt for r in schedule] == list(range(1, tried + 1))
     assert [r.due_ms for r in schedule] == [sum(delay_ms(strategy, base, i) for i in range(1, k)) for k in range(1, tried + 1)]
     assert [r.status for r in schedule[:-1]] == ["retry"] * (tried - 1)
-    outcome = puts.retry_outcome(requests, F.lit(failures).cast("bigint"), policy).first()
+    outcome = puts.retry_outcome(results, policy).first()
     assert schedule[-1].status == outcome.status == ("failed" if failures > max_retries else "success")
     assert outcome.attempts_made == tried
     assert outcome.backoff_ms == schedule[-1].due_ms
