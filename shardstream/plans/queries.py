@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -22,21 +23,24 @@ from shardstream.functions.retry import (
     total_backoff_ms,
 )
 from shardstream.functions.routing import shard_of
-from shardstream.model import LATEST, SHARD_END, TRIM_HORIZON
+from shardstream.model import LATEST, RECORD, TRIM_HORIZON
 from shardstream.operators import fetch, lag, positions, progress, puts, quota
 from shardstream.operators.ordering import rank_by_sequence
 from shardstream.operators.sets import process_record_sets
 from shardstream.operators.shards import join_shards
 from shardstream.plans import tables as t
-from shardstream.session import new_folder
+from shardstream.session import new_folder, settle
 from shardstream.sources.changes import decode_new_image
 from shardstream.sources.options import SourceOptions
 from shardstream.streaming.consumer import start_consumer, write_batches
-from shardstream.streaming.producer import DEAD_LETTER, put_records, put_through
+from shardstream.streaming.producer import DEAD_LETTER, put_records, put_through, start_producer
 from shardstream.streaming.progress_table import current_progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Rows that one task numbers in the queries that show shards cut into buckets.
+SMALL_WINDOW = 700
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -119,13 +123,15 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def read_records_progress(spark: SparkSession, folder: str) -> DataFrame:
-    """The progress a running consumer leaves behind, with shards that are shut down."""
+    """The progress a running consumer leaves behind, with a shard read to its end, one that is terminated with
+    records still to come, and one taken away."""
     job = new_folder(spark, "job")
+    status = t.shard_endings(spark, t.log(spark, folder))
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         batch.write.format("noop").mode("overwrite").save()
 
-    _consume(spark, folder, t.as_log, deliver, job, status=lambda: t.shard_status(spark))
+    _consume(spark, folder, t.as_log, deliver, job, status=lambda: status)
     return current_progress(spark, f"{job}/progress").select("shard_id", "sequence_number", "shutdown_reason")
 
 
@@ -207,6 +213,20 @@ def fetch_batches(spark: SparkSession, folder: str) -> DataFrame:
     return summary.select("shard_id", "fetch_no", "records", "last_sequence_number")
 
 
+@query
+def fetch_batches_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``fetch_batches``, with shards cut into buckets as large logs are."""
+    fetches = fetch.with_fetch(t.log(spark, folder), t.FETCH_RECORDS, window_rows=SMALL_WINDOW)
+    return fetch.fetch_summary(fetches).select("shard_id", "fetch_no", "records", "last_sequence_number")
+
+
+@query
+def fetch_batches_by_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Fetches bounded by records and by the bytes of their payloads."""
+    fetches = fetch.with_fetch(t.log(spark, folder), t.FETCH_RECORDS, max_bytes=4000)
+    return fetch.fetch_summary(fetches).select("shard_id", "fetch_no", "records", "last_sequence_number")
+
+
 @query
 def record_sets(spark: SparkSession, folder: str) -> DataFrame:
     """Sets as rows; the array is shown by its size, ends and a digest over its records in order."""
@@ -223,7 +243,8 @@ def record_sets(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def flatten_record_sets(spark: SparkSession, folder: str) -> DataFrame:
-    return fetch.flatten_record_sets(_sets(spark, folder)).select("shard_id", "fetch_no", "pos", "sequence_number")
+    sets = fetch.record_sets(_fetches(spark, folder), ["sequence_number"])
+    return fetch.flatten_record_sets(sets).select("shard_id", "fetch_no", "pos", "sequence_number")
 
 
 @query
@@ -246,6 +267,13 @@ def order_by_sequence(spark: SparkSession, folder: str) -> DataFrame:
     return rank_by_sequence(log)
 
 
+@query
+def order_by_sequence_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``order_by_sequence``, with the numbers cut into buckets as large logs are."""
+    log = t.events(spark, folder).select(F.col("event_id").cast("string").alias("sequence_number"))
+    return rank_by_sequence(log, window_rows=SMALL_WINDOW)
+
+
 @query
 def time_in_cache(spark: SparkSession, folder: str) -> DataFrame:
     """Fetches that leave the cache a quarter of a second later each."""
@@ -278,14 +306,15 @@ def checkpoint_records(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def checkpoint_record_sets(spark: SparkSession, folder: str) -> DataFrame:
-    return progress.checkpoint_record_sets(_sets(spark, folder), t.shard_status(spark))
+    sets = fetch.record_sets(_fetches(spark, folder), ["sequence_number"])
+    return progress.checkpoint_record_sets(sets, t.shard_status(spark))
 
 
 @query
 def shard_end_progress(spark: SparkSession, folder: str) -> DataFrame:
     log = t.log(spark, folder)
-    status = t.shard_status(spark)
-    committed = progress.checkpoint_records(log, status)
+    status = settle(t.shard_endings(spark, log))
+    committed = progress.delivered_progress(log, status)
     merged = progress.merge_progress(committed, status, t.prior_progress(log))
     return merged.select("shard_id", "sequence_number")
 
@@ -342,9 +371,35 @@ def put_records_to_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def put_records_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``put_records``, with shards cut into buckets as large batches are."""
+    requests = t.put_requests(t.events(spark, folder))
+    results = put_records(requests, new_folder(spark, "log"), t.SHARDS, window_rows=SMALL_WINDOW)
+    return results.select("request_id", "shard_id", "sequence_number")
+
+
+@query
+def put_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests without ids put as a stream of several batches: results, different ids and sequence numbers per shard."""
+    source, log, job = (new_folder(spark, x) for x in ("requests", "log", "job"))
+    requests = t.put_requests(t.events(spark, folder)).drop("request_id")
+    requests.repartition(3).write.parquet(source)
+    stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    start_producer(stream, log, job, t.SHARDS, once=True).awaitTermination()
+    put = spark.read.schema(f"{RECORD}, request_id string").parquet(log)
+    return put.groupBy("shard_id").agg(
+        F.count(F.lit(1)).alias("results"),
+        F.countDistinct("request_id").alias("request_ids"),
+        F.countDistinct("sequence_number").alias("sequence_numbers"),
+        F.countDistinct("batch_id").alias("batches"),
+    )
+
+
 @query
 def put_with_retries(spark: SparkSession, folder: str) -> DataFrame:
-    """Put through a function that fails the first attempts of most records."""
+    """Put through a function that fails the first attempts of most records. The function is a fixture: it stands for a
+    service and answers by the number of the request."""
     requests = t.put_requests(t.events(spark, folder)).withColumn("routed", shard_of("partition_key", t.SHARDS))
 
     def put(batch: pa.Table) -> pa.Table:
@@ -360,7 +415,9 @@ def put_with_retries(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     settings = quota.PutSettings.by_number_of_shards(t.SHARDS)
-    results = put_through(requests, put, settings, on_exhausted=DEAD_LETTER, longest_pause_ms=0)
+    policy = RetryPolicy(strategy=LINEAR, base_ms=0)
+    settings = replace(settings, retry=policy)
+    results = put_through(requests, put, settings, on_exhausted=DEAD_LETTER, limit_writers=False)
     return results.select(
         "request_id",
         "shard_id",
@@ -431,8 +488,9 @@ def classify_attempts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def retry_outcome(spark: SparkSession, folder: str) -> DataFrame:
-    rows = t.events(spark, folder).select("event_id", t.failures().alias("failures"))
-    outcome = puts.retry_outcome(rows, "failures", RetryPolicy())
+    """What the attempts that results keep come to."""
+    made = _with_attempts(spark, folder).withColumn("failures", F.col("event_id") % 8)
+    outcome = puts.retry_outcome(made, RetryPolicy())
     return outcome.select("event_id", "failures", "retries", "attempts_made", "status")
 
 
@@ -454,8 +512,8 @@ def backoff_linear(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def attempt_schedule(spark: SparkSession, folder: str) -> DataFrame:
-    rows = t.events(spark, folder).select("event_id")
-    linear = puts.attempt_schedule(rows, t.failures(), RetryPolicy(strategy=LINEAR))
+    """Every attempt that results keep, with the earliest time it could start."""
+    linear = puts.attempt_schedule(_with_attempts(spark, folder), RetryPolicy(strategy=LINEAR))
     return linear.select(
         "event_id",
         "attempt",
@@ -488,6 +546,13 @@ def throttle_slots_by_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return slots.select("shard_id", "sequence_number", "batch_no", "slot_s")
 
 
+@query
+def throttle_slots_by_bytes_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``throttle_slots_by_bytes``, with shards cut into buckets as large logs are."""
+    slots = quota.with_throttle_slot(t.log(spark, folder), bytes_per_second=5000, window_rows=SMALL_WINDOW)
+    return slots.select("shard_id", "sequence_number", "batch_no", "slot_s")
+
+
 # User functions
 
 
@@ -518,12 +583,15 @@ def apply_per_shard(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# A finished shard is not read again: progress of a terminated shard takes all of its records away.
+# A shard that was read to its end is not read again; one that ended with records unread goes on after them.
 
 
 @query
 def resume_after_shard_end(spark: SparkSession, folder: str) -> DataFrame:
+    """Of two terminated shards ``shard-1`` was read to its end, ``shard-3`` up to a date."""
     log = t.log(spark, folder)
-    merged = progress.merge_progress(t.prior_progress(log), t.shard_status(spark), None)
-    ended = merged.where(F.col("sequence_number") == SHARD_END)
-    return positions.resume(log, ended).select("shard_id", "sequence_number")
+    status = settle(t.shard_endings(spark, log))
+    stopped = t.prior_progress(log).where("shard_id <> 'shard-1'")
+    delivered = stopped.unionByName(positions.shard_tips(log).where("shard_id = 'shard-1'").select("shard_id", "sequence_number"))
+    merged = progress.merge_progress(delivered, status, None)
+    return positions.resume(log, merged).select("shard_id", "sequence_number")

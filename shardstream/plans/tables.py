@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shardstream.functions.payload import to_bytes
 from shardstream.functions.routing import shard_of
-from shardstream.model import ATTEMPTS
+from shardstream.model import ATTEMPTS, TERMINATE
 from shardstream.operators.positions import shard_tips
 
 SHARDS = 4
@@ -61,6 +61,23 @@ def shard_status(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SHARD_STATUS, "shard_id string, shutdown_reason string")
 
 
+def shard_endings(spark: SparkSession, records: DataFrame) -> DataFrame:
+    """The status of shards, two of them terminated: ``shard-1`` ends with its last record, ``shard-3`` with one
+    that has not been delivered."""
+    tips = shard_tips(records).select("shard_id", "sequence_number")
+    terminated = F.col("shard_id").isin("shard-1", "shard-3")
+    ending = F.when(F.col("shard_id") == "shard-3", F.concat("sequence_number", F.lit("9"))).otherwise(F.col("sequence_number"))
+    return (
+        shard_status(spark)
+        .join(tips, "shard_id", "left")
+        .select(
+            "shard_id",
+            F.when(terminated, TERMINATE).otherwise(F.col("shutdown_reason")).alias("shutdown_reason"),
+            F.when(terminated, ending).alias("ending_sequence_number"),
+        )
+    )
+
+
 def tips_until(records: DataFrame, day: str) -> DataFrame:
     return shard_tips(records.where(F.col("arrival_ts") < F.lit(day).cast("timestamp"))).select(
         "shard_id", "sequence_number"

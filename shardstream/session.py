@@ -19,7 +19,7 @@ def work_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if folder is None:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="shardstream-")
     if sc.getCheckpointDir() is None:

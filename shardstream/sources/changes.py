@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,17 +39,42 @@ def read_changes(
 
 
 class _ProgressCalls(StreamingQueryListener):
+    """Passes on the progress of one query. What comes before it is known is kept until it is."""
+
     def __init__(self, on_progress):
         self._on_progress = on_progress
+        self._query, self._done, self._early, self._ended = None, None, [], set()
+        self._lock = threading.Lock()
+
+    def follow(self, query_id, done):
+        with self._lock:
+            self._query, self._done = str(query_id), done
+            early, self._early = self._early, []
+        for progress in early:
+            self._pass_on(progress)
+        if self._query in self._ended:
+            done()
+
+    def _pass_on(self, progress):
+        if str(progress.id) == self._query:
+            self._on_progress(progress)
 
     def onQueryStarted(self, event):
         pass
 
     def onQueryProgress(self, event):
-        self._on_progress(event.progress)
+        with self._lock:
+            if self._query is None:
+                self._early.append(event.progress)
+                return
+        self._pass_on(event.progress)
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        pass
+        with self._lock:
+            self._ended.add(str(event.id))
+            mine = str(event.id) == self._query
+        if mine:
+            threading.Thread(target=self._done, daemon=True).start()  # not from within a call of the listener

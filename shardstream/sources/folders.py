@@ -21,6 +21,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, hadoop = _path(spark, path)
+    files.mkdirs(hadoop)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """A write to ``path`` has been committed as a whole."""
     return exists(spark, f"{path.rstrip('/')}/{_DONE}")

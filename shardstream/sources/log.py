@@ -14,28 +14,32 @@ from shardstream.sources.folders import batch_folder, is_complete, publish
 STAGING = "_staging"
 
 
-def append_slice(records: DataFrame, log: str, batch_id: int, one_file_per_shard: bool = False) -> bool:
+def append_slice(records: DataFrame, log: str, batch_id: int, in_order: bool = False) -> bool:
     """Append records as slice ``batch_id``; False when that slice is already complete.
 
     A slice that is complete is left alone, so that a replayed batch gives readers nothing twice. A
     slice is written aside and then moved into the log, so that readers see all of it or nothing on
     file systems that rename in one step. Append slices in the order their records arrived.
 
-    A reader that takes a slice in several micro-batches keeps the order of a shard only with
-    ``one_file_per_shard``, which sends each shard through one task; leave it off where one shard may
-    hold much of a slice.
+    With ``in_order`` the files of a slice follow each other by shard and sequence. A large shard is cut into ranges, so
+    that it is written by many tasks.
     """
     spark, target = records.sparkSession, batch_folder(log, batch_id)
     if is_complete(spark, target):
         return False
-    if one_file_per_shard:
-        records = records.repartition("shard_id").sortWithinPartitions("shard_id", "sequence_number")
+    if in_order:
+        records = in_shard_order(records)
     staged = batch_folder(f"{log.rstrip('/')}/{STAGING}", batch_id)
     records.write.mode("overwrite").parquet(staged)
     publish(spark, staged, target)
     return True
 
 
+def in_shard_order(records: DataFrame) -> DataFrame:
+    """Records by shard and sequence, over partitions that follow each other; a hot shard is several partitions."""
+    return records.repartitionByRange("shard_id", "sequence_number").sortWithinPartitions("shard_id", "sequence_number")
+
+
 def read_log(spark: SparkSession, log: str) -> DataFrame:
     """All records of a log."""
     return spark.read.schema(RECORD).parquet(log).select(*RECORD_COLUMNS)
@@ -57,7 +61,8 @@ def read_after(spark: SparkSession, log: str, progress: DataFrame) -> DataFrame:
 
 def stream_log(spark: SparkSession, log: str, **options: str) -> DataFrame:
     """A log as a stream. ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a micro-batch."""
-    reader = spark.readStream.schema(RECORD)
+    # The folder of a slice is a column too; a stream that starts before there is any must know it.
+    reader = spark.readStream.schema(f"{RECORD}, batch_id bigint")
     for name, value in options.items():
         reader = reader.option(name, value)
     return reader.parquet(log).select(*RECORD_COLUMNS)

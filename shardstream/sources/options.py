@@ -25,6 +25,9 @@ KEYS = {
     "shutdown_grace_ms": "shutdown-grace",
 }
 
+# Most that one micro-batch reads where nothing is configured.
+BATCH_BYTES = 64 * 1024**3
+
 # Units of a duration, in milliseconds.
 _UNITS = {
     "ms": 1, "millis": 1, "milliseconds": 1, "millisecond": 1,
@@ -62,9 +65,9 @@ class SourceOptions:
     max_cache_byte_size: int | None = None
     idle_time_between_reads_ms: int = 1000
     idle_millis_between_calls: int | None = None
-    call_for_empty_lists: bool = False
+    call_for_empty_lists: bool | None = None
     validate_sequence_number: bool = True
-    shutdown_grace_ms: int = 0
+    shutdown_grace_ms: int | None = None
 
     def __post_init__(self):
         if self.initial_position not in POSITIONS:
@@ -91,15 +94,20 @@ class SourceOptions:
         return {"processingTime": f"{self.poll_interval_ms} milliseconds"}
 
     def reader_options(self) -> dict[str, str]:
-        """Options of the file stream: the byte ceiling of one micro-batch."""
-        return {} if self.max_cache_byte_size is None else {"maxBytesPerTrigger": str(self.max_cache_byte_size)}
+        """Options of the file stream: the byte ceiling of one micro-batch, which always has one."""
+        return {"maxBytesPerTrigger": str(self.max_cache_byte_size or BATCH_BYTES)}
 
     def session_conf(self) -> dict[str, str]:
-        """Session settings. Empty micro-batches only reach stateful queries on Spark."""
-        return {
-            "spark.sql.streaming.noDataMicroBatches.enabled": str(self.call_for_empty_lists).lower(),
-            "spark.sql.streaming.stopTimeout": str(self.shutdown_grace_ms),
-        }
+        """Settings of the stream's session that are configured. Empty micro-batches only reach stateful queries on Spark.
+
+        No grace is left to Spark, for which a timeout of 0 means to wait without end.
+        """
+        conf = {}
+        if self.call_for_empty_lists is not None:
+            conf["spark.sql.streaming.noDataMicroBatches.enabled"] = str(self.call_for_empty_lists).lower()
+        if self.shutdown_grace_ms:
+            conf["spark.sql.streaming.stopTimeout"] = str(self.shutdown_grace_ms)
+        return conf
 
 
 def resolve_options(config: Mapping[str, object] | None = None, overrides: Overrides | None = None) -> SourceOptions:

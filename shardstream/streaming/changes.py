@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from shardstream.sources.changes import decode_new_image, metrics_listener
@@ -21,14 +21,25 @@ def start_changes(
     listener: StreamingQueryListener | None = None,
     on_progress: Callable[[object], None] | None = None,
     options: SourceOptions | None = None,
+    status: Callable[[], DataFrame] | None = None,
     with_envelope: bool = False,
     once: bool = False,
+    in_order: bool = True,
 ) -> StreamingQuery:
     """Run ``process`` on the decoded changes of a log and commit what it handled.
 
-    Reports go either to a ``listener`` or to ``on_progress``; exactly one of them must be given. Other
-    arguments are those of ``start_consumer``.
+    Reports go either to a ``listener``, which stays with the session, or to ``on_progress``, which hears this query
+    alone, until it ends; exactly one of them must be given. Other arguments are those of ``start_consumer``.
     """
-    spark.streams.addListener(metrics_listener(listener, on_progress))
+    reports = metrics_listener(listener, on_progress)
     changes = decode_new_image(read_records(spark, log, job, options), attributes)
-    return start_consumer(changes, process, job, options, with_envelope=with_envelope, once=once)
+    streams = changes.sparkSession.streams
+    streams.addListener(reports)
+    try:
+        query = start_consumer(changes, process, job, options, status, with_envelope, once, in_order)
+    except BaseException:
+        streams.removeListener(reports)
+        raise
+    if on_progress is not None:
+        reports.follow(query.id, lambda: streams.removeListener(reports))
+    return query

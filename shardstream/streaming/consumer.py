@@ -17,11 +17,11 @@ from shardstream.model import LATEST, TRIM_HORIZON
 from shardstream.operators.fetch import with_fetch
 from shardstream.operators.lag import committable
 from shardstream.operators.positions import from_timestamp, shard_tips
-from shardstream.operators.progress import backward_progress, checkpoint_records, invalid_progress
+from shardstream.operators.progress import backward_progress, delivered_progress, invalid_progress
 from shardstream.operators.shards import join_shards
 from shardstream.session import settle
-from shardstream.sources.folders import batch_folder, is_complete
-from shardstream.sources.log import read_log, stream_log
+from shardstream.sources.folders import batch_folder, is_complete, make_folder
+from shardstream.sources.log import in_shard_order, read_log, stream_log
 from shardstream.sources.options import Overrides, SourceOptions, resolve_options
 from shardstream.streaming.progress_table import current_progress, progress_at, store_progress
 
@@ -35,11 +35,15 @@ class InvalidProgress(ValueError):
 def read_records(spark: SparkSession, log: str, job: str, options: SourceOptions | None = None) -> DataFrame:
     """A log as a stream of records from the configured start position on.
 
-    For LATEST the tips are noted in the job's folder at its first start and kept for later starts.
+    For LATEST the tips are noted in the job's folder at its first start and kept for later starts. A log that is not
+    there yet is an empty one. Settings that Spark has for sessions only are made in a session of the stream's own.
     """
     options = options or SourceOptions()
-    for name, value in options.session_conf().items():
-        spark.conf.set(name, value)
+    if conf := options.session_conf():
+        spark = spark.newSession()
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+    make_folder(spark, log)
     records = stream_log(spark, log, **options.reader_options())
     position = options.start_position
     if position == TRIM_HORIZON:
@@ -75,9 +79,13 @@ def start_consumer(
     status: Callable[[], DataFrame] | None = None,
     with_envelope: bool = False,
     once: bool = False,
+    in_order: bool = True,
 ) -> StreamingQuery:
     """Run ``process`` on every micro-batch and commit what it handled.
 
+    Batches are handed over by shard and sequence, partition after partition; a large shard is several partitions that
+    follow each other. That shuffles them; ``in_order=False`` hands over the files as they are.
+
     ``process`` may return the records (or rows of shard and sequence) to commit; None commits the
     whole batch. ``status`` gives the shutdown reasons at the start of each batch. ``with_envelope``
     hands over committable records, cut into fetches. ``once`` stops after the available data.
@@ -97,9 +105,9 @@ def start_consumer(
         try:
             handed = batch
             if with_envelope:
-                fetches = with_fetch(batch, options.fetch_records)
+                fetches = with_fetch(batch, options.fetch_records, options.max_cache_byte_size)
                 handed = committable(fetches, shard_tips(batch), started_at, settled=True)
-            handled = process(handed, batch_id)
+            handled = process(in_shard_order(handed) if in_order else handed, batch_id)
             commit_batch(
                 batch if handled is None else handled,
                 progress,
@@ -140,9 +148,12 @@ def commit_batch(
 ) -> DataFrame:
     """Store the progress that committing ``handled`` in order leads to.
 
+    A terminated shard is committed as others are, until the ``ending_sequence_number`` of its status
+    is reached; then it is finished.
+
     With ``delivered`` every committed sequence must be one of the delivered records.
     """
-    committed = checkpoint_records(handled, status).persist()
+    committed = delivered_progress(handled, status).persist()
     try:
         if delivered is not None:
             _refuse(invalid_progress(committed, delivered, settled=True), "not delivered")

@@ -25,11 +25,12 @@ def current_progress(spark: SparkSession, folder: str) -> DataFrame | None:
 
 
 def store_progress(
-    committed: DataFrame, folder: str, batch_id: int, status: DataFrame | None = None
+    committed: DataFrame, folder: str, batch_id: int, status: DataFrame | None = None, kept: int | None = None
 ) -> DataFrame:
     """Merge a batch's commits into the table of the batch before, and store the whole table.
 
-    Storing the same batch again writes the same rows to the same place.
+    Storing the same batch again writes the same rows to the same place. A job can be put back by fewer than ``kept``
+    batches; older tables are removed.
     """
     spark = committed.sparkSession
     before = batch_folder(folder, batch_id - 1)
@@ -37,6 +38,7 @@ def store_progress(
     if prior is None and batch_id > 0:
         raise ValueError(f"no progress stored for batch {batch_id - 1} in {folder}")
     merge_progress(committed, status, prior).write.mode("overwrite").parquet(batch_folder(folder, batch_id))
-    if batch_id >= KEPT_BATCHES:
-        drop_batch(spark, folder, batch_id - KEPT_BATCHES)
+    kept = KEPT_BATCHES if kept is None else kept
+    if batch_id >= kept:
+        drop_batch(spark, folder, batch_id - kept)
     return progress_at(spark, folder, batch_id)

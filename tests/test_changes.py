@@ -1,12 +1,17 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from shardstream.functions.payload import change_record, image_column
-from shardstream.model import RECORD_COLUMNS
+from shardstream.model import RECORD_COLUMNS, TRIM_HORIZON
 from shardstream.plans import tables
 from shardstream.sources.changes import decode_new_image, metrics_listener, read_changes
 from shardstream.sources.log import append_slice
+from shardstream.sources.options import SourceOptions
+from shardstream.streaming.changes import start_changes
 from shardstream.streaming.health import Endings
+from shardstream.streaming.progress_table import current_progress
 from tests.helpers import records, rows
 
 ONE = '{"eventName":"INSERT","dynamodb":{"NewImage":{"Id":{"N":"1"},"Value":{"S":"abc"}}}}'
@@ -45,3 +50,35 @@ def test_exactly_one_way_to_report():
     for both_or_none in ((None, None), (listener, print)):
         with pytest.raises(ValueError):
             metrics_listener(*both_or_none)
+
+
+def test_progress_is_that_of_one_query(spark, events, tmp_path):
+    places = [{n: str(tmp_path / f"{n}{k}") for n in ("log", "job")} for k in range(2)]
+    for place in places:
+        append_slice(tables.change_log(events), place["log"], 0)
+    heard = [[], []]
+    options = SourceOptions(initial_position=TRIM_HORIZON)
+    queries = [
+        start_changes(
+            spark, p["log"], p["job"], tables.IMAGE, lambda b, i: None, on_progress=h.append, options=options, once=True
+        )
+        for p, h in zip(places, heard, strict=True)
+    ]
+    for query in queries:
+        query.awaitTermination()
+    deadline = time.monotonic() + 20
+    while not all(heard) and time.monotonic() < deadline:
+        time.sleep(0.1)
+    assert [{str(p.id) for p in h} for h in heard] == [{str(q.id)} for q in queries]
+
+
+def test_shut_down_shards_of_a_change_log(spark, events, tmp_path):
+    log, job = str(tmp_path / "log"), str(tmp_path / "job")
+    append_slice(tables.change_log(events), log, 0)
+    status = spark.createDataFrame([("shard-2", "ZOMBIE")], "shard_id string, shutdown_reason string")
+    options = SourceOptions(initial_position=TRIM_HORIZON)
+    start_changes(
+        spark, log, job, tables.IMAGE, lambda b, i: None, Endings(), options=options, status=lambda: status, once=True
+    ).awaitTermination()
+    stored = dict(rows(current_progress(spark, f"{job}/progress"), "shard_id", "sequence_number"))
+    assert stored["shard-2"] is None and stored["shard-0"] is not None

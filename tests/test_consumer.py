@@ -5,6 +5,7 @@ from pyspark.errors.exceptions.captured import StreamingQueryException
 from pyspark.sql import functions as F
 
 from shardstream.model import LATEST, RECORD_COLUMNS, SHARD_END, TRIM_HORIZON
+from shardstream.operators.positions import resume
 from shardstream.operators.progress import checkpoint_records
 from shardstream.plans import tables
 from shardstream.sources.log import append_slice, read_log, stream_log
@@ -15,6 +16,7 @@ from shardstream.streaming.health import Endings
 from shardstream.streaming.progress_table import current_progress
 from tests.helpers import records, rows
 
+STATUS = "shard_id string, shutdown_reason string, ending_sequence_number string"
 FROM_START = SourceOptions(initial_position=TRIM_HORIZON)
 
 
@@ -106,16 +108,75 @@ def test_timestamp_start(spark, log, place):
 
 
 def test_shut_down_shards_are_delivered_but_not_committed(spark, log, place):
-    status = spark.createDataFrame([("shard-1", "TERMINATE"), ("shard-2", "ZOMBIE")], "shard_id string, shutdown_reason string")
+    last = dict(rows(checkpoint_records(log)))
+    ends = [("shard-1", "TERMINATE", last["shard-1"]), ("shard-2", "ZOMBIE", None), ("shard-3", "TERMINATE", last["shard-3"] + "9")]
+    status = spark.createDataFrame(ends, STATUS)
     append_slice(log, place["log"], 0)
     run(spark, place, status=lambda: status)
     assert spark.read.parquet(place["out"]).count() == 1000
     stored = dict(progress(spark, place))
     assert stored["shard-1"] == SHARD_END
     assert stored["shard-2"] is None
+    assert stored["shard-3"] == last["shard-3"]
     assert stored["shard-0"] == dict(rows(checkpoint_records(log)))["shard-0"]
 
 
+def test_no_record_of_a_terminated_shard_is_lost_over_a_stop(spark, log, place):
+    wanted = log.where("shard_id = 'shard-1'")
+    end = wanted.agg(F.max("sequence_number")).first()[0]
+    status = spark.createDataFrame([("shard-1", "TERMINATE", end)], STATUS)
+    first, second = slices(log, 2)
+    append_slice(first, place["log"], 0)
+    run(spark, place, status=lambda: status)
+    stored = current_progress(spark, place["job"] + "/progress")
+    assert dict(rows(stored, "shard_id", "sequence_number"))["shard-1"] < end
+    append_slice(second, place["log"], 1)
+    rest = resume(read_log(spark, place["log"]), stored.select("shard_id", "sequence_number"))
+    got = first.where("shard_id = 'shard-1'").unionByName(rest.where("shard_id = 'shard-1'"))
+    assert rows(got, "sequence_number") == rows(wanted, "sequence_number")
+    run(spark, place, status=lambda: status)
+    assert dict(progress(spark, place))["shard-1"] == SHARD_END
+
+
+@pytest.mark.parametrize("with_envelope", [False, True])
+def test_records_of_a_shard_are_handed_over_in_order(spark, log, place, with_envelope):
+    spread = log.orderBy(F.xxhash64("sequence_number"))
+    for i in range(6):
+        part = spread.where(F.col("sequence_number").cast("bigint") % 6 == i)
+        append_slice(part.repartition(1 + i, "data"), place["log"], i)
+    last, seen = {}, []
+
+    def note(batch, batch_id):
+        for number, shard, sequence in batch.select(F.spark_partition_id(), "shard_id", "sequence_number").collect():
+            assert last.get((batch_id, shard), (-1, "")) <= (number, sequence)
+            last[batch_id, shard] = number, sequence
+            seen.append(sequence)
+
+    run(spark, place, note, FROM_START, with_envelope=with_envelope)
+    assert len(seen) == 1000 and len({b for b, _ in last}) == 1
+
+
+def test_start_on_a_log_that_is_not_there_yet(spark, log, place):
+    latest = SourceOptions(initial_position=LATEST)
+    query = start_consumer(read_records(spark, place["log"], place["job"], latest), write_batches(place["out"]), place["job"], latest)
+    try:
+        append_slice(log, place["log"], 0)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(place["out"]).count() == 1000
+
+
+def test_settings_of_a_stream_stay_with_it(spark, log, place):
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name, None)
+    append_slice(log, place["log"], 0)
+    options = SourceOptions(initial_position=TRIM_HORIZON, call_for_empty_lists=before != "true")
+    made = read_records(spark, place["log"], place["job"], options)
+    assert made.sparkSession.conf.get(name) == str(before != "true").lower()
+    assert spark.conf.get(name, None) == before
+
+
 def test_only_handled_records_are_committed(spark, log, place):
     append_slice(log, place["log"], 0)
     run(spark, place, lambda batch, batch_id: batch.where("sequence_number < '00000000000000000100'"))
@@ -149,7 +210,7 @@ def test_envelope_starts_at_stored_progress(spark, log, place):
 
 def test_order_of_a_shard_holds_across_micro_batches(spark, log, place):
     for i, part in enumerate(slices(log)):
-        append_slice(part, place["log"], i, one_file_per_shard=True)
+        append_slice(part, place["log"], i, in_order=True)
     spans = []
 
     def note(batch, batch_id):

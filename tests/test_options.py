@@ -54,7 +54,9 @@ def test_what_spark_gets():
     assert options.fetch_records == 200
     assert options.trigger() == {"processingTime": "1500 milliseconds"}
     assert options.reader_options() == {"maxBytesPerTrigger": "1000"}
-    assert options.session_conf()["spark.sql.streaming.noDataMicroBatches.enabled"] == "true"
+    assert options.session_conf() == {"spark.sql.streaming.noDataMicroBatches.enabled": "true"}
+    plain = resolve_options({})
+    assert plain.session_conf() == {} and int(plain.reader_options()["maxBytesPerTrigger"]) > 0
 
 
 def test_a_timestamp_sets_the_position():
