@@ -2,4 +2,44 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_near_embeddings": """
+        with recursive v as (
+          select vec_id, embedding::double[] as e from embeddings
+          where len(embedding) > 0 and list_bool_and(list_transform(embedding, x -> x is not null and isfinite(x)))
+            and list_bool_or(list_transform(embedding, x -> x <> 0))),
+        links as (
+          select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+          where list_cosine_similarity(a.e, b.e) >= 0.95),
+        reach as (
+          select vec_id, vec_id as r from embeddings
+          union select reach.vec_id, links.b from reach join links on reach.r = links.a),
+        groups as (select vec_id, min(r) as component_id from reach group by 1),
+        counts as (select a as vec_id, count(*) as n from links group by 1)
+        select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+        from groups left join counts using (vec_id)""",
+    "op6_jaccard_join": r"""
+        with recursive t as (
+          select doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') as w
+          from documents),
+        s as (
+          select doc_id, unnest(list_distinct(
+            case when len(w) = 0 then []::varchar[]
+                 when len(w) < 5 then [array_to_string(w, ' ')]
+                 else list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) end)) as g
+          from t),
+        n as (select doc_id, count(*) as n from s group by 1),
+        shared as (
+          select a.doc_id as a, b.doc_id as b, count(*) as k
+          from s a join s b using (g) where a.doc_id <> b.doc_id group by 1, 2),
+        links as (
+          select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b
+          where 100 * k >= 80 * (x.n + y.n - k)),
+        reach as (
+          select doc_id, doc_id as r from documents
+          union select reach.doc_id, links.b from reach join links on reach.r = links.a),
+        groups as (select doc_id, min(r) as component_id from reach group by 1)
+        select doc_id, coalesce(n, 0) as n_shingles, component_id from groups left join n using (doc_id)""",
+}
