@@ -6,8 +6,8 @@ ORACLES: dict[str, str] = {
     "op5_near_embeddings": """
         with recursive v as (
           select vec_id, embedding::double[] as e from embeddings
-          where len(embedding) > 0 and list_bool_and(list_transform(embedding, x -> x is not null and isfinite(x)))
-            and list_bool_or(list_transform(embedding, x -> x <> 0))),
+          where len(embedding) > 0 and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+            and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
         links as (
           select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
           where list_cosine_similarity(a.e, b.e) >= 0.95),
@@ -28,7 +28,7 @@ ORACLES: dict[str, str] = {
           select doc_id, unnest(list_distinct(
             case when len(w) = 0 then []::varchar[]
                  when len(w) < 5 then [array_to_string(w, ' ')]
-                 else list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) end)) as g
+                 else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end)) as g
           from t),
         n as (select doc_id, count(*) as n from s group by 1),
         shared as (
