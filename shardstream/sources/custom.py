@@ -7,14 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
-from itertools import islice
 
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
+    DataSourceStreamArrowWriter,
     DataSourceStreamReader,
-    DataSourceStreamWriter,
     InputPartition,
     WriterCommitMessage,
 )
@@ -54,7 +54,7 @@ class _ShardReader(DataSourceStreamReader):
                 first = upto
         return ranges
 
-    def read(self, partition: ShardRange) -> Iterator[tuple]:
+    def read(self, partition: ShardRange) -> Iterator[tuple | pa.RecordBatch]:
         yield from self._fetch(self._options, partition.shard_id, partition.start, partition.end)
 
     def commit(self, end: dict) -> None:
@@ -65,7 +65,7 @@ class _ShardReader(DataSourceStreamReader):
 def reader_source(
     name: str,
     tips: Callable[[dict], Positions],
-    fetch: Callable[[dict, str, int, int], Iterable[tuple]],
+    fetch: Callable[[dict, str, int, int], Iterable[tuple | pa.RecordBatch]],
     commit: Callable[[dict, Positions], None] | None = None,
     schema: str = RECORD,
     range_size: int = 100_000,
@@ -73,7 +73,7 @@ def reader_source(
     """A streaming source from a user's reader.
 
     ``tips(options)`` gives the record count of every shard, ``fetch(options, shard, start, end)`` the
-    rows after the first ``start`` up to ``end``. A long shard is read by several tasks of
+    rows after the first ``start`` up to ``end``, as tuples or, better, as Arrow record batches. A long shard is read by several tasks of
     ``range_size`` records. A limit on how much one micro-batch takes belongs into ``tips``.
     ``commit`` is told of a finished batch one batch later and is not a progress table.
     """
@@ -113,16 +113,18 @@ class PutMessage(WriterCommitMessage):
     records: int
 
 
-class _PutWriter(DataSourceStreamWriter):
+class _PutWriter(DataSourceStreamArrowWriter):
     def __init__(self, put, on_commit, on_abort, batch_size, options):
         self._put, self._on_commit, self._on_abort = put, on_commit, on_abort
         self._batch_size, self._options = batch_size, options
 
     def write(self, iterator) -> PutMessage:
         written = 0
-        while batch := [row.asDict(recursive=True) for row in islice(iterator, self._batch_size)]:
-            self._put(self._options, batch)
-            written += len(batch)
+        for batch in iterator:
+            for start in range(0, batch.num_rows, self._batch_size):
+                part = batch.slice(start, self._batch_size)
+                self._put(self._options, pa.table(part))
+                written += part.num_rows
         return PutMessage(TaskContext.get().partitionId(), written)
 
     def commit(self, messages, batchId: int) -> None:
@@ -136,12 +138,12 @@ class _PutWriter(DataSourceStreamWriter):
 
 def put_sink(
     name: str,
-    put: Callable[[dict, list[dict]], None],
+    put: Callable[[dict, pa.Table], None],
     on_commit: Callable[[dict, int, int], None] | None = None,
     on_abort: Callable[[dict, int], None] | None = None,
     batch_size: int = 500,
 ) -> type[DataSource]:
-    """A streaming sink that hands batches of at most ``batch_size`` rows to ``put(options, rows)``.
+    """A streaming sink that hands Arrow tables of at most ``batch_size`` rows to ``put(options, rows)``.
 
     A failed task is run again, so ``put`` may see a row twice. ``on_commit(options, batch_id, rows)``
     is called once all tasks of a micro-batch are done.

@@ -67,6 +67,24 @@ def test_registered_name_is_enough(spark, tmp_path):
     assert read_custom(spark, "files_b", folder=str(folder)).isStreaming
 
 
+def test_a_reader_may_give_arrow_batches(spark, tmp_path):
+    def tips(options):
+        return {"a": 7}
+
+    def fetch(options, shard, start, end):
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_arrays([pa.array([shard] * (end - start)), pa.array(range(start, end))], ["shard_id", "n"])
+
+    source = reader_source("arrow_a", tips, fetch, schema="shard_id string, n bigint", range_size=3)
+    out = str(tmp_path / "out")
+    stream = read_custom(spark, source, columns=("shard_id", "n"))
+    query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "job")).start()
+    query.processAllAvailable()
+    query.stop()
+    assert rows(spark.read.parquet(out), "n") == [(n,) for n in range(7)]
+
+
 def test_put_function_as_a_sink(spark, events, tmp_path):
     folder = tmp_path / "sink"
     folder.mkdir()
@@ -74,8 +92,8 @@ def test_put_function_as_a_sink(spark, events, tmp_path):
     def put(options, batch):
         import uuid
 
-        assert len(batch) <= 40
-        (Path(options["folder"]) / f"{uuid.uuid4().hex}.json").write_text(json.dumps([r["event_id"] for r in batch]))
+        assert batch.num_rows <= 40
+        (Path(options["folder"]) / f"{uuid.uuid4().hex}.json").write_text(json.dumps(batch["event_id"].to_pylist()))
 
     def on_commit(options, batch_id, count):
         (Path(options["folder"]) / f"commit-{batch_id}").write_text(str(count))
