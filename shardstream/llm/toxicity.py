@@ -15,11 +15,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardstream.llm.common import add_columns, labelled_sample, map_rows, pin
+from shardstream.llm.common import Kept, add_columns, labelled_sample, map_rows, pin
 
 #: Labelled documents of each label that the lexicon and the curve are fitted on.
 MOST_LABELLED = 20_000
 MOST_TERMS = 20_000
+KEPT_CHUNKS = 120_000
 PREFIXES = range(3, 9)
 #: What a beginning of words needs: so many words of toxic documents, and this share of them in toxic documents.
 LEAST_WORDS, LEAST_SHARE = 4, 0.6
@@ -46,11 +47,22 @@ IN_WORDS = re.compile(r"(?<=[^\W\d_])[0134578@$!|]+(?=[^\W\d_])|\b[013457]+(?=[^
 BETWEEN = re.compile(r"[\W_]+")
 
 
-def folded(text: str) -> str:
-    """Words in folded form, each between single spaces, one space first and last."""
-    text = text.lower().translate(FOLDED).lower()
-    text = IN_WORDS.sub(lambda m: m[0].translate(UNSIGNED), text)
-    return BETWEEN.sub(" ", f" {text} ").translate(SAME)
+def folded_chunk(chunk: str) -> str:
+    """What stands between white space in folded form: words with single spaces between them."""
+    chunk = chunk.lower()
+    word = chunk.strip(".,;:!?")
+    if word.isalpha() and max(word) < "\u0100":  # letters of Latin-1, of which none looks like another
+        return word.translate(SAME)
+    chunk = chunk.translate(FOLDED).lower()
+    chunk = IN_WORDS.sub(lambda m: m[0].translate(UNSIGNED), chunk)
+    return BETWEEN.sub(" ", chunk).strip(" ").translate(SAME)
+
+
+def folded(text: str, chunks: Kept | None = None) -> str:
+    """Words in folded form, each between single spaces, one space first and last; ``chunks`` keeps what was folded."""
+    fold = folded_chunk if chunks is None else chunks.__getitem__
+    words = " ".join(filter(None, map(fold, text.split())))
+    return f" {words} " if words else " "
 
 
 def in_training(id_col: Column) -> Column:
@@ -63,8 +75,10 @@ def word_counts(known: DataFrame) -> DataFrame:
     the smallest hash of their words."""
 
     def start():
+        chunks = Kept(folded_chunk, KEPT_CHUNKS)
+
         def words(text, label):
-            found = set(folded(text or "").split())
+            found = set(folded(text or "", chunks).split())
             kind = min(map(xxhash.xxh64_intdigest, found), default=0) >> 1
             return kind, label, sorted(found)
 
@@ -129,11 +143,11 @@ def learned_exceptions(known: DataFrame, lexicon: dict[str, float]) -> list[str]
         return []
 
     def start():
-        matcher = Matcher(lexicon, ())
+        matcher, chunks = Matcher(lexicon, ()), Kept(folded_chunk, KEPT_CHUNKS)
 
         def pairs(text, label):
             found = set()
-            words = folded(text or "")
+            words = folded(text or "", chunks)
             for begin, end, _ in matcher.hits(words):
                 left, right = words.rfind(" ", 0, begin), words.find(" ", end + 1)
                 if left > 0:
@@ -182,10 +196,10 @@ def measure(docs: DataFrame, matcher_parts: tuple, text_col: str) -> DataFrame:
     parts = docs.sparkSession.sparkContext.broadcast(matcher_parts)
 
     def start():
-        matcher = Matcher(*parts.value)
+        matcher, chunks = Matcher(*parts.value), Kept(folded_chunk, KEPT_CHUNKS)
 
         def function(text):
-            words = folded(text or "")
+            words = folded(text or "", chunks)
             n_words, hits = words.count(" ") - 1, matcher.hits(words)
             total = sum(h[2] for h in hits)
             return max(n_words, 0), len(hits), float(np.log1p(1000 * total / max(n_words, 1)))
