@@ -27,7 +27,7 @@ from shardstream.llm.fingerprints import mixed
 WORDS, PERCENT = 5, 80
 #: Entries of the table of counts that orders shingles: what is broadcast has this size however large the input.
 COUNTERS = 1 << 20
-KEPT_WORDS = 300_000
+KEPT_WORDS = 120_000
 SECOND = np.uint64(0x9E3779B97F4A7C15)
 
 

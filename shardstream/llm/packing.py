@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 from shardstream.llm.common import Kept, arrow_schema, map_rows, partitions, pin
 
 SIZE, END_ID = 4096, 1
-KEPT_WORDS = 400_000
+KEPT_WORDS = 120_000
 RANK_BITS = 46
 
 # Texts of these characters are their own NFC form, and the words below are those of the tokenizer's file.

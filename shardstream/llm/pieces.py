@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from shardstream.llm.common import ROWS_AT_ONCE, Kept, arrow_schema, map_rows, pin
 
 CHUNK = 1 << 15
-KEPT_WORDS, KEPT_PAIRS = 300_000, 500_000
+KEPT_WORDS, KEPT_PAIRS = 120_000, 60_000
 SPACE = "▁"
 WORDS = re.compile(" *[^ ]+| +")
 

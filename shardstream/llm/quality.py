@@ -20,7 +20,7 @@ BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
 #: Labelled documents of each label that the target model and the cut are fitted on.
 MOST_LABELLED = 20_000
 TEMPERATURE = 0.02
-KEPT_WORDS = 300_000
+KEPT_WORDS = 120_000
 BINS_PER_UNIT = 100
 COLLECTED_KEYS = 10_000
 
