@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shardstream.operators.fetch import fetch_summary
 from shardstream.operators.positions import shard_tips, with_starting_sequence
-from shardstream.operators.shards import join_shards
+from shardstream.operators.shards import join_shards, join_small
 
 
 def behind_ms(last: Column | str, tip: Column | str) -> Column:
@@ -29,10 +30,11 @@ def committable(
     """Records of fetches with starting sequence and lag, both constant over one fetch.
 
     ``tips`` default to the ends of the given records. ``settled`` tells that tips and progress are
-    cheap to read again and will not change.
+    cheap to read again and will not change. The last arrival of each fetch comes from narrow columns and is joined, so
+    that payloads move for the numbering of fetches only.
     """
     tips = shard_tips(fetches) if tips is None else tips
-    whole_fetch = Window.partitionBy("shard_id", "fetch_no")
-    marked = fetches.withColumn("_last", F.max("arrival_ts").over(whole_fetch))
+    last = fetch_summary(fetches).select("shard_id", "fetch_no", F.col("last_arrival_ts").alias("_last"))
+    marked = join_small(fetches, last, ["shard_id", "fetch_no"])
     behind = with_millis_behind(marked, tips, "_last", settled=settled).drop("_last")
     return with_starting_sequence(behind, progress, settled)
