@@ -23,12 +23,15 @@ def decode_new_image(records: DataFrame, attributes: Mapping[str, tuple[str, str
 
 
 def metrics_listener(
-    listener: StreamingQueryListener | None, on_progress: Callable[[object], None] | None
+    listener: StreamingQueryListener | None, on_progress: Callable[[object], None] | None, one_query: bool = False
 ) -> StreamingQueryListener:
-    """The listener to report through. Exactly one of the two ways must be chosen."""
+    """The listener to report through. Exactly one of the two ways must be chosen.
+
+    ``on_progress`` hears all queries of the session, or with ``one_query`` the one that ``follow`` names later.
+    """
     if (listener is None) == (on_progress is None):
         raise ValueError("choose either a listener or an on_progress function")
-    return listener if listener is not None else _ProgressCalls(on_progress)
+    return listener if listener is not None else _ProgressCalls(on_progress, one_query)
 
 
 def read_changes(
@@ -39,10 +42,10 @@ def read_changes(
 
 
 class _ProgressCalls(StreamingQueryListener):
-    """Passes on the progress of one query. What comes before it is known is kept until it is."""
+    """Passes on the progress of all queries, or of one. What comes before that is known is kept until it is."""
 
-    def __init__(self, on_progress):
-        self._on_progress = on_progress
+    def __init__(self, on_progress, one_query):
+        self._on_progress, self._one_query = on_progress, one_query
         self._query, self._done, self._early, self._ended = None, None, [], set()
         self._lock = threading.Lock()
 
@@ -56,7 +59,7 @@ class _ProgressCalls(StreamingQueryListener):
             done()
 
     def _pass_on(self, progress):
-        if str(progress.id) == self._query:
+        if not self._one_query or str(progress.id) == self._query:
             self._on_progress(progress)
 
     def onQueryStarted(self, event):
@@ -64,7 +67,7 @@ class _ProgressCalls(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         with self._lock:
-            if self._query is None:
+            if self._one_query and self._query is None:
                 self._early.append(event.progress)
                 return
         self._pass_on(event.progress)

@@ -31,7 +31,7 @@ def start_changes(
     Reports go either to a ``listener``, which stays with the session, or to ``on_progress``, which hears this query
     alone, until it ends; exactly one of them must be given. Other arguments are those of ``start_consumer``.
     """
-    reports = metrics_listener(listener, on_progress)
+    reports = metrics_listener(listener, on_progress, one_query=True)
     changes = decode_new_image(read_records(spark, log, job, options), attributes)
     streams = changes.sparkSession.streams
     streams.addListener(reports)
