@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shardstream.llm.common import pin
 
@@ -26,12 +27,16 @@ KINDS = [*FORMS, "id"]
 HINTS = {"email": "@", "ip": ".", "phone": "+"}
 CARD_DIGITS, PHONE_DIGITS = (14, 19), (10, 15)
 
-#: Words with at least three digits: instances that the patterns may find.
+#: Words with at least three digits: instances besides the seeds from which patterns are learned.
 INSTANCE = (
     r"(?<![A-Za-z0-9])(?=(?:[A-Za-z_.:@+/-]*+[0-9]){3})[A-Za-z0-9][A-Za-z0-9_.:@+/-]{4,62}[A-Za-z0-9](?![A-Za-z0-9])"
 )
+#: What contexts are made of: runs of letters and digits, and runs of other signs.
+PIECE = r"[\p{L}\p{N}\p{M}]+|[^\s\p{L}\p{N}\p{M}]+"
 BESIDE = 40
 ROUNDS = 3
+#: Words between white space that a stretch between two contexts may have.
+MOST_WORDS = 12
 #: A pattern is trusted from this score on, and if it was seen around so many different instances.
 TRUSTED, LEAST_INSTANCES = 0.8, 5
 #: Instances of no worth that every pattern is given, so that a few good ones prove little.
@@ -105,22 +110,34 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(hint, found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
+def folded(text: Column) -> Column:
+    """Lower case, and digits as one sign; it has as many pieces as the text."""
+    return F.regexp_replace(F.lower(text), "[0-9]+", "9")
+
+
 def contexts(left: Column, right: Column) -> Column:
-    """Patterns around a span: two words before, a word on each side, two words after; digits count as one sign."""
-    before, after = (F.regexp_replace(F.lower(side), "[0-9]+", "9") for side in (left, right))
-    last, last_two = (F.regexp_extract(before, rf"({words})\s*$", 1) for words in (r"\S+", r"\S+\s+\S+"))
-    first, first_two = (F.regexp_extract(after, rf"^\s*({words})", 1) for words in (r"\S+", r"\S+\s+\S+"))
+    """Patterns around a span, (kind, left, right) in lines: two pieces before, a word on each side, two pieces after.
+
+    A word is a piece of letters and digits, or signs with the piece beyond them.
+    """
+    before, after = (F.regexp_extract_all(folded(side), F.lit(PIECE), 0) for side in (left, right))
+    last_two, first_two = F.slice(before, F.greatest(F.size(before) - 1, F.lit(1)), F.lit(2)), F.slice(after, 1, 2)
+    last, first = F.try_element_at(before, F.lit(-1)), F.try_element_at(after, F.lit(1))
+    is_word = lambda piece: piece.rlike(r"^[\p{L}\p{N}\p{M}]")
+    pair = lambda two: F.when(F.size(two) == 2, F.array_join(two, " "))
+    beside = [F.when(is_word(one), one).otherwise(pair(two)) for one, two in ((last, last_two), (first, first_two))]
     return F.array_compact(
         F.array(
-            F.when(last_two != "", F.concat(F.lit("before "), last_two)),
-            F.when((last != "") & (first != ""), F.concat(F.lit("around "), last, F.lit(" _ "), first)),
-            F.when(first_two != "", F.concat(F.lit("after "), first_two)),
+            F.concat(F.lit("before\n"), pair(last_two), F.lit("\n")),
+            F.concat(F.lit("around\n"), beside[0], F.lit("\n"), beside[1]),
+            F.concat(F.lit("after\n\n"), pair(first_two)),
         )
     )
 
 
 def trusted_patterns(seen: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Patterns of high score, from ``seen`` (pattern, instance, seed), one row for each pattern an instance is in.
+    """Patterns of high score, and whether at least half of their instances are seeds (``known``), from ``seen`` (pattern,
+    instance, seed), one row for each pattern an instance is in.
 
     A pattern's score is the mean score of its different instances, with ``DOUBT`` instances of score 0 besides; an
     instance's score is 1 for a seed, else the chance that not all of its patterns are wrong. Sums are made before rows
@@ -132,14 +149,114 @@ def trusted_patterns(seen: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         scores = pin(scores, "instances")
         known = edges.join(scores, "instance")
         patterns = known.groupBy("pattern").agg(
-            (F.sum("score") / (F.count("*") + DOUBT)).alias("trust"), F.count("*").alias("instances")
+            (F.sum("score") / (F.count("*") + DOUBT)).alias("trust"), F.count("*").alias("instances"), F.count_if("seed").alias("seeds")
         )
         patterns = pin(patterns, "patterns")
         wrong = F.exp(F.sum(F.log1p(-F.col("trust"))))
         scores = edges.join(patterns, "pattern").groupBy("instance").agg(
             F.when(F.max("seed"), 1.0).otherwise(1 - wrong).alias("score")
         )
-    return patterns.filter((F.col("trust") >= TRUSTED) & (F.col("instances") >= LEAST_INSTANCES)).select("pattern")
+    trusted = patterns.filter((F.col("trust") >= TRUSTED) & (F.col("instances") >= LEAST_INSTANCES))
+    return trusted.select("pattern", (2 * F.col("seeds") >= F.col("instances")).alias("known"))
+
+
+def marks_of(patterns: DataFrame) -> DataFrame:
+    """(piece, beyond, opens, between): the pieces of patterns that a stretch begins after or ends before, with the piece
+    beyond them, if it matters. A stretch lies between two marks of one ``between``: those of one pattern on both sides,
+    or of any pattern before and any after."""
+    parts = F.split("pattern", "\n")
+    sides = patterns.select("pattern", parts[0].alias("kind"), F.split(parts[1], " ").alias("l"), F.split(parts[2], " ").alias("r"))
+    between = F.when(F.col("kind") == "around", F.col("pattern")).otherwise("sides")
+    two = lambda side: F.size(side) == 2
+    lefts = sides.filter("kind <> 'after'").select(
+        F.element_at("l", -1).alias("piece"), F.when(two("l"), F.col("l")[0]).alias("beyond"), F.lit(True).alias("opens"), between.alias("between")
+    )
+    rights = sides.filter("kind <> 'before'").select(
+        F.col("r")[0].alias("piece"), F.when(two("r"), F.get("r", F.lit(1))).alias("beyond"), F.lit(False).alias("opens"), between.alias("between")
+    )
+    return lefts.unionByName(rights).distinct()
+
+
+def base_and_words(text: Column) -> tuple[Column, Column]:
+    """Spans of the forms, and the words with three digits, which may meet them."""
+    base = F.array_sort(F.concat(*(base_spans(text, kind) for kind in FORMS)))
+    return base, F.when(text.rlike("[0-9]"), spans_of(text, INSTANCE, "id")).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def meet(one: Column, other: Column) -> Column:
+    return (one["start"] < other["end"]) & (other["start"] < one["end"])
+
+
+def same_text(key: list[str], other: str) -> Column:
+    same = F.col(key[0]).eqNullSafe(F.col(f"{other}_{key[0]}"))
+    for k in key[1:]:
+        same = same & (F.col(k) == F.col(f"{other}_{k}"))
+    return same
+
+
+def stretches(rows: DataFrame, marks: DataFrame, key: list[str]) -> DataFrame:
+    """(id, text_hash, length, span): from each mark that opens to the next mark, if that one ends, in every whole text.
+
+    Left out is what meets a form, is one of the words with three digits, or has no letter or digit or more than
+    ``MOST_WORDS`` words. Texts become rows of pieces, of which only those that are marks are shuffled.
+    """
+    pieces = F.regexp_extract_all(folded(F.col("text")), F.lit(PIECE), 0)
+    texts = rows.select(*key, F.concat(F.array(F.lit("")), pieces, F.array(F.lit(""))).alias("p"))
+    beside = F.arrays_zip(F.col("p").alias("prev"), F.slice("p", F.lit(2), F.size("p")).alias("piece"), F.slice("p", F.lit(3), F.size("p")).alias("next"))
+    each = texts.select(*key, F.posexplode(beside).alias("n", "at")).select(*key, "n", "at.*").filter("piece <> ''")
+    beyond = F.when(F.col("opens"), F.col("prev")).otherwise(F.col("next"))
+    met = each.join(marks, "piece").filter(F.col("beyond").isNull() | (F.col("beyond") == beyond))
+    place = F.col("n") + F.col("opens").cast("int")
+    met = met.select(*key, "between", "opens", place.alias("place")).distinct()
+    later = Window.partitionBy(*key, "between").orderBy(F.desc("place"), F.desc("opens"))
+    pairs = met.withColumn("until", F.lag("place").over(later)).withColumn("then_opens", F.lag("opens").over(later))
+    pairs = pairs.filter("opens and not then_opens")
+    places = F.array_sort(F.collect_set(F.struct("place", "until"))).alias("places")
+    pairs = pairs.groupBy(*(F.col(k).alias(f"met_{k}") for k in key)).agg(places)
+    base, words = base_and_words(F.col("text"))
+    parts = {"text": F.col("text"), "places": F.col("places"), "base": base, "words": words}
+    parts |= {"p": F.regexp_extract_all("text", F.lit(PIECE), 0), "gaps": F.split("text", PIECE, -1)}
+    # an array of one, so that each part is made once for all stretches
+    whole = F.array(F.struct(*(c.alias(name) for name, c in parts.items())))
+    spans = F.flatten(F.transform(whole, stretches_of))
+    return rows.join(pairs, same_text(key, "met")).select(*key, F.explode(spans).alias("span")).distinct()
+
+
+def stretches_of(doc: Column) -> Column:
+    """Spans of a text's stretches, from struct (text, places in order, base, words, pieces ``p`` and ``gaps`` around them)."""
+
+    def long(array: str, start: Column, until: Column) -> Column:
+        return F.length(F.array_join(F.slice(doc[array], start + 1, until - start), "")).cast("bigint")
+
+    def add(state: Column, at: Column) -> Column:
+        start = state["start"] + long("p", state["n"], at["place"]) + long("gaps", state["n"] + 1, at["place"] + 1)
+        end = long("p", at["place"], at["until"]) + long("gaps", at["place"] + 1, at["until"])
+        one = F.struct(start.alias("start"), end.alias("length"))
+        return F.struct(at["place"].alias("n"), start.alias("start"), F.concat(state["found"], F.array(one)).alias("found"))
+
+    none = F.array().cast("array<struct<start: bigint, length: bigint>>")
+    first = F.struct(F.lit(0).alias("n"), F.length(doc["gaps"][0]).cast("bigint").alias("start"), none.alias("found"))
+    placed = F.aggregate(doc["places"], first, add, lambda s: s["found"])
+
+    def span(at: Column) -> Column:
+        start, end = at["start"].cast("int"), (at["start"] + at["length"]).cast("int")
+        left = F.greatest(start - BESIDE, F.lit(0))
+        return F.struct(
+            at["start"].alias("start"),
+            F.lit(KINDS.index("id")).alias("rank"),
+            (at["start"] + at["length"]).alias("end"),
+            F.lit("id").alias("kind"),
+            F.substring(doc["text"], start + 1, end - start).alias("value"),
+            F.substring(doc["text"], left + 1, start - left).alias("left"),
+            F.substring(doc["text"], end + 1, F.lit(BESIDE)).alias("right"),
+        )
+
+    def counts(here: Column) -> Column:
+        fits = here["value"].rlike(r"[\p{L}\p{N}]") & (F.size(F.split(here["value"], r"\s+")) <= MOST_WORDS)
+        same = F.exists(doc["words"], lambda w: (w["start"] == here["start"]) & (w["end"] == here["end"]))
+        return fits & ~same & ~F.exists(doc["base"], lambda b: meet(here, b))
+
+    return F.filter(F.transform(placed, span), counts)
 
 
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
@@ -148,32 +265,44 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A null or empty text has no spans. Null ids are kept; rows that repeat an id and a text get the same spans, and rows
     that repeat an id with other texts their own. An empty table gives an empty table; other columns are not read.
-    Texts are read once and not shuffled: spans and the words beside them go on.
+    Texts are read once for the forms and, where patterns are trusted, again for what stands between them; only texts
+    with such stretches may be shuffled then, otherwise spans and the words beside them go on.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    key = ["id", "text_hash", "length"]
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    text, none = F.col("text"), F.array().cast(f"array<{SPAN}>")
-    base = F.array_sort(F.concat(*(base_spans(text, kind) for kind in FORMS)))
-    words = F.when(text.rlike("[0-9]"), spans_of(text, INSTANCE, "id")).otherwise(none)
-    found = rows.select("id", F.xxhash64("text").alias("text_hash"), F.length("text").alias("length"), base.alias("base"), words.alias("words"))
-    meets = lambda w: F.exists("base", lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"]))
-    found = pin(found.withColumn("words", F.filter("words", lambda w: ~meets(w))), "spans")
+    rows = rows.select("id", F.xxhash64("text").alias("text_hash"), F.length("text").alias("length"), "text")
+    base, words = base_and_words(F.col("text"))
+    found = rows.select(*key, base.alias("base"), words.alias("words"))
+    apart = F.filter("words", lambda w: ~F.exists("base", lambda b: meet(w, b)))
+    found = pin(found.withColumn("words", apart), "spans")
+
+    def place(spans: DataFrame) -> DataFrame:
+        return spans.select(*key, "span", F.explode(contexts(F.col("span.left"), F.col("span.right"))).alias("pattern"))
+
+    def seen(placed: DataFrame) -> DataFrame:
+        instance = F.concat_ws(":", "span.kind", "span.value").alias("instance")
+        return placed.select("pattern", instance, (F.col("span.kind") != "id").alias("seed"))
 
-    key = ["id", "text_hash", "length"]
     all_spans = found.filter((F.size("base") > 0) | (F.size("words") > 0)).select(*key, F.explode(F.concat("base", "words")).alias("span"))
-    placed = all_spans.select(*key, "span", F.explode(contexts(F.col("span.left"), F.col("span.right"))).alias("pattern"))
-    seen = placed.select(
-        "pattern",
-        F.concat_ws(":", "span.kind", "span.value").alias("instance"),
-        (F.col("span.kind") != "id").alias("seed"),
-    )
-    trusted = pin(trusted_patterns(seen, rounds), "trusted")
-    new = placed.filter("span.kind = 'id'").join(trusted, "pattern", "left_semi")
+    placed = place(all_spans)
+    trusted = pin(trusted_patterns(seen(placed), rounds), "trusted")
+    marks = pin(marks_of(trusted.filter("known")), "marks")
+    between = None
+    if not marks.isEmpty():
+        between = place(pin(stretches(rows, marks, key), "stretches"))
+        trusted = pin(trusted_patterns(seen(placed).unionByName(seen(between)), rounds), "trusted")
+    new = placed.filter("span.kind = 'id'").join(trusted, "pattern", "left_semi").select(*key, "span")
+    if between is not None:
+        sides = F.collect_set(F.split("pattern", "\n")[0])
+        both_sides = between.join(trusted.filter("known"), "pattern", "left_semi").groupBy(*key, "span").agg(sides.alias("sides"))
+        both_sides = both_sides.filter(F.array_contains("sides", "around") | (F.size("sides") == 2))
+        new = new.unionByName(both_sides.select(*key, "span"))
     new = new.groupBy(*(F.col(k).alias(f"new_{k}") for k in key)).agg(F.collect_set("span").alias("new"))
-    same = F.col("id").eqNullSafe(F.col("new_id"))
-    for k in key[1:]:
-        same = same & (F.col(k) == F.col(f"new_{k}"))
-    both = found.drop("words").join(new, same, "left")
+    outer = lambda s, o: (o["start"] <= s["start"]) & (s["end"] <= o["end"]) & (o["end"] - o["start"] > s["end"] - s["start"])
+    new = new.withColumn("new", F.filter("new", lambda s: ~F.exists("new", lambda o: outer(s, o))))  # the longest
+    none = F.array().cast(f"array<{SPAN}>")
+    both = found.drop("words").join(new, same_text(key, "new"), "left")
     return both.select(*key, "base", F.array_sort(F.concat("base", F.coalesce("new", none))).alias("spans")).withColumnRenamed("id", id_col)
 
 

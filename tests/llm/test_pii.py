@@ -71,6 +71,28 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     assert [base(r) for r in rows] == [by_hand(t) for t in texts]
 
 
+def test_identifiers_of_any_form_between_trusted_contexts(spark):
+    cards = ["4111111111111111", "5500000000000004", "340000000000009", "30000000000004", "6011000000000004", "4242424242424242"]
+    texts = [f"my account number {c} thanks a lot" for c in cards]
+    shapes = ["555 123 4567", "4111 11 11", "(555) 123-4567", "j.doe", "k" * 70 + "-" + "9" * 30]
+    texts += [f"\U0001f600 \u0130l gave my account number {v} thanks a lot" for v in shapes]
+    texts += ["my account number soon", "a count of people said thanks a lot", "thanks a lot for the account number"]
+    texts += ["my account number " + "word " * 13 + "thanks a lot"]
+    rows = find_spans(documents(spark, texts)).orderBy("doc_id").collect()
+    for row, text in zip(rows, texts, strict=True):
+        assert [s.value for s in row.spans if s.kind == "id"] == [v for v in shapes if f"number {v} thanks" in text]
+        assert all(s.value == text[s.start : s.end] for s in row.spans)
+    out = {r.doc_id: r.text for r in redact(documents(spark, texts)).collect()}
+    assert out[8] == "\U0001f600 \u0130l gave my account number <id> thanks a lot"
+
+
+def test_contexts_that_hold_mostly_other_words_find_none(spark):
+    mails = [f"please contact u{k}@b.co, for details" for k in range(6)]
+    others = [f"please contact {w}, for details" for w in ("us", "me", "the team", "our office", "them", "him", "her", "support")]
+    rows = find_spans(documents(spark, mails + others)).collect()
+    assert not any(s.kind == "id" for r in rows for s in r.spans)
+
+
 def test_a_pattern_seen_in_copies_of_one_document_proves_nothing(spark):
     texts = ["my account number 4111111111111111 thanks"] * 30 + ["my account number XK-99-1234-77 thanks"]
     rows = find_spans(documents(spark, texts)).collect()
