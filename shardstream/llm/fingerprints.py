@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shardstream.llm.common import map_rows, partitions
 
-K, WINDOW = 32, 97
+K, WINDOW = 8, 16
 BLOCK = 1 << 20
 PLACE_BITS = 22  # places within a block and its overlap, in the low bits of what is compared
 ODD = 0x9E3779B97F4A7C15

@@ -44,6 +44,12 @@ def test_a_shared_stretch_of_guaranteed_length_is_found():
         assert any(a == b and 0 <= a <= len(shared) - 8 for a, b in meets)
 
 
+def test_short_texts_share_hashes_with_their_edited_form(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n)) for n in range(34, 192, 3)]
+    assert all(r.near_edited > 0 for r in compare_with_next(documents(spark, texts)).collect())
+
+
 def check(rows, docs):
     """Against the definition: by falling id, then falling text, nulls last; the first follows the last."""
     order = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0, d[1] or ""), reverse=True)
