@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardstream.llm.common import read_table
+from shardstream.llm.copies import LARGEST, exact_copies
 from shardstream.llm.embeddings import near_copies
 from shardstream.llm.fingerprints import compare_with_next
 from shardstream.llm.jaccard import jaccard_groups
 from shardstream.llm.licenses import scan_licenses
+from shardstream.llm.merkle import build_manifest, leaf_digest
+from shardstream.llm.negatives import mine_negatives, usable
 from shardstream.llm.packing import pack_documents
 from shardstream.llm.pieces import decode_ids, encode_texts
 from shardstream.llm.pii import FORMS, find_spans, written
@@ -117,7 +122,45 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which document of equal text stays, of every document: the one with the largest id."""
+    text = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return exact_copies(read_table(spark, sf_dir, "documents"), keep=LARGEST, also={"text_sha256": text})
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the root its proof leads to once some texts have been changed."""
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    values = ["doc_id", "source", "lang", "n_chars"]
+    changed = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    claimed = F.when(changed, leaf_digest([*values, lowered]))
+    docs = read_table(spark, sf_dir, "documents")
+    manifest = build_manifest(docs, "source", "doc_id", leaf_digest([*values, "text"]), claimed)
+    root = F.lit(manifest.root()).cast("string")
+    return manifest.check().select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        root.alias("root"),
+        "proof_sha256",
+        "folded_root",
+        (F.col("folded_root") == root).alias("verified"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding, by inner products of whole numbers."""
+    rows = read_table(spark, sf_dir, "embeddings").filter(usable("embedding") & F.col("label").isNotNull())
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    rows = rows.select("vec_id", moved.alias("label"), whole.alias("embedding"))
+    return mine_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_hard_negatives": op13_hard_negatives,
     "op7_personal_data": op7_personal_data,
     "op10_sentencepiece": op10_sentencepiece,
     "op5_near_embeddings": op5_near_embeddings,
