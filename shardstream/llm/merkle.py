@@ -351,7 +351,8 @@ def build_manifest(
         leaf.alias("digest"),
         checked.alias("claimed"),
     )
-    leaves = pin(numbered(leaves, "tree", ["id", "digest"]), "numbered")
+    # Ranges are sampled before rows are dealt out: what they are read from must not hash the texts again.
+    leaves = pin(numbered(pin(leaves, "digests"), "tree", ["id", "digest"]), "numbered")
     rounds = build_rounds(leaves, ["id", "claimed"], arity, levels)
     roots = leaves.filter("rank = 0").select("tree", "group").join(tree_roots(rounds, arity, levels), "tree")
     tops = roots.select(
