@@ -253,6 +253,14 @@ ORACLES: dict[str, str] = {
                case when event_id % 8 > 5 then 'Throttled' end as error_code
         from rec""",
     ),
+    "put_stream_with_retries": _with(
+        _REC,
+        select="""
+        select sequence_number as request_id, case when event_id % 8 <= 5 then shard_id end as shard_id,
+               event_id % 8 <= 5 as successful, (least(event_id % 8, 5) + 1)::int as attempts,
+               case when event_id % 8 > 5 then 'Throttled' end as error_code, true as waits_kept
+        from rec""",
+    ),
     "unacknowledged": "select lpad(event_id::varchar, 20, '0') as request_id from events where event_id % 8 > 5",
     "payload_roundtrip": "select event_id, props as data, strlen(props)::bigint as bytes from events",
     "decode_new_image": """

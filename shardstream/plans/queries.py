@@ -35,6 +35,7 @@ from shardstream.sources.options import SourceOptions
 from shardstream.streaming.consumer import start_consumer, write_batches
 from shardstream.streaming.producer import DEAD_LETTER, put_records, put_through, start_producer
 from shardstream.streaming.progress_table import current_progress
+from shardstream.streaming.put_queue import PutQueue, SystemClock
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -396,28 +397,32 @@ def put_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
-def put_with_retries(spark: SparkSession, folder: str) -> DataFrame:
-    """Put through a function that fails the first attempts of most records. The function is a fixture: it stands for a
-    service and answers by the number of the request."""
-    requests = t.put_requests(t.events(spark, folder)).withColumn("routed", shard_of("partition_key", t.SHARDS))
+def _failing_put(batch: pa.Table) -> pa.Table:
+    """A fixture that stands for a service and answers by the number of the request: it fails the first attempts of most."""
+    number = np.array(batch["request_id"].to_numpy(), dtype=np.int64)
+    said = {"error_kind": RECORD_FAILED, "error_code": "Throttled", "error_message": "slow down"}
+    return pa.table(
+        {
+            "shard_id": batch["routed"],
+            "sequence_number": batch["request_id"],
+            "successful": batch["attempt"].to_numpy() > number % 8,
+            **{name: pa.repeat(value, batch.num_rows) for name, value in said.items()},
+        }
+    )
 
-    def put(batch: pa.Table) -> pa.Table:
-        number = np.array(batch["request_id"].to_numpy(), dtype=np.int64)
-        said = {"error_kind": RECORD_FAILED, "error_code": "Throttled", "error_message": "slow down"}
-        return pa.table(
-            {
-                "shard_id": batch["routed"],
-                "sequence_number": batch["request_id"],
-                "successful": batch["attempt"].to_numpy() > number % 8,
-                **{name: pa.repeat(value, batch.num_rows) for name, value in said.items()},
-            }
-        )
 
+def _routed_requests(spark: SparkSession, folder: str) -> DataFrame:
+    return t.put_requests(t.events(spark, folder)).withColumn("routed", shard_of("partition_key", t.SHARDS))
+
+
+@query
+def put_with_retries(spark: SparkSession, folder: str) -> DataFrame:
+    """Put through a function that fails the first attempts of most records."""
+    requests = _routed_requests(spark, folder)
     settings = quota.PutSettings.by_number_of_shards(t.SHARDS)
     policy = RetryPolicy(strategy=LINEAR, base_ms=0)
     settings = replace(settings, retry=policy)
-    results = put_through(requests, put, settings, on_exhausted=DEAD_LETTER, limit_writers=False)
+    results = put_through(requests, _failing_put, settings, on_exhausted=DEAD_LETTER, limit_writers=False)
     return results.select(
         "request_id",
         "shard_id",
@@ -428,6 +433,47 @@ def put_with_retries(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+class _Steps(SystemClock):
+    """A clock that goes on by a quarter of a second whenever it is read, and skips what it is to wait for."""
+
+    def __init__(self):
+        self.ms = 0
+
+    def now_ms(self) -> int:
+        self.ms += 250
+        return self.ms
+
+    def wait_until(self, due_ms: int) -> None:
+        self.ms = max(self.ms, due_ms)
+
+
+@query
+def put_stream_with_retries(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of requests, stopped between batches and started again, whose failed records wait until they are due.
+
+    ``waits_kept``: between the first and the last attempt of a record lies the time that the policy asks for.
+    """
+    source, job = new_folder(spark, "requests"), new_folder(spark, "puts")
+    requests = _routed_requests(spark, folder)
+    policy = RetryPolicy(strategy=LINEAR)
+    settings = replace(quota.PutSettings.by_number_of_shards(t.SHARDS), retry=policy)
+    queue = PutQueue(spark, job, _failing_put, settings, DEAD_LETTER, limit_writers=False, clock=_Steps())
+    for part in (0, 1):
+        requests.where(F.col("request_id").cast("long") % 2 == part).repartition(2).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        queue.start(stream, once=True).awaitTermination()
+    queue.drain()
+    backoff = total_backoff_ms(F.size("attempts") - 1, policy)
+    return queue.results().select(
+        "request_id",
+        "shard_id",
+        "successful",
+        F.size("attempts").alias("attempts"),
+        last_error_code("attempts").alias("error_code"),
+        (F.col("last_ms") - F.col("first_ms") >= backoff).alias("waits_kept"),
+    )
+
+
 @query
 def unacknowledged(spark: SparkSession, folder: str) -> DataFrame:
     """Requests that are past their retries and so have no result."""

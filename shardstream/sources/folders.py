@@ -50,6 +50,12 @@ def drop_batch(spark: SparkSession, folder: str, batch_id: int) -> None:
     files.delete(hadoop, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
+    files, hadoop = _path(spark, path)
+    return [entry.getPath().getName() for entry in files.listStatus(hadoop)] if files.exists(hadoop) else []
+
+
 def latest_batch(spark: SparkSession, folder: str) -> int | None:
     """The highest batch written completely, or None."""
     files, hadoop = _path(spark, folder)

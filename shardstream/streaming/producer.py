@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from shardstream.functions.retry import RECORD_FAILED, RetryPolicy, delay_ms
 from shardstream.functions.routing import shard_of
@@ -169,6 +170,7 @@ def put_through(
     on_exhausted: str = RAISE,
     longest_pause_ms: int = LONGEST_PAUSE_MS,
     limit_writers: bool = True,
+    with_requests: bool = False,
 ) -> DataFrame:
     """Put requests with a user's function and return one result per request.
 
@@ -180,7 +182,7 @@ def put_through(
     back: its result is unsuccessful and has fewer attempts than the policy allows. ``puts.due_later`` finds these;
     put through again with their ``attempts``, they go on where they were. A record past its retries stops the
     job, or becomes an unsuccessful result with ``on_exhausted="dead_letter"``. Any other error stops the job.
-    A task that is run again puts its records again.
+    A task that is run again puts its records again. ``with_requests`` adds the columns of the requests to their results.
     """
     if on_exhausted not in (RAISE, DEAD_LETTER):
         raise ValueError(f"on_exhausted must be {RAISE!r} or {DEAD_LETTER!r}, not {on_exhausted!r}")
@@ -192,12 +194,18 @@ def put_through(
         pace = _Pace(*share)
         for batch in batches:
             for start in range(0, batch.num_rows, size):
-                yield _put_until_done(batch.slice(start, size), put, policy, on_exhausted, longest_pause_ms, pace)
+                part = batch.slice(start, size)
+                results = _put_until_done(part, put, policy, on_exhausted, longest_pause_ms, pace)
+                for name in kept:
+                    results = results.append_column(name, part[name])
+                yield results
 
     requests = identify_requests(requests)
     if limit_writers:
         requests = spread_writers(requests, settings)
-    return requests.mapInArrow(run, PUT_RESULT)
+    schema = StructType.fromDDL(PUT_RESULT)
+    kept = [f.name for f in requests.schema if with_requests and f.name not in (*schema.names, "wait_ms")]
+    return requests.mapInArrow(run, StructType([*schema, *(requests.schema[name] for name in kept)]))
 
 
 def _put_until_done(
