@@ -1,4 +1,4 @@
-"""Row numbers and running sums in sequence order, without one task per shard.
+"""Row numbers, running sums and maxima in sequence order, without one task per shard.
 
 A window over a whole shard runs in one task, so one shard with a third of the log stops the job.
 Where a shard is too large for that, it is cut at prefixes of the sequence number. A prefix never goes
@@ -6,7 +6,9 @@ down when the string goes up, so the sum before a row is the sum of the buckets
 the sum before it inside its bucket. The first part needs one row per bucket; those rows are summed in
 the same way, which cuts them again if there are too many of them.
 
-Buckets are counted, and those that are still too large are cut further. Only equal strings stay
+Buckets are counted, and those that are still too large are cut further. Where prefixes do not cut well, as with
+numbers of which nearly each has a prefix of its own, rows are cut at measured values instead: they are
+dealt out by range and written, and every partition is a bucket. Only rows that are equal in order and ties stay
 together, and within a shard there should be none.
 """
 
@@ -14,13 +16,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardstream.operators.shards import join_small
-from shardstream.session import settle
+from shardstream.session import settle, store
 
 # Rows that one task may number in one go.
 WINDOW_ROWS = 200_000
@@ -29,29 +32,60 @@ WINDOW_ROWS = 200_000
 DIGITS = 10
 TEXT = 16
 
+# Measured ranges are made for this part of the rows that a task may number, as samples place them roughly; and
+# for no fewer rows than this, so that there are always far fewer ranges than rows.
+RANGE_SHARE = 3
+LEAST_RANGE = 4
+
+SUM = "sum"
+MAX = "max"
+
+
+@dataclass(frozen=True)
+class Scan:
+    """A value and how it is put together over rows: any operation that may be grouped freely."""
+
+    value: Column
+    op: str = SUM
+
+    def total(self) -> Column:
+        return (F.sum if self.op == SUM else F.max)(self.value)
+
+    def over(self, window) -> Column:
+        """Over no rows a sum is 0 and a maximum null."""
+        return F.coalesce(F.sum(self.value).over(window), F.lit(0)) if self.op == SUM else F.max(self.value).over(window)
+
+    def joined(self, before: Column, after: Column) -> Column:
+        return before + after if self.op == SUM else F.greatest(before, after)
+
+
+def _scans(sums: Mapping[str, Column | Scan]) -> dict[str, Scan]:
+    return {name: value if isinstance(value, Scan) else Scan(value) for name, value in sums.items()}
+
 
 def sums_before(
     rows: DataFrame,
     by: Sequence[str],
     order: str,
-    sums: Mapping[str, Column],
+    sums: Mapping[str, Column | Scan],
     ties: Sequence[str] = (),
     window_rows: int | None = None,
 ) -> DataFrame:
-    """``rows`` with, per name in ``sums``, the sum over the rows before it in ``order`` within ``by``.
+    """``rows`` with, per name in ``sums``, the sum over the rows before it in ``order`` within ``by``; the largest value
+    of these for a ``Scan`` of maxima, null if there are none.
 
     Rows equal in ``order`` come in the order of ``ties``. Columns in ``by`` must not be null. Counts
     the rows first, so it is for tables and micro-batches, not for a stream as such. ``window_rows`` is the
     most rows that one task numbers in one go (default: ``WINDOW_ROWS``); results do not depend on it.
     """
-    return _sums_before(rows, by, order, sums, ties, math.inf, window_rows or WINDOW_ROWS)
+    return _sums_before(rows, by, order, _scans(sums), ties, math.inf, window_rows or WINDOW_ROWS)
 
 
 def _sums_before(
     rows: DataFrame,
     by: Sequence[str],
     order: str,
-    sums: Mapping[str, Column],
+    sums: Mapping[str, Scan],
     ties: Sequence[str],
     former: float,
     limit: int,
@@ -61,30 +95,58 @@ def _sums_before(
     groups = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"), F.max(F.length(value)).alias("width")
     )
-    largest, low, high, width = groups.agg(
-        F.coalesce(F.max("n"), F.lit(0)), F.min("low"), F.max("high"), F.max("width")
+    largest, low, high, width, n = groups.agg(
+        F.coalesce(F.max("n"), F.lit(0)), F.min("low"), F.max("high"), F.max("width"), F.sum("n")
     ).first()
-    gains = limit < largest < former / 2
-    length = _first_prefix(low, high, width, largest, limit) if gains else 0
-    if length == 0:
+    if largest <= limit or largest < 2 * LEAST_RANGE:
         return _window_sums(rows, by, [order, *ties], sums)
 
     bucket = f"_{order.removeprefix('_')}_bucket"
     keys = [*by, bucket]
-    bucketed, totals = _cut(rows, by, order, bucket, length, sums, limit)
-    carried = {f"_start_{name}": F.col(f"_total_{name}") for name in sums}
+    length = _first_prefix(low, high, width, largest, limit) if largest < former / 2 else 0
+    if length:
+        bucketed, totals = _cut(rows, by, order, bucket, length, sums, limit)
+    else:
+        bucketed, totals = _range(rows, by, [order, *ties], bucket, sums, limit, n)
+    carried = {f"_start_{name}": Scan(F.col(f"_total_{name}"), scan.op) for name, scan in sums.items()}
     starts = _sums_before(totals, by, bucket, carried, (), largest, limit)
-    starts = starts.select(*keys, *[f"_start_{name}" for name in sums])
+    starts = starts.select(*keys, F.lit(True).alias("_known"), *carried)
     # The window comes first: its sort order already is what a sort-merge join with `starts` needs.
     inside = _window_sums(bucketed, keys, [order, *ties], sums).join(starts, keys, "left")
-    placed = [(F.col(name) + _counted(f"_start_{name}")).alias(name) for name in sums]
+    placed = [scan.joined(_counted(f"_start_{name}", "_known"), F.col(name)).alias(name) for name, scan in sums.items()]
     return inside.select(*rows.columns, *placed)
 
 
-def _counted(start: str) -> Column:
-    """The sum before a row's bucket. A bucket that was not there when buckets were counted stops the job."""
+def _counted(start: str, known: str | None = None) -> Column:
+    """What comes before a row's bucket. A bucket that was not there when buckets were counted stops the job."""
     changed = F.raise_error(F.lit("the rows changed while they were numbered: read them from something that stays the same"))
-    return F.when(F.col(start).isNull(), changed).otherwise(F.col(start))
+    return F.when(F.col(known or start).isNull(), changed).otherwise(F.col(start))
+
+
+def _range(
+    rows: DataFrame, by: Sequence[str], order: list[str], bucket: str, sums: Mapping[str, Scan], limit: int, n: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows dealt out by range and written, with the number of their partition, and the totals of every partition.
+
+    The numbers of partitions are in the order of the rows. Where a sample has placed the ranges badly there are more
+    ranges the next time, until no partition is too large or more do not help.
+    """
+    keys = [*by, bucket]
+    parts = max(2, min(math.ceil(RANGE_SHARE * n / limit), n // LEAST_RANGE))
+    former = math.inf
+    while True:
+        ranged = rows.repartitionByRange(parts, *by, *order)
+        bucketed = store(ranged.withColumn(bucket, F.lpad(F.spark_partition_id().cast("string"), 10, "0")), "ranges")
+        totals = settle(_totals(bucketed, keys, sums))
+        largest = totals.agg(F.max("_rows")).first()[0]
+        if largest <= limit or largest >= former or parts >= n // LEAST_RANGE:
+            return bucketed, totals
+        former, parts = largest, min(2 * parts, n // LEAST_RANGE)
+
+
+def _totals(bucketed: DataFrame, keys: Sequence[str], sums: Mapping[str, Scan]) -> DataFrame:
+    totals = [scan.total().alias(f"_total_{name}") for name, scan in _scans(sums).items()]
+    return bucketed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *totals)
 
 
 def _first_prefix(low: str | None, high: str | None, width: int | None, largest: int, limit: int) -> int:
@@ -100,7 +162,7 @@ def _first_prefix(low: str | None, high: str | None, width: int | None, largest:
 
 
 def _cut(
-    rows: DataFrame, by: Sequence[str], order: str, bucket: str, length: int, sums: Mapping[str, Column], limit: int
+    rows: DataFrame, by: Sequence[str], order: str, bucket: str, length: int, sums: Mapping[str, Scan], limit: int
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with their bucket, and the totals of every bucket.
 
@@ -111,12 +173,7 @@ def _cut(
     value = F.coalesce(F.col(order), F.lit(""))
     bucketed = rows.withColumn(bucket, F.substring(value, 1, length))
     while True:
-        totals = settle(
-            bucketed.groupBy(*keys).agg(
-                F.count(F.lit(1)).alias("_rows"),
-                *[F.sum(total).alias(f"_total_{name}") for name, total in sums.items()],
-            )
-        )
+        totals = settle(_totals(bucketed, keys, sums))
         large = totals.where(F.col("_rows") > limit).select(*keys, "_rows")
         if large.isEmpty():
             return bucketed, totals
@@ -138,10 +195,10 @@ def _shared(low: Column, high: Column) -> Column:
     return F.array_max(F.filter(lengths, lambda n: F.substring(low, F.lit(1), n) == F.substring(high, F.lit(1), n)))
 
 
-def _window_sums(rows: DataFrame, keys: Sequence[str], order: list[str], sums: Mapping[str, Column]) -> DataFrame:
+def _window_sums(rows: DataFrame, keys: Sequence[str], order: list[str], sums: Mapping[str, Scan]) -> DataFrame:
     groups = Window.partitionBy(*(keys or [F.lit(0)]))
     before = groups.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumns({name: F.coalesce(F.sum(value).over(before), F.lit(0)) for name, value in sums.items()})
+    return rows.withColumns({name: scan.over(before) for name, scan in sums.items()})
 
 
 def with_position(

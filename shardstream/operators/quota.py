@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardstream.functions.retry import RetryPolicy
-from shardstream.operators.ordering import with_position
+from shardstream.operators.ordering import MAX, Scan, sums_before, with_position
 
 # Fixed limits of the log service: records per request, records and bytes per shard and second.
 MAX_RECORDS_PER_REQUEST = 500
 MAX_RECORDS_PER_SHARD_PER_SECOND = 1000
 MAX_BYTES_PER_SHARD_PER_SECOND = 1_000_000
 
+MICROS = 1_000_000
+
 
 @dataclass(frozen=True)
 class PutSettings:
@@ -90,6 +92,37 @@ def with_throttle_slot(
     return placed.withColumns({"batch_no": _per_shard_batch(max_batch_size), "slot_s": slot}).drop(*_PLACE)
 
 
+def with_departure(
+    records: DataFrame,
+    records_per_second: int = MAX_RECORDS_PER_SHARD_PER_SECOND,
+    bytes_per_second: int = MAX_BYTES_PER_SHARD_PER_SECOND,
+    window_rows: int | None = None,
+) -> DataFrame:
+    """The time at which each record goes out, ``departure_ts``, under limits that hold in every second.
+
+    Records of a shard go out in sequence order, none before it has arrived. Each keeps the shard busy for the longer of a
+    record's part of a second and the time its bytes take; the next one goes out after that. So no second, wherever it
+    begins, holds more than ``records_per_second`` records, or payloads that with all but its last record come to
+    ``bytes_per_second`` or more. A shard that has had nothing to send saves nothing up.
+
+    The departure after all before it is the largest, over a record and those before it, of an arrival and the time
+    that the records from there on take: a running sum and a running maximum, which need no task per shard.
+    """
+    busy = F.greatest(
+        F.lit(-(-MICROS // records_per_second)), F.expr(f"(_bytes * {MICROS} + {bytes_per_second - 1}) div {bytes_per_second}")
+    )
+    size = F.coalesce(F.octet_length("data"), F.lit(0)).cast("bigint")
+    timed = records.withColumn("_bytes", size).withColumn("_busy", busy).drop("_bytes")
+    before = sums_before(timed, ["shard_id"], "sequence_number", {"_busy_before": F.col("_busy")}, window_rows=window_rows)
+    idle = F.unix_micros("arrival_ts") - F.col("_busy_before")
+    ready = sums_before(
+        before.withColumn("_idle", idle), ["shard_id"], "sequence_number", {"_idle_before": Scan(F.col("_idle"), MAX)},
+        window_rows=window_rows,
+    )
+    departure = F.timestamp_micros(F.col("_busy_before") + F.greatest("_idle_before", "_idle"))
+    return ready.withColumn("departure_ts", departure).drop("_busy", "_busy_before", "_idle", "_idle_before")
+
+
 _PLACE = ("_rows_before", "_bytes_before")
 
 

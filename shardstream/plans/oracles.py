@@ -112,6 +112,23 @@ ORACLES: dict[str, str] = {
     "start_at_timestamp": _with(
         _REC, select="select shard_id, sequence_number from rec where arrival_ts >= timestamp '2024-01-15'"
     ),
+    "slice_index": _with(
+        _REC,
+        select="""
+        select least(greatest(epoch_us(arrival_ts) - epoch_us(timestamp '2024-01-01'), 0) // 518400000000, 4)::bigint
+                 as slice,
+               shard_id, count(*) as rows, sum(strlen(data))::bigint as bytes,
+               min(sequence_number) as first_sequence_number, max(sequence_number) as last_sequence_number,
+               max(epoch_us(arrival_ts)) as last_arrival_us
+        from rec group by 1, 2""",
+    ),
+    "stream_lag": _with(
+        _REC,
+        select="""
+        , tip as (select shard_id, max(arrival_ts) as tip_ts from rec group by 1)
+        select shard_id, sequence_number, ((epoch_us(tip_ts) - epoch_us(arrival_ts)) // 1000)::bigint as millis_behind_latest
+        from rec join tip using (shard_id)""",
+    ),
     "resume_from_progress": _with(
         _REC, _PRIOR,
         select="""
@@ -170,7 +187,12 @@ ORACLES: dict[str, str] = {
         from events""",
     "time_in_cache": _with(
         _REC, _FE,
-        select="select distinct shard_id, fetch_no, 250 * (fetch_no + 1) as time_spent_in_cache_ms from fe",
+        select="""
+        , ends as (select shard_id, fetch_no, max(arrival_ts) as entry from fe group by 1, 2)
+        select shard_id, fetch_no,
+               ((epoch_us(lead(entry, 1, entry) over (partition by shard_id order by fetch_no)) - epoch_us(entry))
+                 // 1000)::bigint as time_spent_in_cache_ms
+        from ends""",
     ),
     "millis_behind_latest": _with(
         _REC, _FE, _LAG, select="select shard_id, fetch_no, millis_behind_latest from behind"
@@ -310,6 +332,25 @@ ORACLES: dict[str, str] = {
     ),
     "throttle_slots": _slots(1_000_000),
     "throttle_slots_by_bytes": _slots(5000),
+    "departures": _with(
+        _REC,
+        select="""
+        , b as (
+          select shard_id, sequence_number, epoch_us(arrival_ts) as arrived,
+                 greatest(1000000, (strlen(data) * 1000000 + 19) // 20)::bigint as busy from rec),
+        c as (
+          select *, coalesce(sum(busy) over (partition by shard_id order by sequence_number
+            rows between unbounded preceding and 1 preceding), 0)::bigint as before from b)
+        select shard_id, sequence_number,
+               before + max(arrived - before) over (partition by shard_id order by sequence_number) as departure_us
+        from c""",
+    ),
+    "order_by_uneven_sequence": """
+        with n as (
+          select case when event_id % 3 = 0 then repeat('7', 30) || lpad(event_id::varchar, 20, '0')
+                      else md5(event_id::varchar) end as sequence_number
+          from events)
+        select sequence_number, row_number() over (order by sequence_number) as sequence_rank from n""",
     "apply_per_shard": _with(
         _REC,
         select="""
@@ -319,10 +360,14 @@ ORACLES: dict[str, str] = {
     ),
 }
 
+# The same results by way of a log's index.
+ORACLES |= {"start_latest_by_index": ORACLES["start_latest"], "resume_by_index": ORACLES["resume_from_progress"]}
+
 # The same results, from plans for shards too large for one task.
 ORACLES |= {
     "fetch_batches_cut": ORACLES["fetch_batches"],
     "order_by_sequence_cut": ORACLES["order_by_sequence"],
     "throttle_slots_by_bytes_cut": ORACLES["throttle_slots_by_bytes"],
+    "departures_cut": ORACLES["departures"],
     "put_records_cut": f"select request_id, shard_id, sequence_number from ({ORACLES['put_records']})",
 }

@@ -31,6 +31,8 @@ from shardstream.operators.shards import join_shards
 from shardstream.plans import tables as t
 from shardstream.session import new_folder, settle
 from shardstream.sources.changes import decode_new_image
+from shardstream.sources.index import read_from, read_index
+from shardstream.sources.log import stream_log
 from shardstream.sources.options import SourceOptions
 from shardstream.streaming.consumer import start_consumer, write_batches
 from shardstream.streaming.producer import DEAD_LETTER, put_records, put_through, start_producer
@@ -205,6 +207,44 @@ def resume_all_shards(spark: SparkSession, folder: str) -> DataFrame:
     return positions.resume(log, stored, every_shard_listed=True).select("shard_id", "sequence_number")
 
 
+@query
+def slice_index(spark: SparkSession, folder: str) -> DataFrame:
+    """What the index of a log says of its slices, which were appended one after another."""
+    log = t.append_slices(t.log(spark, folder), new_folder(spark, "log"))
+    return read_index(spark, log).select(
+        F.col("batch_id").alias("slice"), "shard_id", "rows", "bytes", "first_sequence_number", "last_sequence_number",
+        F.unix_micros("last_arrival_ts").alias("last_arrival_us"),
+    )
+
+
+@query
+def start_latest_by_index(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``start_latest``, from a log whose index says which slices hold anything after the tips."""
+    log = t.append_slices(t.log(spark, folder), new_folder(spark, "log"))
+    tips = t.tips_until(t.log(spark, folder), t.LATEST_FROM)
+    return read_from(spark, log, LATEST, tips=tips).select("shard_id", "sequence_number")
+
+
+@query
+def resume_by_index(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``resume_from_progress``, from a log with an index."""
+    log = t.append_slices(t.log(spark, folder), new_folder(spark, "log"))
+    stored = t.prior_progress(t.log(spark, folder)).where("shard_id <> 'shard-3'")
+    return read_from(spark, log, TRIM_HORIZON, progress=stored).select("shard_id", "sequence_number")
+
+
+@query
+def stream_lag(spark: SparkSession, folder: str) -> DataFrame:
+    """The lag of every record that a running consumer reads in several micro-batches, one record a fetch: behind the end
+    of its shard in the log, whatever the batch holds."""
+    log = t.append_slices(t.log(spark, folder), new_folder(spark, "log"))
+    out, job = new_folder(spark, "stream_lag"), new_folder(spark, "job")
+    options = SourceOptions(initial_position=TRIM_HORIZON, max_records=1)
+    records = stream_log(spark, log, maxFilesPerTrigger=max(1, len(spark.read.parquet(log).inputFiles()) // 3))
+    start_consumer(records, write_batches(out), job, options, with_envelope=True, once=True, log=log).awaitTermination()
+    return spark.read.parquet(out).select("shard_id", "sequence_number", "millis_behind_latest")
+
+
 # Fetches and record sets
 
 
@@ -277,10 +317,14 @@ def order_by_sequence_cut(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def time_in_cache(spark: SparkSession, folder: str) -> DataFrame:
-    """Fetches that leave the cache a quarter of a second later each."""
-    wait = F.make_dt_interval(secs=(F.col("fetch_no") + 1).cast("decimal(18,6)") * F.lit("0.25").cast("decimal(18,6)"))
+    """A fetch enters the cache with its last arrival and leaves it when the next fetch of its shard is there; the last
+    one of a shard leaves at once."""
     summary = fetch.fetch_summary(_fetches(spark, folder)).withColumnRenamed("last_arrival_ts", "cache_entry_time")
-    timed = fetch.with_time_in_cache(summary, F.col("cache_entry_time") + wait)
+    after = summary.select(
+        "shard_id", (F.col("fetch_no") - 1).alias("fetch_no"), F.col("cache_entry_time").alias("cache_exit_time")
+    )
+    left = F.coalesce("cache_exit_time", "cache_entry_time")
+    timed = fetch.with_time_in_cache(summary.join(after, ["shard_id", "fetch_no"], "left"), left)
     return timed.select("shard_id", "fetch_no", "time_spent_in_cache_ms")
 
 
@@ -599,6 +643,28 @@ def throttle_slots_by_bytes_cut(spark: SparkSession, folder: str) -> DataFrame:
     return slots.select("shard_id", "sequence_number", "batch_no", "slot_s")
 
 
+@query
+def departures(spark: SparkSession, folder: str) -> DataFrame:
+    """When records go out under limits that hold in every second, low enough to hold many records back."""
+    timed = quota.with_departure(t.log(spark, folder), records_per_second=1, bytes_per_second=20)
+    return timed.select("shard_id", "sequence_number", F.unix_micros("departure_ts").alias("departure_us"))
+
+
+@query
+def departures_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``departures``, with shards cut into buckets as large logs are."""
+    timed = quota.with_departure(t.log(spark, folder), 1, 20, window_rows=SMALL_WINDOW)
+    return timed.select("shard_id", "sequence_number", F.unix_micros("departure_ts").alias("departure_us"))
+
+
+@query
+def order_by_uneven_sequence(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of every record where the sequence numbers have no prefixes to cut at: hashes, and a few long runs."""
+    number = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("7" * 30), t.padded("event_id")))
+    log = t.events(spark, folder).select(F.coalesce(number, F.md5(F.col("event_id").cast("string"))).alias("sequence_number"))
+    return rank_by_sequence(log, window_rows=16)
+
+
 # User functions
 
 

@@ -9,6 +9,7 @@ from shardstream.functions.payload import to_bytes
 from shardstream.functions.routing import shard_of
 from shardstream.model import ATTEMPTS, TERMINATE
 from shardstream.operators.positions import shard_tips
+from shardstream.sources.log import append_slice
 
 SHARDS = 4
 STREAM = "events"
@@ -17,6 +18,9 @@ FETCH_RECORDS = 500
 # Most that one micro-batch reads.
 BATCH_BYTES = 256 * 1024**3
 
+# Days that one slice of the log holds, from its first day on; the last slice holds all that follows.
+SLICE_DAYS, SLICES, FIRST_DAY = 6, 5, "2024-01-01"
+
 # Fixed values of the test log: dates that cut it, and the state of each shard.
 PROGRESS_UNTIL = "2024-01-10"
 LATEST_FROM = "2024-01-25"
@@ -57,6 +61,19 @@ def log(spark: SparkSession, folder: str) -> DataFrame:
     return as_log(events(spark, folder))
 
 
+def slice_of(arrival: Column | str) -> Column:
+    """The slice that a record is appended with."""
+    days = F.floor((F.unix_timestamp(arrival) - F.unix_timestamp(F.lit(FIRST_DAY).cast("timestamp"))) / (86400 * SLICE_DAYS))
+    return F.least(F.greatest(days, F.lit(0)), F.lit(SLICES - 1))
+
+
+def append_slices(records: DataFrame, folder: str) -> str:
+    """Write the log to ``folder`` slice by slice, in the order of arrival."""
+    for number in range(SLICES):
+        append_slice(records.where(slice_of("arrival_ts") == number), folder, number)
+    return folder
+
+
 def shard_status(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SHARD_STATUS, "shard_id string, shutdown_reason string")
 

@@ -32,6 +32,15 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{work_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def store(table: DataFrame, purpose: str) -> DataFrame:
+    """Write a table to the work folder and go on from its files, which go with the session."""
+    spark, path = table.sparkSession, new_folder(table.sparkSession, purpose)
+    table.write.parquet(path)
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(there)
+    return spark.read.schema(table.schema).parquet(path)
+
+
 def settle(table: DataFrame) -> DataFrame:
     """Compute a table once, write it to the work folder and go on from the written rows.
 

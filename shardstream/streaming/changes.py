@@ -36,7 +36,7 @@ def start_changes(
     streams = changes.sparkSession.streams
     streams.addListener(reports)
     try:
-        query = start_consumer(changes, process, job, options, status, with_envelope, once, in_order)
+        query = start_consumer(changes, process, job, options, status, with_envelope, once, in_order, log)
     except BaseException:
         streams.removeListener(reports)
         raise

@@ -21,7 +21,8 @@ from shardstream.operators.progress import backward_progress, delivered_progress
 from shardstream.operators.shards import join_shards
 from shardstream.session import settle
 from shardstream.sources.folders import batch_folder, is_complete, make_folder
-from shardstream.sources.log import in_shard_order, read_log, stream_log
+from shardstream.sources.index import in_slices, log_tips, read_index, slices, tips
+from shardstream.sources.log import in_shard_order, stream_folder, stream_log
 from shardstream.sources.options import Overrides, SourceOptions, resolve_options
 from shardstream.streaming.progress_table import current_progress, progress_at, store_progress
 
@@ -35,8 +36,9 @@ class InvalidProgress(ValueError):
 def read_records(spark: SparkSession, log: str, job: str, options: SourceOptions | None = None) -> DataFrame:
     """A log as a stream of records from the configured start position on.
 
-    For LATEST the tips are noted in the job's folder at its first start and kept for later starts. A log that is not
-    there yet is an empty one. Settings that Spark has for sessions only are made in a session of the stream's own.
+    For LATEST the tips are noted in the job's folder at its first start and kept for later starts, with the slices
+    that were there: files of these are not opened, nor those of slices that ended before a start timestamp. A log that is
+    not there yet is an empty one. Settings that Spark has for sessions only are made in a session of the stream's own.
     """
     options = options or SourceOptions()
     if conf := options.session_conf():
@@ -44,22 +46,31 @@ def read_records(spark: SparkSession, log: str, job: str, options: SourceOptions
         for name, value in conf.items():
             spark.conf.set(name, value)
     make_folder(spark, log)
-    records = stream_log(spark, log, **options.reader_options())
     position = options.start_position
     if position == TRIM_HORIZON:
-        return records
+        return stream_log(spark, log, **options.reader_options())
     if position == LATEST:
-        tips = _tips_at_first_start(spark, log, job).withColumnRenamed("sequence_number", "_tip")
-        joined = join_shards(records, tips)
+        noted, over = _state_at_first_start(spark, log, job)
+        records = stream_log(spark, log, ~in_slices(over) if over else None, **options.reader_options())
+        joined = join_shards(records, noted.withColumnRenamed("sequence_number", "_tip"))
         return joined.where(F.col("_tip").isNull() | (F.col("sequence_number") > F.col("_tip"))).drop("_tip")
+    ends = read_index(spark, log).groupBy("batch_id").agg(F.max("last_arrival_ts").alias("end"))
+    over = ends.where(F.col("batch_id").isNotNull() & (F.col("end") < F.lit(options.timestamp).cast("timestamp")))
+    over = {r["batch_id"] for r in over.select("batch_id").collect()}
+    records = stream_log(spark, log, ~in_slices(over) if over else None, **options.reader_options())
     return from_timestamp(records, options.timestamp)
 
 
-def _tips_at_first_start(spark: SparkSession, log: str, job: str) -> DataFrame:
-    folder = f"{job.rstrip('/')}/start"
+def _state_at_first_start(spark: SparkSession, log: str, job: str) -> tuple[DataFrame, set[int]]:
+    """Tips of the shards, and the slices that were there, when the job started first."""
+    folder, listed = f"{job.rstrip('/')}/start", f"{job.rstrip('/')}/start_slices"
     if not is_complete(spark, folder):
-        shard_tips(read_log(spark, log)).select("shard_id", "sequence_number").write.mode("overwrite").parquet(folder)
-    return spark.read.schema("shard_id string, sequence_number string").parquet(folder)
+        index = settle(read_index(spark, log))
+        index.where("batch_id is not null").select("batch_id").distinct().write.mode("overwrite").parquet(listed)
+        tips(index).select("shard_id", "sequence_number").write.mode("overwrite").parquet(folder)
+    over = spark.read.schema("batch_id bigint").parquet(listed).collect() if is_complete(spark, listed) else []
+    noted = spark.read.schema("shard_id string, sequence_number string").parquet(folder)
+    return noted, {r["batch_id"] for r in over}
 
 
 def write_batches(folder: str) -> Process:
@@ -80,6 +91,7 @@ def start_consumer(
     with_envelope: bool = False,
     once: bool = False,
     in_order: bool = True,
+    log: str | None = None,
 ) -> StreamingQuery:
     """Run ``process`` on every micro-batch and commit what it handled.
 
@@ -88,13 +100,17 @@ def start_consumer(
 
     ``process`` may return the records (or rows of shard and sequence) to commit; None commits the
     whole batch. ``status`` gives the shutdown reasons at the start of each batch. ``with_envelope``
-    hands over committable records, cut into fetches. ``once`` stops after the available data.
+    hands over committable records, cut into fetches; their lag is that behind the ends of the shards in ``log`` when the
+    batch starts, which its index has (default: the folder that ``records`` are read from). For a stream that reads no
+    log it is the lag inside the batch. ``once`` stops after the available data.
     """
     spark = records.sparkSession
     options = options or SourceOptions()
     progress = f"{job.rstrip('/')}/progress"
     started_at = current_progress(spark, progress)
     started_at = settle(started_at) if started_at is not None else None
+    if with_envelope and log is None:
+        log = stream_folder(records)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # Committing reads two narrow columns again, which is cheaper than keeping the payloads; only
@@ -106,7 +122,8 @@ def start_consumer(
             handed = batch
             if with_envelope:
                 fetches = with_fetch(batch, options.fetch_records, options.max_cache_byte_size)
-                handed = committable(fetches, shard_tips(batch), started_at, settled=True)
+                ends = settle(log_tips(spark, log)) if log and slices(spark, log) else shard_tips(batch)
+                handed = committable(fetches, ends, started_at, settled=True)
             handled = process(in_shard_order(handed) if in_order else handed, batch_id)
             commit_batch(
                 batch if handled is None else handled,
@@ -136,7 +153,7 @@ def start_from_config(
 ) -> StreamingQuery:
     """Read a log and run ``process`` on it with settings from a configuration."""
     options = resolve_options(config, overrides)
-    return start_consumer(read_records(spark, log, job, options), process, job, options, **more)
+    return start_consumer(read_records(spark, log, job, options), process, job, options, log=log, **more)
 
 
 def commit_batch(

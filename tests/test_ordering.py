@@ -8,7 +8,16 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shardstream.operators import ordering
-from shardstream.operators.ordering import _cut, _first_prefix, rank_by_sequence, sums_before, with_position
+from shardstream.operators.ordering import (
+    MAX,
+    Scan,
+    _cut,
+    _first_prefix,
+    _range,
+    rank_by_sequence,
+    sums_before,
+    with_position,
+)
 from tests.helpers import rows
 
 
@@ -140,3 +149,51 @@ def test_rows_that_change_while_they_are_numbered_stop_the_job(log):
     late = bucketed.join(starts.select("shard_id", "b", "_start_before"), ["shard_id", "b"], "left")
     with pytest.raises(SparkRuntimeException, match="rows changed"):
         late.select(ordering._counted("_start_before")).collect()
+
+
+def uneven(spark):
+    """Numbers of which nearly each has a prefix of its own, and runs that share all but their ends."""
+    run = F.concat(F.lit("7" * 40), F.lpad(F.col("id").cast("string"), 6, "0"))
+    number = F.when(F.col("id") % 3 == 0, run).otherwise(F.md5(F.col("id").cast("string").cast("binary")))
+    shard = F.when(F.col("id") % 50 == 0, "cold").otherwise("hot")
+    data = F.encode(F.repeat(F.lit("x"), (F.col("id") % 7).cast("int")), "UTF-8")
+    return spark.range(0, 5000).select(shard.alias("shard_id"), number.alias("sequence_number"), data.alias("data"))
+
+
+@pytest.mark.parametrize("limit", [16, 300])
+def test_measured_ranges_hold_no_more_rows_than_a_task_may_number(spark, limit):
+    sums = {"before": Scan(F.octet_length("data").cast("bigint"))}
+    bucketed, totals = _range(uneven(spark), ["shard_id"], ["sequence_number"], "b", sums, limit, 5000)
+    assert totals.agg(F.max("_rows"), F.sum("_rows")).first() == (totals.agg(F.max("_rows")).first()[0], 5000)
+    assert totals.agg(F.max("_rows")).first()[0] <= limit
+    ends = bucketed.groupBy("shard_id", "b").agg(F.min("sequence_number"), F.max("sequence_number"))
+    spans = rows(ends)
+    assert all(a[0] != b[0] or a[3] < b[2] for a, b in zip(spans, spans[1:], strict=False))
+
+
+@pytest.mark.parametrize("limit", [12, 700])
+def test_uneven_numbers_give_the_window_result(spark, window_rows, limit):
+    window_rows(limit)
+    columns = ("shard_id", "sequence_number", "before")
+    assert rows(sums_before(uneven(spark), ["shard_id"], "sequence_number", size()), *columns) == rows(
+        one_pass(uneven(spark)), *columns
+    )
+
+
+@pytest.mark.parametrize("limit", [3, 40, 100_000])
+def test_running_maxima(log, window_rows, limit):
+    window_rows(limit)
+    value = F.pmod(F.xxhash64("sequence_number"), F.lit(1000))
+    w = Window.partitionBy("shard_id").orderBy("sequence_number").rowsBetween(Window.unboundedPreceding, -1)
+    want = log.withColumn("before", F.max(value).over(w))
+    got = sums_before(log, ["shard_id"], "sequence_number", {"before": Scan(value, MAX)})
+    columns = ("shard_id", "sequence_number", "before")
+    assert rows(got, *columns) == rows(want, *columns)
+
+
+def test_all_rows_equal(spark, window_rows):
+    window_rows(8)
+    made = spark.createDataFrame([("a", "7")] * 50, "shard_id string, sequence_number string")
+    assert [r[0] for r in rows(with_position(made).withColumn("position", F.col("position").cast("int")), "position")] == sorted(
+        range(50), key=str
+    )
