@@ -287,6 +287,12 @@ ORACLES: dict[str, str] = {
     "payload_roundtrip": "select event_id, props as data, strlen(props)::bigint as bytes from events",
     "decode_new_image": """
         select lpad(event_id::varchar, 20, '0') as sequence_number, user_id as id, event_type as value from events""",
+    "decode_nested_image": """
+        select lpad(event_id::varchar, 20, '0') as sequence_number, user_id as id, event_id % 2 = 0 as even, true as none, props,
+               event_type || ',' || user_id as words, 4 * user_id + 1 as twice_the_numbers, event_type as bytes,
+               user_id as user, user_id::varchar as second, event_type || ',' || user_id as list, user_id as map_user,
+               null::varchar as absent
+        from events""",
     "all_attempts_ok": "select event_id, event_id % 8 = 0 as all_attempts_ok from events",
     "last_attempt_error": """
         select event_id, case when event_id % 8 > 5 then 'Throttled' end as error_code,

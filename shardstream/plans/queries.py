@@ -544,6 +544,19 @@ def decode_image(spark: SparkSession, folder: str) -> DataFrame:
     return decode_new_image(changes, t.IMAGE).select("sequence_number", "id", "value")
 
 
+@query
+def decode_nested_image(spark: SparkSession, folder: str) -> DataFrame:
+    """Image values of every kind, and ways into maps and lists."""
+    decoded = decode_new_image(t.nested_changes(t.events(spark, folder)), t.NESTED_IMAGE)
+    return decoded.select(
+        "sequence_number", "id", "even", "none", to_text("props").alias("props"), F.array_join("words", ",").alias("words"),
+        F.aggregate("numbers", F.lit(0.0), lambda a, x: a + x * 2).cast("bigint").alias("twice_the_numbers"),
+        to_text(F.element_at("bytes", 1)).alias("bytes"), "user", "second",
+        F.array_join(F.transform("list", lambda v: v["S"]), ",").alias("list"),
+        F.variant_get("map", "$.user.N", "bigint").alias("map_user"), "absent",
+    )
+
+
 # Attempts, retries and quotas
 
 

@@ -142,6 +142,45 @@ def change_log(rows: DataFrame) -> DataFrame:
     )
 
 
+def nested_changes(rows: DataFrame) -> DataFrame:
+    """Change records whose images hold values of every kind."""
+    user, kind = F.col("user_id").cast("string"), F.col("event_type")
+
+    def value(tag: str, of: Column) -> Column:
+        return F.struct(of.alias(tag))
+
+    lists = F.array(value("S", kind), value("S", user))
+    inside = F.struct(value("N", user).alias("user"), value("L", lists).alias("two words"))
+    item = F.struct(
+        value("N", user).alias("Id"),
+        value("BOOL", F.col("event_id") % 2 == 0).alias("even"),
+        value("NULL", F.lit(True)).alias("none"),
+        value("B", F.base64(to_bytes("props"))).alias("props"),
+        value("SS", F.array(kind, user)).alias("words"),
+        value("NS", F.array(user, F.concat(user, F.lit(".5")))).alias("numbers"),
+        value("BS", F.array(F.base64(to_bytes(kind)))).alias("bytes"),
+        value("M", inside).alias("map"),
+    )
+    payload = F.to_json(F.struct(F.lit("MODIFY").alias("eventName"), F.struct(item.alias("NewImage")).alias("dynamodb")))
+    return as_log(rows.select("event_id", "user_id", "ts", payload.alias("props")))
+
+
+NESTED_IMAGE = {
+    "id": ("Id", "N", "bigint"),
+    "even": ("even", "BOOL", "boolean"),
+    "none": ("none", "NULL", "boolean"),
+    "props": ("props", "B", "binary"),
+    "words": ("words", "SS", "array<string>"),
+    "numbers": ("numbers", "NS", "array<double>"),
+    "bytes": ("bytes", "BS", "array<binary>"),
+    "user": (("map", "user"), "N", "bigint"),
+    "second": (("map", "two words", 1), "S", "string"),
+    "list": (("map", "two words"), "L", "array<struct<S: string>>"),
+    "map": ("map", "M", "variant"),
+    "absent": ("absent", "S", "string"),
+}
+
+
 IMAGE = {"id": ("Id", "N", "bigint"), "value": ("Value", "S", "string")}
 
 

@@ -9,19 +9,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from shardstream.functions.payload import change_record, image_columns
+from shardstream.functions.payload import (
+    Attribute,
+    change_record,
+    change_variant,
+    image_columns,
+    image_value,
+    is_plain,
+)
 from shardstream.sources.log import read_log, stream_log
 
 
-def decode_new_image(records: DataFrame, attributes: Mapping[str, tuple[str, str, str]]) -> DataFrame:
+def decode_new_image(records: DataFrame, attributes: Mapping[str, tuple[Attribute, str, str]]) -> DataFrame:
     """Add columns taken from the new image: ``{column: (attribute, kind, type)}``.
 
-    A payload that is no change record, or an image without the attribute, gives null.
+    A payload that is no change record, or an image without the attribute, gives null. Numbers and strings of the
+    image itself are read by themselves; any other kind, or a way into maps and lists, is read as ``decode_image`` does.
     """
+    if not all(is_plain(attribute, kind) for attribute, kind, _ in attributes.values()):
+        return decode_image(records, attributes)
     decoded = records.withColumn("_change", change_record(F.col("data")))
     return decoded.select(*records.columns, *image_columns(F.col("_change"), attributes))
 
 
+def decode_image(
+    records: DataFrame, attributes: Mapping[str, tuple[Attribute, str, str]], image: str = "NewImage"
+) -> DataFrame:
+    """Add columns of any kind taken from an image, ``NewImage``, ``OldImage`` or ``Keys``: ``{column: (attribute, kind, type)}``.
+
+    Every payload is parsed once, whatever its nesting; see ``image_value`` for kinds and attributes.
+    """
+    decoded = records.withColumn("_change", change_variant(F.col("data")))
+    values = [image_value(F.col("_change"), *given, image=image).alias(c) for c, given in attributes.items()]
+    return decoded.select(*records.columns, *values)
+
+
 def metrics_listener(
     listener: StreamingQueryListener | None, on_progress: Callable[[object], None] | None, one_query: bool = False
 ) -> StreamingQueryListener:
@@ -35,7 +57,7 @@ def metrics_listener(
 
 
 def read_changes(
-    spark: SparkSession, log: str, attributes: Mapping[str, tuple[str, str, str]], stream: bool = False
+    spark: SparkSession, log: str, attributes: Mapping[str, tuple[Attribute, str, str]], stream: bool = False
 ) -> DataFrame:
     """A change log with its image columns, as a table or as a stream."""
     return decode_new_image(stream_log(spark, log) if stream else read_log(spark, log), attributes)

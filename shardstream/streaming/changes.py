@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from shardstream.functions.payload import Attribute
 from shardstream.sources.changes import decode_new_image, metrics_listener
 from shardstream.sources.options import SourceOptions
 from shardstream.streaming.consumer import Process, read_records, start_consumer
@@ -16,7 +17,7 @@ def start_changes(
     spark: SparkSession,
     log: str,
     job: str,
-    attributes: Mapping[str, tuple[str, str, str]],
+    attributes: Mapping[str, tuple[Attribute, str, str]],
     process: Process,
     listener: StreamingQueryListener | None = None,
     on_progress: Callable[[object], None] | None = None,

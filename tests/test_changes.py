@@ -3,10 +3,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from shardstream.functions.payload import change_record, image_column
+from shardstream.functions.payload import change_record, change_variant, image_column, image_value
 from shardstream.model import RECORD_COLUMNS, TRIM_HORIZON
 from shardstream.plans import tables
-from shardstream.sources.changes import decode_new_image, metrics_listener, read_changes
+from shardstream.sources.changes import decode_image, decode_new_image, metrics_listener, read_changes
 from shardstream.sources.log import append_slice
 from shardstream.sources.options import SourceOptions
 from shardstream.streaming.changes import start_changes
@@ -33,6 +33,49 @@ def test_only_two_kinds_of_attribute(spark):
         image_column(change_record(F.col("data")), "Id", "B")
 
 
+NESTED = """{"eventName":"MODIFY","dynamodb":{"Keys":{"Id":{"N":"1"}},"OldImage":{"Id":{"N":"1"},"old":{"S":"was"}},"NewImage":{
+  "Id":{"N":"1"},"half":{"N":"0.5"},"wrong":{"N":"x"},"raw":{"B":"YWJj"},"no raw":{"B":"?"},"yes":{"BOOL":true},"gone":{"NULL":true},
+  "raws":{"BS":["YQ==","Yg=="]},"empty":{"SS":[]},"it's":{"M":{"a.b":{"L":[{"N":"7"},{"M":{"deep":{"S":"found"}}},{"L":[{"BOOL":false}]}]}}}}}}"""
+
+
+def test_values_of_any_kind(spark):
+    made = records(spark, ("a", "1", NESTED))
+    wanted = {
+        "half": (("half", "N", "double"), 0.5),
+        "wrong": (("wrong", "N", "bigint"), None),
+        "raw": (("raw", "B", "binary"), b"abc"),
+        "no_raw": (("no raw", "B", "binary"), None),
+        "yes": (("yes", "BOOL", "boolean"), True),
+        "gone": (("gone", "NULL", "boolean"), True),
+        "raws": (("raws", "BS", "array<binary>"), [b"a", b"b"]),
+        "empty": (("empty", "SS", "array<string>"), []),
+        "seven": ((("it's", "a.b", 0), "N", "int"), 7),
+        "deep": ((("it's", "a.b", 1, "deep"), "S", "string"), "found"),
+        "inner": ((("it's", "a.b", 2, 0), "BOOL", "boolean"), False),
+        "beyond": ((("it's", "a.b", 9), "N", "int"), None),
+        "other_kind": (("half", "S", "string"), None),
+    }
+    row = decode_new_image(made, {c: given for c, (given, _) in wanted.items()}).first().asDict()
+    plain = {c: [bytes(x) for x in row[c]] if c == "raws" else row[c] for c in wanted}
+    assert {c: bytes(v) if isinstance(v, bytearray) else v for c, v in plain.items()} == {c: v for c, (_, v) in wanted.items()}
+    old = decode_image(made, {"old": ("old", "S", "string")}, image="OldImage").first()
+    keys = decode_image(made, {"id": ("Id", "N", "bigint")}, image="Keys").first()
+    assert (old.old, keys.id) == ("was", 1)
+
+
+def test_nested_values_of_what_is_no_change(spark):
+    texts = (None, "", "not json", "[]", '{"dynamodb":{}}', '{"dynamodb":{"NewImage":{"map":{"S":"x"}}}}')
+    made = records(spark, *[("a", str(i), text) for i, text in enumerate(texts)])
+    attributes = {"user": (("map", "user"), "N", "bigint"), "raws": ("map", "BS", "array<binary>")}
+    assert rows(decode_new_image(made, attributes), "user", "raws") == [(None, None)] * len(texts)
+
+
+def test_attributes_that_are_refused():
+    for attribute, kind in (("Id", "X"), ("both ' and \"", "S")):
+        with pytest.raises(ValueError):
+            image_value(change_variant(F.col("data")), attribute, kind, "string")
+
+
 def test_change_log_as_table_and_as_stream(spark, events, tmp_path):
     log = str(tmp_path / "log")
     append_slice(tables.change_log(events), log, 0)
@@ -43,6 +86,20 @@ def test_change_log_as_table_and_as_stream(spark, events, tmp_path):
     assert stream.columns == [*RECORD_COLUMNS, "id", "value"]
 
 
+def test_nested_values_in_a_stream(spark, events, tmp_path):
+    log, job, out = (str(tmp_path / x) for x in ("log", "job", "out"))
+    append_slice(tables.nested_changes(events), log, 0)
+    attributes = {c: tables.NESTED_IMAGE[c] for c in ("user", "second", "words")}
+    start_changes(
+        spark, log, job, attributes, lambda b, i: b.write.parquet(out), Endings(),
+        options=SourceOptions(initial_position=TRIM_HORIZON), once=True,
+    ).awaitTermination()
+    text = F.col("user_id").cast("string")
+    assert rows(spark.read.parquet(out), "user", "second", "words") == rows(
+        events.select("user_id", text.alias("second"), F.array("event_type", text).alias("words"))
+    )
+
+
 def test_exactly_one_way_to_report():
     listener = Endings()
     assert metrics_listener(listener, None) is listener
