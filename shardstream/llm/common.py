@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,12 +28,39 @@ def pin(table: DataFrame, purpose: str) -> DataFrame:
     """
     spark = table.sparkSession
     path = new_folder(spark, purpose)
+    for noted in _NOTED:
+        noted.append(path)
     table.write.parquet(path)
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
     there.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(there)
     return spark.read.schema(table.schema).parquet(path)
 
 
+#: Lists that hear of every folder pinned while they are in here.
+_NOTED: list[list[str]] = []
+
+
+@contextmanager
+def noted_pins() -> Iterator[list[str]]:
+    """A list of the folders that are pinned meanwhile."""
+    noted: list[str] = []
+    _NOTED.append(noted)
+    try:
+        yield noted
+    finally:
+        _NOTED.remove(noted)
+
+
+def drop_pins(spark: SparkSession, folders: list[str], in_use: DataFrame) -> list[str]:
+    """Remove pinned folders but those that ``in_use`` reads, which are returned."""
+    read = {unquote(urlsplit(file).path) for file in in_use.inputFiles()}
+    kept = [f for f in folders if any(file.startswith(f"{urlsplit(f).path}/") for file in read)]
+    for folder in set(folders).difference(kept):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return kept
+
+
 def map_rows(
     table: DataFrame, columns: list[str], schema: str, start: Callable[[], Callable], many: bool = False
 ) -> DataFrame:

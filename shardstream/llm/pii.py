@@ -9,16 +9,20 @@ All of it is made of DataFrame functions.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shardstream.llm.common import pin
+from shardstream.operators.shards import fits_broadcast
 
-# The forms of the kinds. Possessive, which matches the same and takes no stack or time for long runs.
+# The forms of the kinds. Possessive, and tried only where a run begins or a match has ended, which matches the
+# same: a run that fails from its start fails from any place in it. So no text takes more than one look at each run.
 FORMS = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)",
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
@@ -29,12 +33,18 @@ CARD_DIGITS, PHONE_DIGITS = (14, 19), (10, 15)
 
 #: Words with at least three digits: instances besides the seeds from which patterns are learned.
 INSTANCE = (
-    r"(?<![A-Za-z0-9])(?=(?:[A-Za-z_.:@+/-]*+[0-9]){3})[A-Za-z0-9][A-Za-z0-9_.:@+/-]{4,62}[A-Za-z0-9](?![A-Za-z0-9])"
+    r"(?<![A-Za-z0-9])(?=(?:[A-Za-z_.:@+/-]{0,64}+[0-9]){3})[A-Za-z0-9][A-Za-z0-9_.:@+/-]{4,}[A-Za-z0-9](?![A-Za-z0-9])"
 )
 #: What contexts are made of: runs of letters and digits, and runs of other signs.
 PIECE = r"[\p{L}\p{N}\p{M}]+|[^\s\p{L}\p{N}\p{M}]+"
 BESIDE = 40
 ROUNDS = 3
+#: Elements of an array that are put together at a time.
+BLOCK = 128
+#: Beyond any place in a text.
+FAR = 1 << 62
+#: A piece that opens or ends stretches has a form's match beside it in at least this share of its places in the corpus.
+LEAST_SHARE = 0.2
 #: Words between white space that a stretch between two contexts may have.
 MOST_WORDS = 12
 #: A pattern is trusted from this score on, and if it was seen around so many different instances.
@@ -59,25 +69,88 @@ def spans_of(text: Column, form: str, kind: str) -> Column:
     )
     rank = KINDS.index(kind)
 
-    def add(state: Column, part: Column) -> Column:
-        start = state["at"] + F.length(part["before"])
-        end = start + F.length(part["value"])
-        span = F.struct(
+    def lengths(part: Column) -> Column:
+        return (F.length(part["before"]) + F.length(part["value"])).cast("bigint")
+
+    def span(part: Column, at: Column) -> Column:
+        start = at + F.length(part["before"])
+        return F.struct(
             start.alias("start"),
             F.lit(rank).alias("rank"),
-            end.alias("end"),
+            (start + F.length(part["value"])).alias("end"),
             F.lit(kind).alias("kind"),
             part["value"].alias("value"),
             F.right(part["before"], F.lit(BESIDE)).alias("left"),
             F.left(part["after"], F.lit(BESIDE)).alias("right"),
         )
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
 
+    found = once(parts, lambda ps: F.zip_with(ps, before_each(F.transform(ps, lengths), lambda a, n: a + n, 0), span))
     none = F.array().cast(f"array<{SPAN}>")
-    found = F.aggregate(parts, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("found")), add, lambda s: s["found"])
     return F.when(F.size(matches) > 0, found).otherwise(none)
 
 
+def before_each(numbers: Column, op: Callable[[Column, Column], Column], none: int) -> Column:
+    """For each place of an array what ``op`` makes of the numbers before it, ``none`` where there are none.
+
+    That is made in blocks, as appending to an array copies it: what is copied grows with the array's length times BLOCK.
+    """
+    first = F.lit(none).cast("bigint")
+
+    def one_by_one(some: Column, start: Column) -> Column:
+        def add(state: Column, n: Column) -> Column:
+            return F.struct(op(state["at"], n).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
+
+        empty = F.array().cast("array<bigint>")
+        return F.aggregate(some, F.struct(start.alias("at"), empty.alias("out")), add, lambda s: s["out"])
+
+    def of_blocks(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, first, op))
+        return F.flatten(F.zip_with(blocks, one_by_one(totals, first), one_by_one))
+
+    def in_blocks(all_: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.greatest(F.size(all_) - 1, F.lit(0)), F.lit(BLOCK))
+        return F.transform(numbers, lambda k: F.slice(all_, k + 1, F.lit(BLOCK)))
+
+    return once(numbers, lambda all_: once(in_blocks(all_), of_blocks))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it stands in what is made of it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def apart_from(words: Column, base: Column) -> Column:
+    """The words that meet no span of ``base``, which is in order of start; one look at each."""
+
+    def of(all_: Column) -> Column:
+        is_base = lambda s: s["rank"] < KINDS.index("id")
+        ends = F.transform(all_, lambda s: F.when(is_base(s), s["end"]).otherwise(0).cast("bigint"))
+        starts = F.transform(F.reverse(all_), lambda s: F.when(is_base(s), s["start"]).otherwise(FAR).cast("bigint"))
+        before = before_each(ends, lambda a, x: F.greatest(a, x), 0)
+        after = F.reverse(before_each(starts, lambda a, x: F.least(a, x), FAR))
+        beside = F.zip_with(before, after, lambda b, a: F.struct(b.alias("before"), a.alias("after")))
+        each = F.zip_with(all_, beside, lambda s, n: F.struct(s.alias("s"), n.alias("n")))
+        kept = F.filter(
+            each, lambda e: ~is_base(e["s"]) & (e["n"]["before"] <= e["s"]["start"]) & (e["n"]["after"] >= e["s"]["end"])
+        )
+        return F.transform(kept, lambda e: e["s"])
+
+    simple = (F.size(words) == 0) | (F.size(base) == 0)
+    return F.when(simple, words).otherwise(once(F.array_sort(F.concat(base, words)), of))
+
+
+def longest(spans: Column) -> Column:
+    """The spans that lie in no longer one."""
+
+    def of(ordered: Column) -> Column:
+        reach = before_each(F.transform(ordered, lambda o: o["s"]["end"].cast("bigint")), lambda a, x: F.greatest(a, x), -1)
+        each = F.zip_with(ordered, reach, lambda o, r: F.struct(o["s"].alias("s"), r.alias("r")))
+        return F.transform(F.filter(each, lambda e: e["r"] < e["s"]["end"]), lambda e: e["s"])
+
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s.alias("s"))))
+    return once(ordered, of)
+
+
 def digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -135,6 +208,12 @@ def contexts(left: Column, right: Column) -> Column:
     )
 
 
+def shape(value: Column) -> Column:
+    """A pattern of an instance itself: how many digits it has, by powers of two."""
+    many = F.length(digits(value))
+    return F.when(many > 0, F.concat(F.lit("shape\n"), F.floor(F.log2(many)).cast("string"), F.lit("\n")))
+
+
 def trusted_patterns(seen: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Patterns of high score, and whether at least half of their instances are seeds (``known``), from ``seen`` (pattern,
     instance, seed), one row for each pattern an instance is in.
@@ -164,17 +243,23 @@ def marks_of(patterns: DataFrame) -> DataFrame:
     """(piece, beyond, opens, between): the pieces of patterns that a stretch begins after or ends before, with the piece
     beyond them, if it matters. A stretch lies between two marks of one ``between``: those of one pattern on both sides,
     or of any pattern before and any after."""
+    return _marks(patterns.withColumn("n", F.lit(1))).select("piece", "beyond", "opens", "between").distinct()
+
+
+def _marks(patterns: DataFrame) -> DataFrame:
+    """The marks of patterns (pattern, n), those on both sides of a pattern in two rows."""
     parts = F.split("pattern", "\n")
-    sides = patterns.select("pattern", parts[0].alias("kind"), F.split(parts[1], " ").alias("l"), F.split(parts[2], " ").alias("r"))
+    patterns = patterns.filter(parts[0] != "shape")
+    sides = patterns.select("pattern", "n", parts[0].alias("kind"), F.split(parts[1], " ").alias("l"), F.split(parts[2], " ").alias("r"))
     between = F.when(F.col("kind") == "around", F.col("pattern")).otherwise("sides")
     two = lambda side: F.size(side) == 2
     lefts = sides.filter("kind <> 'after'").select(
-        F.element_at("l", -1).alias("piece"), F.when(two("l"), F.col("l")[0]).alias("beyond"), F.lit(True).alias("opens"), between.alias("between")
+        F.element_at("l", -1).alias("piece"), F.when(two("l"), F.col("l")[0]).alias("beyond"), F.lit(True).alias("opens"), between.alias("between"), "n"
     )
     rights = sides.filter("kind <> 'before'").select(
-        F.col("r")[0].alias("piece"), F.when(two("r"), F.get("r", F.lit(1))).alias("beyond"), F.lit(False).alias("opens"), between.alias("between")
+        F.col("r")[0].alias("piece"), F.when(two("r"), F.get("r", F.lit(1))).alias("beyond"), F.lit(False).alias("opens"), between.alias("between"), "n"
     )
-    return lefts.unionByName(rights).distinct()
+    return lefts.unionByName(rights)
 
 
 def base_and_words(text: Column) -> tuple[Column, Column]:
@@ -194,18 +279,42 @@ def same_text(key: list[str], other: str) -> Column:
     return same
 
 
-def stretches(rows: DataFrame, marks: DataFrame, key: list[str]) -> DataFrame:
-    """(id, text_hash, length, span): from each mark that opens to the next mark, if that one ends, in every whole text.
-
-    Left out is what meets a form, is one of the words with three digits, or has no letter or digit or more than
-    ``MOST_WORDS`` words. Texts become rows of pieces, of which only those that are marks are shuffled.
-    """
+def marked(rows: DataFrame, marks: DataFrame, key: list[str]) -> DataFrame:
+    """(key, n, opens, between, ...): every piece of every whole text that is a mark, with its number in the text."""
     pieces = F.regexp_extract_all(folded(F.col("text")), F.lit(PIECE), 0)
     texts = rows.select(*key, F.concat(F.array(F.lit("")), pieces, F.array(F.lit(""))).alias("p"))
     beside = F.arrays_zip(F.col("p").alias("prev"), F.slice("p", F.lit(2), F.size("p")).alias("piece"), F.slice("p", F.lit(3), F.size("p")).alias("next"))
     each = texts.select(*key, F.posexplode(beside).alias("n", "at")).select(*key, "n", "at.*").filter("piece <> ''")
     beyond = F.when(F.col("opens"), F.col("prev")).otherwise(F.col("next"))
-    met = each.join(marks, "piece").filter(F.col("beyond").isNull() | (F.col("beyond") == beyond))
+    return each.join(marks, "piece").filter(F.col("beyond").isNull() | (F.col("beyond") == beyond))
+
+
+def telling_marks(rows: DataFrame, marks: DataFrame, placed: DataFrame, key: list[str]) -> DataFrame:
+    """The marks that stand beside a form's match in at least ``LEAST_SHARE`` of their places in all texts.
+
+    A context of common words is seen around many things that are no identifiers, of which the graph knows nothing yet.
+    Places are counted before anything is shuffled.
+    """
+    side = ["piece", "beyond", "opens"]
+    places = marked(rows, marks.select(*side).distinct(), key).groupBy(*side).agg(F.count("*").alias("places"))
+    forms = placed.filter("span.kind <> 'id'").groupBy("pattern").agg(F.count("*").alias("n"))
+    beside = _marks(forms).groupBy(*side).agg(F.sum("n").alias("beside"))
+    same = (F.col("b.piece") == F.col("p.piece")) & F.col("b.beyond").eqNullSafe(F.col("p.beyond")) & (F.col("b.opens") == F.col("p.opens"))
+    telling = places.alias("p").join(beside.alias("b"), same).filter(F.col("beside") >= LEAST_SHARE * F.col("places"))
+    telling = telling.select(*(F.col(f"p.{c}").alias(f"_{c}") for c in side))
+    same = (F.col("piece") == F.col("_piece")) & F.col("beyond").eqNullSafe(F.col("_beyond")) & (F.col("opens") == F.col("_opens"))
+    kept = pin(marks.join(telling, same, "left_semi"), "telling")
+    both = kept.groupBy("between").agg(F.count_if("opens").alias("opening"), F.count_if(~F.col("opens")).alias("closing"))
+    return kept.join(both.filter("opening > 0 and closing > 0").select("between"), "between", "left_semi")
+
+
+def stretches(rows: DataFrame, marks: DataFrame, key: list[str]) -> DataFrame:
+    """(id, text_hash, length, span): from each mark that opens to the next mark, if that one ends, in every whole text.
+
+    Left out is what meets a form, is one of the words with three digits, or has no letter or digit. Texts become rows of
+    pieces, of which only those that are marks are shuffled.
+    """
+    met = marked(rows, marks, key)
     place = F.col("n") + F.col("opens").cast("int")
     met = met.select(*key, "between", "opens", place.alias("place")).distinct()
     later = Window.partitionBy(*key, "between").orderBy(F.desc("place"), F.desc("opens"))
@@ -259,26 +368,34 @@ def stretches_of(doc: Column) -> Column:
     return F.filter(F.transform(placed, span), counts)
 
 
-def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def find_spans(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, carried: Sequence[str] = ()
+) -> DataFrame:
     """Find personal data in every whole text: the id, ``text_hash``, ``length``, ``base`` and ``spans``, both arrays in order of
     start, then kind, of (start, rank, end, kind, value, left, right); ``spans`` has ``base`` and what patterns found.
+    ``carried`` columns of ``docs`` are passed on; they must not have the names of these.
+
+    Patterns are the pieces beside an instance, and the number of its digits. Instances are the matches of the forms, words
+    with three digits or more, and, where a pattern's pieces stand beside forms in a good part of their places, what
+    stands between such pieces.
 
     A null or empty text has no spans. Null ids are kept; rows that repeat an id and a text get the same spans, and rows
     that repeat an id with other texts their own. An empty table gives an empty table; other columns are not read.
-    Texts are read once for the forms and, where patterns are trusted, again for what stands between them; only texts
-    with such stretches may be shuffled then, otherwise spans and the words beside them go on.
+    Texts are looked through once for the forms, again to count the places of trusted patterns, and again for what stands
+    between them; only texts with such stretches may be shuffled.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     key = ["id", "text_hash", "length"]
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    rows = rows.select("id", F.xxhash64("text").alias("text_hash"), F.length("text").alias("length"), "text")
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), *(F.col(c).alias(f"carried_{c}") for c in carried))
+    kept = [c for c in rows.columns if c.startswith("carried_")]
+    rows = rows.select("id", F.xxhash64("text").alias("text_hash"), F.length("text").alias("length"), "text", *kept)
     base, words = base_and_words(F.col("text"))
-    found = rows.select(*key, base.alias("base"), words.alias("words"))
-    apart = F.filter("words", lambda w: ~F.exists("base", lambda b: meet(w, b)))
-    found = pin(found.withColumn("words", apart), "spans")
+    found = rows.select(*key, *kept, base.alias("base"), words.alias("words"))
+    found = pin(found.withColumn("words", apart_from(F.col("words"), F.col("base"))), "spans")
 
     def place(spans: DataFrame) -> DataFrame:
-        return spans.select(*key, "span", F.explode(contexts(F.col("span.left"), F.col("span.right"))).alias("pattern"))
+        patterns = F.concat(contexts(F.col("span.left"), F.col("span.right")), F.array_compact(F.array(shape(F.col("span.value")))))
+        return spans.select(*key, "span", F.explode(patterns).alias("pattern"))
 
     def seen(placed: DataFrame) -> DataFrame:
         instance = F.concat_ws(":", "span.kind", "span.value").alias("instance")
@@ -288,6 +405,8 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed = place(all_spans)
     trusted = pin(trusted_patterns(seen(placed), rounds), "trusted")
     marks = pin(marks_of(trusted.filter("known")), "marks")
+    if not marks.isEmpty():
+        marks = pin(telling_marks(rows, marks, placed, key), "marks")
     between = None
     if not marks.isEmpty():
         between = place(pin(stretches(rows, marks, key), "stretches"))
@@ -296,14 +415,16 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if between is not None:
         sides = F.collect_set(F.split("pattern", "\n")[0])
         both_sides = between.join(trusted.filter("known"), "pattern", "left_semi").groupBy(*key, "span").agg(sides.alias("sides"))
-        both_sides = both_sides.filter(F.array_contains("sides", "around") | (F.size("sides") == 2))
+        both_sides = both_sides.filter(F.array_contains("sides", "around") | F.expr("array_contains(sides, 'before') and array_contains(sides, 'after')"))
         new = new.unionByName(both_sides.select(*key, "span"))
     new = new.groupBy(*(F.col(k).alias(f"new_{k}") for k in key)).agg(F.collect_set("span").alias("new"))
-    outer = lambda s, o: (o["start"] <= s["start"]) & (s["end"] <= o["end"]) & (o["end"] - o["start"] > s["end"] - s["start"])
-    new = new.withColumn("new", F.filter("new", lambda s: ~F.exists("new", lambda o: outer(s, o))))  # the longest
+    new = pin(new.withColumn("new", longest(F.col("new"))), "new")
     none = F.array().cast(f"array<{SPAN}>")
+    new = F.broadcast(new) if fits_broadcast(new) else new
     both = found.drop("words").join(new, same_text(key, "new"), "left")
-    return both.select(*key, "base", F.array_sort(F.concat("base", F.coalesce("new", none))).alias("spans")).withColumnRenamed("id", id_col)
+    spans = F.array_sort(F.concat("base", F.coalesce("new", none))).alias("spans")
+    passed = [F.col(f"carried_{c}").alias(c) for c in carried]
+    return both.select(F.col("id").alias(id_col), "text_hash", "length", "base", spans, *passed)
 
 
 def written(spans: str) -> Column:
@@ -312,40 +433,52 @@ def written(spans: str) -> Column:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with the kind in angle brackets in place of each span; spans that overlap are replaced by the first kind."""
+    """The text with the kind in angle brackets in place of each span; spans that overlap are replaced by the first kind.
+
+    Pieces are put together in blocks, as in ``before_each``.
+    """
 
     def add(state: Column, span: Column) -> Column:
         apart = span["start"] >= state["at"]
         kept = F.array(
-            F.substring(text, (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int")),
-            F.concat(F.lit("<"), span["kind"], F.lit(">")),
-        )
+            F.concat(
+                F.substring(text, (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int")),
+                F.lit("<"), span["kind"], F.lit(">"),
+            )
+        )
         return F.struct(
             F.greatest(state["at"], span["end"]).alias("at"),
             F.when(apart, F.concat(state["out"], kept)).otherwise(state["out"]).alias("out"),
+            state["done"].alias("done"),
         )
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-    rest = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, (s["at"] + 1).cast("int"), F.length(text)))
-    return F.aggregate(spans, start, add, rest)
+    def block(state: Column, k: Column) -> Column:
+        empty = F.array().cast("array<string>")
+        start = F.struct(state["at"].alias("at"), empty.alias("out"), state["done"].alias("done"))
+        made = F.aggregate(F.slice(spans, k + 1, F.lit(BLOCK)), start, add)
+        joined = lambda m: F.concat(m["done"], F.array(F.array_join(m["out"], "")))
+        return once(made, lambda m: F.struct(m["at"].alias("at"), joined(m).alias("done")))
+
+    numbers = F.sequence(F.lit(0), F.greatest(F.size(spans) - 1, F.lit(0)), F.lit(BLOCK))
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("done"))
+    rest = lambda s: F.concat(F.array_join(s["done"], ""), F.substring(text, (s["at"] + 1).cast("int"), F.length(text)))
+    return F.aggregate(numbers, start, block, rest)
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """The documents with personal data replaced by its kind, and ``length_col``, if there is one, set to the new length.
 
-    Documents without spans are as before, null texts included. Rows and other columns stay as they are. The documents
-    that have spans are met by id and text.
+    Documents without spans are as before, null texts included; an empty table gives an empty table. Rows and other columns
+    stay as they are, rows that repeat too. Texts go along with their spans and are not joined.
     """
-    spans = find_spans(docs, id_col, text_col).filter(F.size("spans") > 0).withColumnRenamed(id_col, "id")
-    spans = pin(spans.select("id", "text_hash", "length", "spans").dropDuplicates(["id", "text_hash", "length"]), "spans")
     at = {c: f"column{k}" for k, c in enumerate(docs.columns)}  # names that no column beside them has
-    rows, text = docs.withColumnsRenamed(at), F.col(at[text_col])
-    same = F.col(at[id_col]).eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("text_hash"))
-    both = rows.join(spans, text.isNotNull() & same & (F.length(text) == F.col("length")), "left")
-    hit = F.col("text_hash").isNotNull()
-    both = both.select(*at.values(), hit.alias("hit"), redacted(text, F.col("spans")).alias("redacted"))
-    made = {text_col: F.when(F.col("hit"), F.col("redacted")).otherwise(text)}
+    rows = docs.withColumnsRenamed(at)
+    found = find_spans(rows, at[id_col], at[text_col], carried=[c for c in at.values() if c != at[id_col]])
+    text, hit = F.col(at[text_col]), F.col("hit")
+    both = found.select(*at.values(), (F.size("spans") > 0).alias("hit"), "spans")
+    both = both.withColumn("redacted", F.when(hit, redacted(text, F.col("spans"))))
+    made = {text_col: F.when(hit, F.col("redacted")).otherwise(text)}
     if length_col in at:
         length = F.length("redacted").cast(docs.schema[length_col].dataType)
-        made[length_col] = F.when(F.col("hit"), length).otherwise(F.col(at[length_col]))
+        made[length_col] = F.when(hit, length).otherwise(F.col(at[length_col]))
     return both.select(*(made.get(c, F.col(at[c])).alias(c) for c in docs.columns))

@@ -1,8 +1,10 @@
+import math
+import random
 import re
 
 import pytest
 
-from shardstream.llm.pii import KINDS, find_spans, redact
+from shardstream.llm.pii import DOUBT, KINDS, LEAST_INSTANCES, TRUSTED, find_spans, redact, trusted_patterns
 from shardstream.llm.queries import op7_personal_data
 from tests.llm.data import documents, no_documents, odd_documents
 
@@ -99,6 +101,58 @@ def test_a_pattern_seen_in_copies_of_one_document_proves_nothing(spark):
     assert not any(s.kind == "id" for r in rows for s in r.spans)
 
 
+def test_very_long_texts_and_very_many_spans(spark):
+    mails = [f"u{k}@b.co" for k in range(5000)]
+    texts = ["x" * 10**6 + "@", "7" * 10**6 + ".", "a." * 200_000, "1." * 20_000, " ".join(mails)]
+    docs = documents(spark, texts)
+    rows = find_spans(docs).orderBy("doc_id").collect()
+    assert [base(r) for r in rows[:3]] == [[]] * 3
+    assert base(rows[3]) == [("ip", 8 * k, 8 * k + 7) for k in range(5000)]
+    assert [s.value for s in rows[4].base] == mails
+    assert redact(docs).orderBy("doc_id").collect()[4].text == " ".join(["<email>"] * 5000)
+
+
+def test_tokens_in_a_frame_of_their_own_are_found(spark):
+    """No seed stands beside them: their many digits lead there, and from them the frame to one with few digits."""
+    cards = ["4111111111111111", "5500000000000004", "6011000000000004", "4242424242424242", "5555555555554444", "4000056655665556"]
+    texts = [f"w{k} paid by card x{k} {c} y{k} today" for k, c in enumerate(cards * 3)]
+    tokens = [f"{k}a1b2c3d4e5f6071829303132{k}" for k in range(4)]
+    texts += [f'z{k} token = "{t}" v{k}' for k, t in enumerate(tokens)] + ["in 2024 and 1999 there were 1250 of them"]
+    found = [s.value for r in find_spans(documents(spark, texts)).collect() for s in r.spans if s.kind == "id"]
+    assert sorted(found) == sorted(tokens)
+
+
+def scored_by_hand(seen, rounds):
+    """Trust of every pattern after some rounds, and its numbers of instances and seeds."""
+    edges = {}
+    for pattern, instance, seed in seen:
+        edges[pattern, instance] = edges.get((pattern, instance), False) or seed
+    seeds = {i for (_, i), seed in edges.items() if seed}
+    score = {i: float(i in seeds) for _, i in edges}
+    for _ in range(rounds):
+        members = {p: [i for q, i in edges if q == p] for p, _ in edges}
+        trust = {p: sum(score[i] for i in m) / (len(m) + DOUBT) for p, m in members.items()}
+        for i in score:
+            wrong = math.prod(1 - trust[p] for p, j in edges if j == i)
+            score[i] = 1.0 if i in seeds else 1 - wrong
+    return {p: (t, len(members[p]), sum(edges[p, i] for i in members[p])) for p, t in trust.items()}
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 4])
+def test_the_scored_graph(spark, rounds):
+    rng = random.Random(rounds)
+    seeds = {f"i{k}": k % 3 != 0 for k in range(40)}
+    seen = []
+    for k in range(60):
+        of = rng.sample(sorted(seeds), rng.randint(1, 12)) if k % 2 else [i for i in seeds if seeds[i]][: rng.randint(3, 20)] + [f"i{k % 9 * 3}"]
+        seen += [(f"p{k}", i, seeds[i]) for i in of for _ in range(rng.randint(1, 3))]
+    want = scored_by_hand(seen, rounds)
+    trusted = {p: 2 * s >= n for p, (t, n, s) in want.items() if t >= TRUSTED and n >= LEAST_INSTANCES}
+    frame = spark.createDataFrame(seen, "pattern string, instance string, seed boolean")
+    assert {r.pattern: r.known for r in trusted_patterns(frame, rounds).collect()} == trusted
+    assert 0 < len(trusted) < 60
+
+
 def test_redaction(spark):
     texts = ["write to a@b.co now", None, "+1 (243) 555-5526", "é 10.0.0.1 and 10.0.0.2.", "nothing", "10.0.0.1@x.com", ""]
     rows = redact(documents(spark, texts)).orderBy("doc_id").collect()

@@ -1,7 +1,9 @@
 import re
+from pathlib import Path
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
+from shardstream.llm.common import noted_pins
 from tests.llm.data import odd_documents
 from tests.llm.test_jaccard import by_hand
 from tests.llm.test_pii import by_hand as private_by_hand
@@ -11,7 +13,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def test_every_operator_has_one_query():
     names = [n for n in entry_point.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_point.queries()
 
 
@@ -39,6 +41,22 @@ def test_stages(spark):
     assert not any(private_by_hand(r.text) for r in kept["personal_data"].values())
 
 
+def test_pins_go_when_the_next_stage_begins(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").limit(50)
+    with noted_pins() as pinned:
+        kept = corpus_pipeline.private_documents(spark, docs, small)
+        assert pinned and all(Path(p).exists() for p in pinned)
+        # What the documents themselves are read from stays.
+        corpus_pipeline.private_documents(spark, kept, small)
+        there = [p for p in pinned if Path(p).exists()]
+        assert set(kept.inputFiles()) and all(any(p in f for p in there) for f in kept.inputFiles())
+        written = corpus_pipeline.pin(kept, "written")
+        mine = [p for p in pinned if Path(p).exists() and not any(p in f for f in written.inputFiles())]
+        corpus_pipeline.packed_documents(spark, written, small)
+        assert not any(Path(p).exists() for p in mine)
+        assert written.count() == 50
+
+
 def test_rows_that_repeat_and_nulls(spark, small):
     docs = odd_documents(spark).unionByName(odd_documents(spark))
     for _, stage in corpus_pipeline.STAGES[:-1]:
