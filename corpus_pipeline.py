@@ -2,18 +2,22 @@
 
 Each stage gets all documents that the one before it kept, and ``labels`` from the folder where it learns. All but the
 last return the columns of ``documents``; columns and rows may hold nulls, and rows may repeat, as the operators'
-docstrings say.
+docstrings say. A stage's rows are written and read again before the next one begins, which then removes what the
+stages before it pinned for themselves.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import shardstream
-from shardstream.llm.common import pin, read_table
+from shardstream.llm.common import drop_pins, noted_pins, pin, read_table
 from shardstream.llm.jaccard import jaccard_groups
 from shardstream.llm.packing import pack_documents
 from shardstream.llm.pii import redact
@@ -24,17 +28,40 @@ from shardstream.llm.toxicity import score_toxicity
 cloudpickle.register_pickle_by_value(shardstream)
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+#: Folders pinned by stages that have been called.
+_FORMER: list[str] = []
+
+
+def in_turn(stage: Stage) -> Stage:
+    """A stage that first removes what former stages have pinned, but what its documents are read from."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _FORMER[:] = drop_pins(spark, _FORMER, docs)
+        with noted_pins() as pinned:
+            kept = stage(spark, docs, sf_dir)
+        _FORMER.extend(pinned)
+        return kept
+
+    return run_stage
+
+
+@in_turn
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that importance resampling takes: as many as reach the cut fitted on the labels."""
     return resample(docs, read_table(spark, sf_dir, "labels"), with_columns=True)
 
 
+@in_turn
 def civil_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that are not predicted toxic."""
+    """The documents that are not predicted toxic; rows with null texts and rows that repeat an id are scored like others."""
     scored = score_toxicity(docs, read_table(spark, sf_dir, "labels"))
     return scored.filter("predicted = 0").select(*docs.columns)
 
 
+@in_turn
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
@@ -54,11 +81,13 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(single)
 
 
+@in_turn
 def private_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with personal data replaced by its kind."""
+    """The documents with personal data replaced by its kind; all rows stay, null and repeated ones too."""
     return redact(docs)
 
 
+@in_turn
 def packed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of 4096 tokens."""
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
