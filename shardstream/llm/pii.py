@@ -289,21 +289,34 @@ def marked(rows: DataFrame, marks: DataFrame, key: list[str]) -> DataFrame:
     return each.join(marks, "piece").filter(F.col("beyond").isNull() | (F.col("beyond") == beyond))
 
 
-def telling_marks(rows: DataFrame, marks: DataFrame, placed: DataFrame, key: list[str]) -> DataFrame:
+def telling_marks(rows: DataFrame, marks: DataFrame, placed: DataFrame) -> DataFrame:
     """The marks that stand beside a form's match in at least ``LEAST_SHARE`` of their places in all texts.
 
     A context of common words is seen around many things that are no identifiers, of which the graph knows nothing yet.
-    Places are counted before anything is shuffled.
+    Pairs of pieces are counted before anything is shuffled or joined, so that a common piece costs no more than others.
     """
     side = ["piece", "beyond", "opens"]
-    places = marked(rows, marks.select(*side).distinct(), key).groupBy(*side).agg(F.count("*").alias("places"))
+    pieces = F.regexp_extract_all(folded(F.col("text")), F.lit(PIECE), 0)
+    p = rows.select(F.concat(F.array(F.lit("")), pieces, F.array(F.lit(""))).alias("p"))
+    two = F.arrays_zip(F.col("p").alias("first"), F.slice("p", F.lit(2), F.size("p")).alias("second"))
+    pairs = p.select(F.explode(two).alias("at")).groupBy("at.first", "at.second").agg(F.count("*").alias("places"))
+    pairs = pin(pairs.filter("second is not null"), "pairs")
+    wanted = marks.select(*side).distinct()
+    singles = pairs.groupBy(F.col("second").alias("piece")).agg(F.sum("places").alias("places"))
+    opening = pairs.select(F.col("second").alias("piece"), F.col("first").alias("beyond"), F.lit(True).alias("opens"), "places")
+    closing = pairs.select(F.col("first").alias("piece"), F.col("second").alias("beyond"), F.lit(False).alias("opens"), "places")
+    places = wanted.filter("beyond is null").join(singles, "piece").select(*side, "places")
+    places = places.unionByName(wanted.filter("beyond is not null").join(opening.unionByName(closing), side).select(*side, "places"))
     forms = placed.filter("span.kind <> 'id'").groupBy("pattern").agg(F.count("*").alias("n"))
     beside = _marks(forms).groupBy(*side).agg(F.sum("n").alias("beside"))
-    same = (F.col("b.piece") == F.col("p.piece")) & F.col("b.beyond").eqNullSafe(F.col("p.beyond")) & (F.col("b.opens") == F.col("p.opens"))
-    telling = places.alias("p").join(beside.alias("b"), same).filter(F.col("beside") >= LEAST_SHARE * F.col("places"))
-    telling = telling.select(*(F.col(f"p.{c}").alias(f"_{c}") for c in side))
-    same = (F.col("piece") == F.col("_piece")) & F.col("beyond").eqNullSafe(F.col("_beyond")) & (F.col("opens") == F.col("_opens"))
-    kept = pin(marks.join(telling, same, "left_semi"), "telling")
+
+    def same(a: str, b: str) -> Column:
+        x, y = ({c: F.col(f"{t}.{c}") for c in side} for t in (a, b))
+        return (x["piece"] == y["piece"]) & x["beyond"].eqNullSafe(y["beyond"]) & (x["opens"] == y["opens"])
+
+    telling = places.alias("p").join(beside.alias("b"), same("p", "b")).filter(F.col("beside") >= LEAST_SHARE * F.col("places"))
+    telling = telling.select(*(F.col(f"p.{c}").alias(c) for c in side))
+    kept = pin(marks.alias("m").join(telling.alias("t"), same("m", "t"), "left_semi"), "telling")
     both = kept.groupBy("between").agg(F.count_if("opens").alias("opening"), F.count_if(~F.col("opens")).alias("closing"))
     return kept.join(both.filter("opening > 0 and closing > 0").select("between"), "between", "left_semi")
 
@@ -406,7 +419,7 @@ def find_spans(
     trusted = pin(trusted_patterns(seen(placed), rounds), "trusted")
     marks = pin(marks_of(trusted.filter("known")), "marks")
     if not marks.isEmpty():
-        marks = pin(telling_marks(rows, marks, placed, key), "marks")
+        marks = pin(telling_marks(rows, marks, placed), "marks")
     between = None
     if not marks.isEmpty():
         between = place(pin(stretches(rows, marks, key), "stretches"))
