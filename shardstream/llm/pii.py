@@ -254,10 +254,10 @@ def _marks(patterns: DataFrame) -> DataFrame:
     between = F.when(F.col("kind") == "around", F.col("pattern")).otherwise("sides")
     two = lambda side: F.size(side) == 2
     lefts = sides.filter("kind <> 'after'").select(
-        F.element_at("l", -1).alias("piece"), F.when(two("l"), F.col("l")[0]).alias("beyond"), F.lit(True).alias("opens"), between.alias("between"), "n"
+        F.element_at("l", -1).alias("piece"), F.when(two("l"), F.col("l")[0]).alias("beyond"), F.lit(True).alias("opens"), between.alias("between"), "n", "kind"
     )
     rights = sides.filter("kind <> 'before'").select(
-        F.col("r")[0].alias("piece"), F.when(two("r"), F.get("r", F.lit(1))).alias("beyond"), F.lit(False).alias("opens"), between.alias("between"), "n"
+        F.col("r")[0].alias("piece"), F.when(two("r"), F.get("r", F.lit(1))).alias("beyond"), F.lit(False).alias("opens"), between.alias("between"), "n", "kind"
     )
     return lefts.unionByName(rights)
 
@@ -292,31 +292,39 @@ def marked(rows: DataFrame, marks: DataFrame, key: list[str]) -> DataFrame:
 def telling_marks(rows: DataFrame, marks: DataFrame, placed: DataFrame) -> DataFrame:
     """The marks that stand beside a form's match in at least ``LEAST_SHARE`` of their places in all texts.
 
-    A context of common words is seen around many things that are no identifiers, of which the graph knows nothing yet.
-    Pairs of pieces are counted before anything is shuffled or joined, so that a common piece costs no more than others.
+    A context of common words is seen around many things that are no identifiers, of which the graph knows nothing yet. A
+    word is judged by all its places, whatever stands beyond it, signs by those with the same piece beyond them: pairs of
+    words are far more than words, pairs with signs are not. Places are counted before anything is shuffled.
     """
-    side = ["piece", "beyond", "opens"]
+    side, is_sign = ["piece", "beyond", "opens"], lambda piece: ~piece.rlike(r"^[\p{L}\p{N}\p{M}]")
     pieces = F.regexp_extract_all(folded(F.col("text")), F.lit(PIECE), 0)
-    p = rows.select(F.concat(F.array(F.lit("")), pieces, F.array(F.lit(""))).alias("p"))
+    p = rows.select(F.concat(F.array(F.lit("")), pieces).alias("p"))
     two = F.arrays_zip(F.col("p").alias("first"), F.slice("p", F.lit(2), F.size("p")).alias("second"))
-    pairs = p.select(F.explode(two).alias("at")).groupBy("at.first", "at.second").agg(F.count("*").alias("places"))
-    pairs = pin(pairs.filter("second is not null"), "pairs")
-    wanted = marks.select(*side).distinct()
+    pairs = p.select(F.explode(two).alias("at")).select("at.*").filter("second is not null")
+    first = F.when(is_sign(F.col("first")) | is_sign(F.col("second")), F.col("first"))
+    pairs = pin(pairs.groupBy(first.alias("first"), "second").agg(F.count("*").alias("places")), "pairs")
+    none = F.lit(None).cast("string")
     singles = pairs.groupBy(F.col("second").alias("piece")).agg(F.sum("places").alias("places"))
-    opening = pairs.select(F.col("second").alias("piece"), F.col("first").alias("beyond"), F.lit(True).alias("opens"), "places")
-    closing = pairs.select(F.col("first").alias("piece"), F.col("second").alias("beyond"), F.lit(False).alias("opens"), "places")
-    places = wanted.filter("beyond is null").join(singles, "piece").select(*side, "places")
-    places = places.unionByName(wanted.filter("beyond is not null").join(opening.unionByName(closing), side).select(*side, "places"))
-    forms = placed.filter("span.kind <> 'id'").groupBy("pattern").agg(F.count("*").alias("n"))
-    beside = _marks(forms).groupBy(*side).agg(F.sum("n").alias("beside"))
+    before = pairs.filter(is_sign(F.col("second"))).selectExpr("second as piece", "first as beyond", "true as opens", "places")
+    after = pairs.filter(is_sign(F.col("first"))).selectExpr("first as piece", "second as beyond", "false as opens", "places")
+    for opens in (True, False):
+        before = before.unionByName(singles.withColumns({"beyond": none, "opens": F.lit(opens)}))
+    places = before.unionByName(after)
+
+    def judged(table: DataFrame) -> DataFrame:
+        return table.withColumn("judged", F.when(is_sign(F.col("piece")), F.col("beyond")))
 
     def same(a: str, b: str) -> Column:
-        x, y = ({c: F.col(f"{t}.{c}") for c in side} for t in (a, b))
-        return (x["piece"] == y["piece"]) & x["beyond"].eqNullSafe(y["beyond"]) & (x["opens"] == y["opens"])
+        x, y = F.col(f"{a}.judged"), F.col(f"{b}.beyond")
+        return (F.col(f"{a}.piece") == F.col(f"{b}.piece")) & x.eqNullSafe(y) & (F.col(f"{a}.opens") == F.col(f"{b}.opens"))
 
-    telling = places.alias("p").join(beside.alias("b"), same("p", "b")).filter(F.col("beside") >= LEAST_SHARE * F.col("places"))
-    telling = telling.select(*(F.col(f"p.{c}").alias(c) for c in side))
-    kept = pin(marks.alias("m").join(telling.alias("t"), same("m", "t"), "left_semi"), "telling")
+    # An instance has patterns of several kinds on one side: it counts as often as it has of one of them.
+    forms = placed.filter("span.kind <> 'id'").groupBy("pattern").agg(F.count("*").alias("n"))
+    beside = judged(_marks(forms)).groupBy("piece", F.col("judged").alias("beyond"), "opens", "kind").agg(F.sum("n").alias("n"))
+    beside = beside.groupBy(*side).agg(F.max("n").alias("beside"))
+    telling = judged(marks).alias("m").join(places.alias("p"), same("m", "p")).select("m.*", "places")
+    telling = telling.alias("m").join(beside.alias("b"), same("m", "b")).filter(F.col("beside") >= LEAST_SHARE * F.col("places"))
+    kept = pin(telling.select(*(F.col(f"m.{c}").alias(c) for c in (*side, "between"))).distinct(), "telling")
     both = kept.groupBy("between").agg(F.count_if("opens").alias("opening"), F.count_if(~F.col("opens")).alias("closing"))
     return kept.join(both.filter("opening > 0 and closing > 0").select("between"), "between", "left_semi")
 
