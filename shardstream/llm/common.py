@@ -48,7 +48,7 @@ def noted_pins() -> Iterator[list[str]]:
     try:
         yield noted
     finally:
-        _NOTED.remove(noted)
+        _NOTED[:] = [n for n in _NOTED if n is not noted]
 
 
 def drop_pins(spark: SparkSession, folders: list[str], in_use: DataFrame) -> list[str]:
