@@ -7,7 +7,9 @@ finds its slot by its rank among the pieces of its length.
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
@@ -18,35 +20,68 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shardstream.llm.common import Kept, arrow_schema, map_rows, partitions, pin
+from shardstream.llm.common import arrow_schema, map_rows, partitions, pin
 
 SIZE, END_ID = 4096, 1
-KEPT_WORDS = 120_000
+KEPT_WORDS = 160_000
 RANK_BITS = 46
 
-# Texts of these characters are their own NFC form, and the words below are those of the tokenizer's file.
+# Texts of these characters are their own NFC form, and the words below are those of a file with these rules.
 PLAIN = re.compile("[\t\n\x0b\x0c\r -~À-ÖØ-öø-ÿ]*")
 WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+PRETOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+class Recent(dict):
+    """A table that makes what it lacks. When full it becomes the former one, from which what is used again is taken
+    over, so that it holds at most twice ``most`` and what is frequent stays."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.former = make, most, {}
+
+    def __missing__(self, key):
+        made = self.former.get(key)
+        if made is None:
+            made = self.make(key)
+        if len(self) >= self.most:
+            self.former = dict(self)
+            self.clear()
+        self[key] = made
+        return made
 
 
 class WordIds:
     """Ids of texts as little-endian 32-bit numbers. What is between white space is looked up while it is kept, else
-    put together from its words; a word is run through the vocabulary's merges."""
+    put together from its words; a word is run through the vocabulary's merges.
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
-        self.chunks, self.words = Kept(self._chunk, KEPT_WORDS), Kept(self._word, KEPT_WORDS)
+    That is done for vocabularies of the rules above only; with any other, every text goes to the tokenizer as it is.
+    """
+
+    def __init__(self, tokenizer, by_words: bool):
+        self.tokenizer, self.by_words = tokenizer, by_words
+        self.chunks, self.words = Recent(self._chunk, KEPT_WORDS), Recent(self._word, KEPT_WORDS)
 
     def _chunk(self, chunk: str) -> bytes:
         return b"".join(map(self.words.__getitem__, WORDS.findall(chunk)))
 
     def _word(self, word: str) -> bytes:
         shown = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(SHOWN)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
+        ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
         """Ids of a whole text. Any text that is not plain goes to the tokenizer as it is."""
-        if "<|" in text or not PLAIN.fullmatch(text):
+        if not self.by_words or "<|" in text or not PLAIN.fullmatch(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.chunks.__getitem__, text.lower().split()))
 
@@ -61,10 +96,25 @@ def shown_bytes() -> dict[int, int]:
 SHOWN = shown_bytes()
 
 
+def cuts_words(vocabulary: str) -> bool:
+    """Whether a vocabulary's file has the rules by which ``WordIds`` cuts plain texts into words."""
+    file = json.loads(vocabulary)
+    return (
+        file["normalizer"] == {"type": "Sequence", "normalizers": NORMALIZERS}
+        and file["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": PRETOKENIZERS}
+        and file["model"]["type"] == "BPE"
+        and not file["model"].get("dropout")
+        and all("<|" in token["content"] and not token["normalized"] for token in file["added_tokens"])
+    )
+
+
 def encoder(vocabulary: str) -> WordIds:
     from tokenizers import Tokenizer
 
-    return WordIds(Tokenizer.from_str(vocabulary))
+    tokenizer = Tokenizer.from_str(vocabulary)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return WordIds(tokenizer, cuts_words(vocabulary))
 
 
 def cut_documents(
@@ -79,14 +129,18 @@ def cut_documents(
     """Tokens of every whole text and ``end_id``, cut into pieces of ``size``; the last piece may be shorter.
 
     Rows: the id, ``piece``, ``start``, ``length``, ``ids_crc32`` and, if asked for, ``ids``. A null or empty text is
-    one piece that holds ``end_id`` alone. The vocabulary is read on the driver and goes to the tasks once.
+    one piece that holds ``end_id`` alone. Any file of the library ``tokenizers`` will do. The vocabulary is read on the
+    driver and goes to every worker once; a worker keeps its tables of words, which are bounded, for its next task.
     """
     with open(tokenizer_file, encoding="utf-8") as file:
-        vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
+        shared = docs.sparkSession.sparkContext.broadcast({"vocabulary": file.read()})
     end = np.array([end_id], "<u4").tobytes()
 
     def start():
-        words = encoder(vocabulary.value)
+        own = shared.value  # this worker's copy
+        if "words" not in own:
+            own["words"] = encoder(own["vocabulary"])
+        words = own["words"]
 
         def cut(key, text) -> Iterator[tuple]:
             tokens = words.ids(text or "") + end

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -7,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from shardstream.llm.packing import PLAIN, cut_documents, encoder, pack_documents, plan_slots
+from shardstream.llm.packing import PLAIN, Recent, cut_documents, encoder, pack_documents, plan_slots
 from shardstream.llm.queries import op8_best_fit_packing
 from tests.llm.data import documents, no_documents, odd_documents
 
@@ -54,6 +55,7 @@ def test_all_documents(spark, small, tokenizer):
 
 def test_words_looked_up_equal_the_tokenizer(tokenizer):
     words, rng = encoder(open(FILE, encoding="utf-8").read()), random.Random(7)
+    assert words.by_words
     alphabets = ["aAbB 'stmdrevl", "0123 .!?", "éèßÀÖ÷×µ ", "<|endoftext|> a", "日本 ﬁİς", "\t\n\x0b\x1c\x85\xa0 x", "!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~\x7f\x00"]
     texts = ["".join(rng.choice(rng.choice(alphabets) if k % 3 else alphabets[k % 7]) for _ in range(rng.randint(0, 80))) for k in range(2000)]
     assert 100 < sum(bool(PLAIN.fullmatch(t)) for t in texts) < 1900
@@ -61,6 +63,29 @@ def test_words_looked_up_equal_the_tokenizer(tokenizer):
         assert np.frombuffer(words.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("change", [None, "normalizer", "pre_tokenizer"])
+def test_other_vocabularies_are_not_cut_into_words(spark, tmp_path, change):
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    if change:
+        rules = json.loads(open(FILE, encoding="utf-8").read())
+        rules[change] = {"normalizer": {"type": "NFC"}, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}}[change]
+        file = str(tmp_path / "rules.json")
+        (tmp_path / "rules.json").write_text(json.dumps(rules), encoding="utf-8")
+    texts = ["Hello World 123", "it's  Two\n\nlines", "", None, "Ärger über 7 Häuser"]
+    other = Tokenizer.from_file(file)
+    rows = pack_documents(documents(spark, texts), file).collect()
+    check(rows, {k: ids(other, t) for k, t in enumerate(texts)}, 4096)
+
+
+def test_a_full_table_keeps_what_is_used_again():
+    made = []
+    table = Recent(lambda key: made.append(key) or key * 2, 3)
+    for key in [0, 1, 2, 0, 3, 0, 4, 0, 5, 0, 6, 0]:
+        assert table[key] == key * 2
+        assert len(table) <= 3 and len(table.former) <= 3
+    assert made == [0, 1, 2, 3, 4, 5, 6]
+
+
 def plain_best_fit(lengths, size):
     rooms = []
     for length in sorted(lengths, reverse=True):
