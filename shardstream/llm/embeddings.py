@@ -187,6 +187,14 @@ def tile_links(pairs: DataFrame, cosine: float) -> DataFrame:
     return pairs.groupBy("cell", "a", "b").applyInArrow(run, "rep bigint, n bigint, other bigint")
 
 
+def same_id_links(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): links between the classes of different vectors that have one id; only rows whose id repeats are joined."""
+    repeated = rows.groupBy("id").agg(F.count("*").alias("times")).filter("times > 1").select("id")
+    held = rows.join(repeated, "id", "left_semi").join(classes.select("vector", "rep"), "vector").select("id", "rep").distinct()
+    several = held.groupBy("id").agg(F.min("rep").alias("a"), F.count("*").alias("classes")).filter("classes > 1")
+    return held.join(several, "id").filter("rep <> a").select("a", F.col("rep").alias("b"))
+
+
 def near_copies(
     vectors: DataFrame,
     cosine: float = COSINE,
@@ -222,7 +230,8 @@ def near_copies(
         found = vectors.sparkSession.createDataFrame([], "rep bigint, n bigint, other bigint")
     found = pin(found, "links")
     counts = found.filter("other is null").groupBy("rep").agg(F.sum("n").alias("n"))
-    components = connected_components(found.filter("other is not null").selectExpr("rep as a", "other as b"))
+    links = found.filter("other is not null").selectExpr("rep as a", "other as b")
+    components = connected_components(links.unionByName(same_id_links(rows.filter("vector is not null"), classes)))
     known = classes.select("vector", "rep", "m").join(counts, "rep", "left")
     known = known.join(components.withColumnRenamed("node", "rep"), "rep", "left")
     known = known.select(

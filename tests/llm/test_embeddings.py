@@ -72,3 +72,23 @@ def test_odd_rows(spark):
     want += [(k, 0, k, True) for k in (2, 3, 4, 5, 6, 7, 8)] + [(None, 0, None, False)] * 2
     assert got == sorted(want, key=repr)
     assert near_copies(spark.createDataFrame([], VECTORS)).count() == 0
+
+
+def test_different_vectors_of_one_id_are_one_node(spark):
+    rows = [(5, [1.0, 0.0, 0.0]), (5, [0.0, 1.0, 0.0]), (3, [1.0, 0.0, 0.0]), (9, [0.0, 1.0, 0.0]), (7, [0.0, 0.0, 1.0]), (7, [0.0, 0.0, 1.0])]
+    rows += [(9, [1.0, 1.0]), (11, [1.0, 1.0])]
+    got = near_copies(spark.createDataFrame([(*r, 0) for r in rows], VECTORS)).collect()
+    want = [(3, 1, 3, True), (5, 1, 3, False), (5, 1, 3, False), (7, 1, 7, True), (7, 1, 7, True), (9, 1, 3, False), (9, 1, 3, False), (11, 1, 3, False)]
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == want
+
+
+def test_a_hot_vector_with_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "ROWS_PER_PIVOT", 100)
+    rng = np.random.default_rng(9)
+    rows = [(k, [1.0, 2.0, 3.0, 4.0]) for k in range(700)] + [(700 + k, None) for k in range(700)]
+    rows += [(1400 + k, [1.0, 2.0, 3.0, 4.0 + 0.01 * k]) for k in range(1, 4)]
+    rows += [(1500 + k, [float(np.float32(x)) for x in v]) for k, v in enumerate(rng.normal(size=(60, 4)))]
+    got = near_copies(spark.createDataFrame([(*r, 0) for r in rows], VECTORS), tile=64).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == sorted(
+        (i, n, c) for (i, _), (n, c) in zip(rows, by_hand(rows, 0.95), strict=True)
+    )
