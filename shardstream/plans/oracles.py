@@ -364,6 +364,26 @@ ORACLES: dict[str, str] = {
                max(sequence_number) as last_sequence_number
         from rec group by 1""",
     ),
+    # shard-2 is lost at the second run, shard-1 read to its end there; shard-3 ends with a record that never comes.
+    "shard_processor": _with(
+        _REC,
+        select="""
+        , n as (
+          select *, (row_number() over (partition by shard_id, run order by sequence_number) - 1) // 500 as number
+          from (select *, (arrival_ts >= timestamp '2024-01-10')::int as run from rec)),
+        f as (
+          select shard_id, run, number, count(*) as records, coalesce(sum(strlen(data)), 0) as bytes, max(sequence_number) as last
+          from n where shard_id <> 'shard-2' or run = 0 group by 1, 2, 3),
+        totals as (
+          select shard_id, run, number, sum(records) over w as records, sum(bytes) over w as bytes, last from f
+          window w as (partition by shard_id order by run, number)),
+        ends as (
+          select shard_id, max(records) as records, max(bytes) as bytes, null as last,
+                 case shard_id when 'shard-1' then 'TERMINATE' else 'ZOMBIE' end as reason
+          from totals where shard_id in ('shard-1', 'shard-2') group by 1)
+        select shard_id, records::bigint as records, bytes::bigint as bytes, last::varchar as last, reason::varchar as reason
+        from (select shard_id, records, bytes, last, null as reason from totals union all select * from ends)""",
+    ),
 }
 
 # The same results by way of a log's index.

@@ -26,6 +26,7 @@ from shardstream.functions.routing import shard_of
 from shardstream.model import LATEST, RECORD, TRIM_HORIZON
 from shardstream.operators import fetch, lag, positions, progress, puts, quota
 from shardstream.operators.ordering import rank_by_sequence
+from shardstream.operators.processors import ShardProcessor, process_shards, shard_outputs, shard_states
 from shardstream.operators.sets import process_record_sets
 from shardstream.operators.shards import join_shards
 from shardstream.plans import tables as t
@@ -708,6 +709,36 @@ def apply_per_shard(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def shard_processor(spark: SparkSession, folder: str) -> DataFrame:
+    """Running totals per shard over two runs with shards ending in both, the second from the states of the first."""
+
+    def advance(state: dict, part: dict) -> tuple[dict, list[dict]]:
+        state = {**state, "records": state["records"] + part["records"], "bytes": state["bytes"] + part["bytes"]}
+        return state, [{**state, "last": part["last"], "reason": None}]
+
+    fields = "shard_id string, records bigint, bytes bigint"
+    processor = ShardProcessor(
+        initialise=lambda shard: {"shard_id": shard, "records": 0, "bytes": 0},
+        process=lambda records: {
+            "records": records.num_rows,
+            "bytes": pc.sum(pc.binary_length(records["data"])).as_py() or 0,
+            "last": records["sequence_number"][-1].as_py(),
+        },
+        advance=advance,
+        end=lambda state, reason: [{**state, "last": None, "reason": reason}],
+        state=fields,
+        part="records bigint, bytes bigint, last string",
+        output=f"{fields}, last string, reason string",
+    )
+    log = t.log(spark, folder)
+    early = F.col("arrival_ts") < F.lit(t.PROGRESS_UNTIL).cast("timestamp")
+    first = settle(process_shards(log.where(early), processor, max_records=500))
+    status = settle(t.shard_endings(spark, log))
+    second = process_shards(log.where(~early), processor, shard_states(first), status, max_records=500)
+    return shard_outputs(first.unionByName(second))
+
+
 # A shard that was read to its end is not read again; one that ended with records unread goes on after them.
 
 

@@ -44,10 +44,15 @@ def publish(spark: SparkSession, staged: str, target: str) -> None:
         raise OSError(f"could not move {staged} to {target}")
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there."""
+    files, hadoop = _path(spark, path)
+    files.delete(hadoop, True)
+
+
 def drop_batch(spark: SparkSession, folder: str, batch_id: int) -> None:
     """Remove what one batch wrote, if it is there."""
-    files, hadoop = _path(spark, batch_folder(folder, batch_id))
-    files.delete(hadoop, True)
+    drop_folder(spark, batch_folder(folder, batch_id))
 
 
 def children(spark: SparkSession, path: str) -> list[str]:

@@ -1,0 +1,152 @@
+"""Processors with a life per shard: states over runs, ends called once, shards taken away."""
+
+import pyarrow.compute as pc
+import pytest
+from pyspark.sql import functions as F
+
+from shardstream.model import RECORD, TERMINATE, TRIM_HORIZON
+from shardstream.operators.processors import ShardProcessor, process_shards, shard_outputs, shard_states
+from shardstream.plans import tables
+from shardstream.sources.folders import drop_folder
+from shardstream.sources.log import append_slice
+from shardstream.sources.options import SourceOptions
+from shardstream.streaming.consumer import read_records
+from shardstream.streaming.processors import processed_outputs, start_processors
+from shardstream.streaming.progress_table import current_progress
+from tests.helpers import records, rows
+
+STATUS = "shard_id string, shutdown_reason string, ending_sequence_number string"
+
+
+def totals():
+    """Counts the records of a life; says each total and, at the end, the reason with the last total."""
+
+    def advance(state, part):
+        state = {"shard": state["shard"], "n": state["n"] + part["n"]}
+        return state, [{**state, "reason": None, "first": part["first"]}]
+
+    return ShardProcessor(
+        initialise=lambda shard: {"shard": shard, "n": 0},
+        process=lambda fetch: {"n": fetch.num_rows, "first": pc.min(fetch["sequence_number"]).as_py()},
+        advance=advance,
+        end=lambda state, reason: [{**state, "reason": reason, "first": None}],
+        state="shard string, n bigint",
+        part="n bigint, first string",
+        output="shard string, n bigint, reason string, first string",
+    )
+
+
+def said(lives):
+    return rows(shard_outputs(lives), "shard", "n", "reason", "first")
+
+
+def by_hand(shards, size):
+    want = []
+    for shard, sequences in shards.items():
+        for at in range(0, len(sequences), size):
+            part = sorted(sequences)[at : at + size]
+            want.append((shard, at + len(part), None, part[0]))
+    return want
+
+
+def ordered(wanted):
+    return sorted(wanted, key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+@pytest.mark.parametrize("window_rows", [None, 100])
+def test_a_hot_shard_is_taken_in_sequence(spark, window_rows):
+    shards = {"hot": [f"{k:06d}" for k in range(1500)], "a": ["1"], "b": [f"{k:03d}" for k in range(9)]}
+    log = records(spark, *((s, q, "x") for s, all_ in shards.items() for q in all_)).repartition(7)
+    lives = process_shards(log, totals(), max_records=4, window_rows=window_rows)
+    if window_rows is None:
+        assert said(lives) == ordered(by_hand(shards, 4))
+    else:
+        got = [r for r in said(lives) if r[0] == "hot"]
+        assert [r[1] for r in sorted(got, key=lambda r: r[3])] == [*range(4, 1501, 4)]
+    assert rows(shard_states(lives), "shard_id", "state.n", "ended_by") == [("a", 1, None), ("b", 9, None), ("hot", 1500, None)]
+
+
+def test_ends_are_called_once_and_lost_shards_start_anew(spark):
+    def go_on(states, status, *triples):
+        log = records(spark, *triples)
+        lives = process_shards(log, totals(), states, spark.createDataFrame(status, STATUS))
+        return said(lives), shard_states(lives)
+
+    first, states = go_on(None, [("done", TERMINATE, "4"), ("lost", None, None)], ("done", "1", ""), ("done", "3", ""), ("lost", "1", ""))
+    assert first == [("done", 2, None, "1"), ("lost", 1, None, "1")]
+    second, states = go_on(
+        states, [("done", TERMINATE, "4"), ("lost", "ZOMBIE", None), ("never", "ZOMBIE", None), ("open", TERMINATE, None)],
+        ("done", "4", ""), ("lost", "2", ""), ("never", "1", ""), ("open", "7", ""),
+    )
+    assert second == ordered([("done", 3, None, "4"), ("done", 3, TERMINATE, None), ("lost", 1, "ZOMBIE", None), ("open", 1, None, "7")])
+    third, states = go_on(
+        states, [("done", TERMINATE, "4"), ("lost", "ZOMBIE", None), ("open", TERMINATE, None)], ("done", "5", ""), ("lost", "3", ""), ("open", "8", "")
+    )
+    assert third == [("open", 2, None, "8")]
+    fourth, states = go_on(states, [("done", TERMINATE, "4")], ("lost", "2", ""), ("lost", "3", ""))
+    assert fourth == [("lost", 2, None, "2")]
+    assert rows(states, "shard_id", "state.n", "last_sequence_number", "ended_by") == [
+        ("done", 3, "4", TERMINATE), ("lost", 2, "3", None), ("open", 2, "8", None),
+    ]
+
+
+def test_nothing_to_do_and_odd_records(spark):
+    none = spark.createDataFrame([], RECORD)
+    lives = process_shards(none, totals())
+    assert lives.count() == 0
+    odd = records(spark, ("s", "2", "b"), ("s", "1", "a"), ("s", "2", "b")).withColumns(
+        {"data": F.lit(None).cast("binary"), "arrival_ts": F.lit(None).cast("timestamp"), "step": F.lit("x"), "part": F.lit(1)}
+    )
+    lives = process_shards(odd, totals(), max_records=2)
+    assert [r[1] for r in said(lives)] == [2, 3]
+    again = process_shards(none, totals(), shard_states(lives))
+    assert said(again) == [] and rows(again, "shard_id", "state.n") == [("s", 3)]
+
+
+def test_a_stream_goes_on_after_a_restart_and_a_failed_batch(spark, log, tmp_path):
+    place, job = str(tmp_path / "log"), str(tmp_path / "job")
+    options = SourceOptions(initial_position=TRIM_HORIZON, max_records=100)
+    status = [spark.createDataFrame([], STATUS)]
+    processor = totals()
+
+    def run(made=processor):
+        start_processors(
+            read_records(spark, place, job, options), made, job, options, status=lambda: status[0], once=True
+        ).awaitTermination()
+
+    cut = F.expr("cast(sequence_number as bigint) < 500")
+    append_slice(log.where(cut), place, 0)
+    run()
+    append_slice(log.where(~cut), place, 1)
+    ends = tables.shard_endings(spark, log).where("shard_id in ('shard-1', 'shard-3')")
+    status[0] = ends
+
+    def fail(state, part):
+        raise RuntimeError("not now")
+
+    with pytest.raises(Exception, match="not now"):
+        run(ShardProcessor(**{**processor.__dict__, "advance": fail}))
+    run()
+    append_slice(log.limit(0), place, 2)
+    run()
+    counts = dict(rows(log.groupBy("shard_id").count()))
+    outputs = processed_outputs(spark, processor, job)
+    assert dict(rows(outputs.groupBy("shard").agg(F.max("n")))) == counts
+    assert rows(outputs.where("reason is not null"), "shard", "n", "reason") == [("shard-1", counts["shard-1"], TERMINATE)]
+    steps = outputs.where("reason is null").groupBy("shard").agg(F.count("*"), F.countDistinct("n")).collect()
+    assert all(made == different for _, made, different in steps)
+    assert dict(rows(current_progress(spark, f"{job}/progress"), "shard_id", "sequence_number"))["shard-1"] == "SHARD_END"
+
+
+def test_states_that_are_missing_stop_the_job(spark, log, tmp_path):
+    place, job = str(tmp_path / "log"), str(tmp_path / "job")
+    options = SourceOptions(initial_position=TRIM_HORIZON)
+    for number in range(2):
+        append_slice(log.where(F.expr(f"cast(sequence_number as bigint) % 2 = {number}")), place, number)
+        start = lambda: start_processors(read_records(spark, place, job, options), totals(), job, options, once=True)
+        if number:
+            drop_folder(spark, f"{job}/lives/batch_id=0")
+            with pytest.raises(Exception, match="no states stored"):
+                start().awaitTermination()
+        else:
+            start().awaitTermination()
