@@ -164,6 +164,22 @@ ORACLES: dict[str, str] = {
                max(sequence_number) as last_sequence_number
         from b group by 1, 2""",
     ),
+    "fetch_batches_full": _with(
+        _REC,
+        select="""
+        , p as (
+          select shard_id, sequence_number, row_number() over w - 1 as n, coalesce(strlen(data), 0) as size,
+                 sum(coalesce(strlen(data), 0)) over w as upto
+          from rec window w as (partition by shard_id order by sequence_number)),
+        f as (
+          select shard_id, 0::bigint as fetch_no, 0::bigint as n, 0::bigint as before from rec group by 1
+          union all
+          select f.shard_id, f.fetch_no + 1, min(p.n), arg_min(p.upto - p.size, p.n)::bigint
+          from f join p using (shard_id)
+          where p.n > f.n and (p.n = f.n + 120 or p.upto > f.before + 4000) group by f.shard_id, f.fetch_no)
+        select p.shard_id, fetch_no, count(*) as records, max(sequence_number) as last_sequence_number
+        from p asof join f on p.shard_id = f.shard_id and p.n >= f.n group by 1, 2""",
+    ).replace("with", "with recursive", 1),
     "record_sets": _with(
         _REC, _FE,
         select="""

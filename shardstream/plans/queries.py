@@ -25,6 +25,7 @@ from shardstream.functions.retry import (
 from shardstream.functions.routing import shard_of
 from shardstream.model import LATEST, RECORD, TRIM_HORIZON
 from shardstream.operators import fetch, lag, positions, progress, puts, quota
+from shardstream.operators.full_fetches import with_full_fetch
 from shardstream.operators.ordering import rank_by_sequence
 from shardstream.operators.processors import ShardProcessor, process_shards, shard_outputs, shard_states
 from shardstream.operators.sets import process_record_sets
@@ -269,6 +270,13 @@ def fetch_batches_by_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return fetch.fetch_summary(fetches).select("shard_id", "fetch_no", "records", "last_sequence_number")
 
 
+@query
+def fetch_batches_full(spark: SparkSession, folder: str) -> DataFrame:
+    """Fetches filled one after another up to both bounds, over blocks of rows."""
+    fetches = with_full_fetch(t.log(spark, folder), 120, max_bytes=4000, block_rows=SMALL_WINDOW)
+    return fetch.fetch_summary(fetches).select("shard_id", "fetch_no", "records", "last_sequence_number")
+
+
 @query
 def record_sets(spark: SparkSession, folder: str) -> DataFrame:
     """Sets as rows; the array is shown by its size, ends and a digest over its records in order."""

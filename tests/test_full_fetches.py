@@ -1,0 +1,62 @@
+"""Fetches filled up to both bounds, against cutting each shard from its start."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from shardstream.model import RECORD
+from shardstream.operators.fetch import fetch_summary
+from shardstream.operators.full_fetches import with_full_fetch
+from tests.helpers import records, rows
+
+
+def by_hand(sizes, max_records, max_bytes):
+    """The number of the fetch of each record of a shard."""
+    numbers, number, n, held = [], -1, 0, 0
+    for size in sizes:
+        if number < 0 or n == max_records or held + size > max_bytes:
+            number, n, held = number + 1, 0, 0
+        n, held = n + 1, held + size
+        numbers.append(number)
+    return numbers
+
+
+def made(spark, shards):
+    return records(spark, *((s, f"{k:05d}", "x" * n) for s, sizes in shards.items() for k, n in enumerate(sizes)))
+
+
+@pytest.mark.parametrize(
+    ("max_records", "max_bytes", "block_rows", "window_rows"),
+    [(7, 40, 7, None), (7, 40, 10, 50), (50, 33, 1, None), (3, 1000, 16, None), (1, 5, 1, None), (400, 1, 9, None), (20, 200, 500_000, None)],
+)
+def test_equal_to_a_cut_from_the_start(spark, max_records, max_bytes, block_rows, window_rows):
+    rng = random.Random(max_records)
+    shards = {"hot": [rng.choice((0, 0, 1, 3, 9, 41)) for _ in range(600)], "even": [10] * 123, "one": [99], "none": [0] * 30}
+    log = made(spark, shards).repartition(5)
+    got = with_full_fetch(log, max_records, max_bytes, window_rows, block_rows)
+    assert got.columns == [*log.columns, "fetch_no"]
+    want = [
+        (s, f"{k:05d}", no, sizes[k])
+        for s, sizes in shards.items()
+        for k, no in enumerate(by_hand(sizes, max_records, max_bytes))
+    ]
+    assert rows(got.select("shard_id", "sequence_number", "fetch_no", F.length("data"))) == sorted(
+        want, key=lambda r: tuple((True, str(v)) for v in r)
+    )
+
+
+def test_odd_records(spark):
+    assert with_full_fetch(spark.createDataFrame([], RECORD), 5, 10).count() == 0
+    log = made(spark, {"a": [4, 4, 4]}).withColumn("data", F.when(F.col("sequence_number") != "00001", F.col("data")))
+    log = log.unionByName(log).withColumns({"block": F.lit("b"), "size": F.lit(1), "position": F.lit(None).cast("string")})
+    got = with_full_fetch(log, 3, 8)
+    assert rows(fetch_summary(got), "fetch_no", "records") == [(0, 3), (1, 3)]
+    assert set(log.columns) < set(got.columns) and rows(got, "block", "size", "position") == [("b", 1, None)] * 6
+    with pytest.raises(ValueError, match="at least 1"):
+        with_full_fetch(log, 3, 0)
+
+
+def test_without_a_bound_of_bytes(spark, log):
+    sizes = fetch_summary(with_full_fetch(log, 60)).collect()
+    assert all(r.records <= 60 for r in sizes) and sum(r.records for r in sizes) == log.count()
