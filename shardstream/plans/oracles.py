@@ -89,6 +89,9 @@ ORACLES: dict[str, str] = {
                case shard_id when 'shard-3' then 'TERMINATE' else max(shutdown_reason) end as shutdown_reason
         from status left join rec using (shard_id) group by shard_id""",
     ),
+    "commit_what_was_read": _with(
+        _REC, select="select shard_id, count(*) as records, max(sequence_number) as sequence_number from rec group by shard_id"
+    ),
     "read_committable": _ENVELOPE,
     "read_changes": _with(
         _REC, select="select shard_id, sequence_number, user_id as id, event_type as value from rec"

@@ -8,6 +8,7 @@ from dataclasses import replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors.exceptions.captured import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -140,6 +141,29 @@ def read_records_progress(spark: SparkSession, folder: str) -> DataFrame:
     return current_progress(spark, f"{job}/progress").select("shard_id", "sequence_number", "shutdown_reason")
 
 
+@query
+def commit_what_was_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Records per shard of a consumer that reads each batch once, into its own folder, fails after handing it over and
+    starts again, with the progress it leaves behind."""
+    out, job = new_folder(spark, "commit_what_was_read"), new_folder(spark, "job")
+    write, failed = write_batches(out), []
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if not failed:
+            failed.append(batch_id)
+            raise InterruptedError("a job that ends before it commits")
+
+    for _ in range(2):
+        try:
+            _consume(spark, folder, t.as_log, deliver, job, repeatable=False)
+        except StreamingQueryException:
+            if len(failed) != 1:
+                raise
+    read = spark.read.parquet(out).groupBy("shard_id").agg(F.count("*").alias("records"))
+    return read.join(current_progress(spark, f"{job}/progress").select("shard_id", "sequence_number"), "shard_id")
+
+
 @query
 def read_committable(spark: SparkSession, folder: str) -> DataFrame:
     """Records with starting sequence and lag, constant over each fetch."""
@@ -166,10 +190,10 @@ def read_changes_committable(spark: SparkSession, folder: str) -> DataFrame:
     return decode_new_image(rows, t.IMAGE).select(*columns)
 
 
-def _consume(spark: SparkSession, folder: str, as_records, process, job: str, status=None) -> None:
+def _consume(spark: SparkSession, folder: str, as_records, process, job: str, status=None, **more) -> None:
     rows = t.events_stream(spark, folder)
     options = SourceOptions(initial_position=TRIM_HORIZON)
-    start_consumer(as_records(rows), process, job, options, status, once=True).awaitTermination()
+    start_consumer(as_records(rows), process, job, options, status, once=True, **more).awaitTermination()
 
 
 # Start positions

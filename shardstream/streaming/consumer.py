@@ -20,7 +20,7 @@ from shardstream.operators.positions import from_timestamp, shard_tips
 from shardstream.operators.progress import backward_progress, delivered_progress, invalid_progress
 from shardstream.operators.shards import join_shards
 from shardstream.session import settle
-from shardstream.sources.folders import batch_folder, is_complete, make_folder
+from shardstream.sources.folders import batch_folder, drop_batch, drop_folder, exists, is_complete, make_folder
 from shardstream.sources.index import in_slices, log_tips, read_index, slices, tips
 from shardstream.sources.log import in_shard_order, stream_folder, stream_log
 from shardstream.sources.options import Overrides, SourceOptions, resolve_options
@@ -92,6 +92,7 @@ def start_consumer(
     once: bool = False,
     in_order: bool = True,
     log: str | None = None,
+    repeatable: bool = True,
 ) -> StreamingQuery:
     """Run ``process`` on every micro-batch and commit what it handled.
 
@@ -103,10 +104,15 @@ def start_consumer(
     hands over committable records, cut into fetches; their lag is that behind the ends of the shards in ``log`` when the
     batch starts, which its index has (default: the folder that ``records`` are read from). For a stream that reads no
     log it is the lag inside the batch. ``once`` stops after the available data.
+
+    ``repeatable=False`` is for readers that may give something else when they are asked again, or are dear to ask: each
+    range is read once, into the job's folder, and handed over, committed and, after a failure, handed over again from there.
     """
     spark = records.sparkSession
     options = options or SourceOptions()
-    progress = f"{job.rstrip('/')}/progress"
+    progress, delivered = f"{job.rstrip('/')}/progress", f"{job.rstrip('/')}/delivered"
+    if not exists(spark, f"{job.rstrip('/')}/checkpoint"):
+        drop_folder(spark, delivered)  # of a job that has been reset
     started_at = current_progress(spark, progress)
     started_at = settle(started_at) if started_at is not None else None
     if with_envelope and log is None:
@@ -115,6 +121,8 @@ def start_consumer(
     def run(batch: DataFrame, batch_id: int) -> None:
         # Committing reads two narrow columns again, which is cheaper than keeping the payloads; only
         # envelopes read the batch often enough. The tables made here live until the batch ends.
+        if not repeatable:
+            batch = _read_once(batch, delivered, batch_id)
         if with_envelope:
             batch = batch.persist()
         reasons = status().persist() if status else None
@@ -142,6 +150,15 @@ def start_consumer(
     return writer.trigger(**({"availableNow": True} if once else options.trigger())).start()
 
 
+def _read_once(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """The batch as it was read first, whatever has failed since; the one before it, which is committed, is removed."""
+    spark, here = batch.sparkSession, batch_folder(folder, batch_id)
+    if not is_complete(spark, here):
+        batch.write.mode("overwrite").parquet(here)
+    drop_batch(spark, folder, batch_id - 1)
+    return spark.read.schema(batch.schema).parquet(here)
+
+
 def start_from_config(
     spark: SparkSession,
     log: str,

@@ -4,6 +4,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.errors.exceptions.captured import StreamingQueryException
 from pyspark.sql import functions as F
 
 from shardstream.model import TRIM_HORIZON
@@ -135,3 +136,61 @@ def test_failing_put_aborts_the_batch(spark, events, tmp_path):
     with pytest.raises(Exception, match="refused"):
         query.awaitTermination()
     assert (tmp_path / "aborted").read_text() == "0"
+
+
+def moody_reader(name, calls):
+    """A reader that notes every call, gives one record more each time it is asked for a shard, and never the same data."""
+
+    def tips(options):
+        return {"a": 5, "b": 5}
+
+    def fetch(options, shard, start, end):
+        from datetime import UTC, datetime
+        from pathlib import Path
+        from uuid import uuid4
+
+        asked = len(list(Path(calls).glob(f"{shard}-*")))
+        (Path(calls) / f"{shard}-{uuid4().hex}").touch()
+        for i in range(start + 1 + asked):
+            yield ("moody", shard, f"{i:06d}", "k", uuid4().hex.encode(), datetime(2024, 1, 1, tzinfo=UTC))
+
+    return reader_source(name, tips, fetch, range_size=5)
+
+
+@pytest.mark.parametrize("with_envelope", [False, True])
+def test_a_reader_that_does_not_repeat_is_asked_once(spark, tmp_path, with_envelope):
+    calls, job, out = tmp_path / "calls", str(tmp_path / "job"), str(tmp_path / "out")
+    calls.mkdir()
+    options, seen = SourceOptions(initial_position=TRIM_HORIZON), []
+
+    def process(batch, batch_id):
+        seen.append(rows(batch.select(F.decode("data", "UTF-8"))))
+        write_batches(out)(batch, batch_id)
+        if len(seen) == 1:
+            raise RuntimeError("after it was written")
+
+    source = moody_reader(f"moody_{with_envelope}".lower(), str(calls))
+    for fails in (True, False):
+        stream = read_custom(spark, source)
+        query = start_consumer(stream, process, job, options, with_envelope=with_envelope, repeatable=False)
+        try:
+            query.processAllAvailable()
+        except StreamingQueryException:
+            assert fails
+        query.stop()
+    assert len(list(calls.iterdir())) == 2  # one range of each shard
+    assert len(seen) == 2 and len(seen[0]) == 2 and seen[0] == seen[1] == rows(spark.read.parquet(out).select(F.decode("data", "UTF-8")))
+    done = rows(current_progress(spark, job + "/progress"), "shard_id", "sequence_number")
+    assert done == [("a", "000000"), ("b", "000000")]  # what it gave, not what it would give now
+
+
+def test_a_job_that_was_reset_reads_again(spark, tmp_path):
+    source, folder, job, out = file_reader("files_reset"), tmp_path / "in", tmp_path / "job", str(tmp_path / "out")
+    options = SourceOptions(initial_position=TRIM_HORIZON)
+    for lines in (["old"], ["new", "newer"]):
+        write(folder, a=lines)
+        query = start_consumer(read_custom(spark, source, folder=str(folder)), write_batches(out), str(job), options, repeatable=False)
+        query.processAllAvailable()
+        query.stop()
+        assert rows(spark.read.parquet(out).select(F.decode("data", "UTF-8"))) == sorted((x,) for x in lines)
+        (job / "checkpoint").rename(tmp_path / f"checkpoint-{lines[0]}")
