@@ -43,17 +43,31 @@ TEMPLATES = {
     " including without limitation the rights to use copy modify merge publish distribute sublicense and or sell"
     " copies of the software and to permit persons to whom the software is furnished to do so subject to the following"
     " conditions the above copyright notice and this permission notice <<optional>>including the next paragraph<<end>>"
-    " shall be included in all copies or substantial portions of the software",
+    " shall be included in all copies or substantial portions of the software the software is provided as is without"
+    " warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for"
+    " a particular purpose and noninfringement in no event shall <<words 1-8>> be liable for any claim damages or other"
+    " liability whether in an action of contract tort or otherwise arising from out of or in connection with the software"
+    " or the use or other dealings in the software",
     "isc-text": "permission to use copy modify and <<optional>>or<<end>> distribute this software for any purpose with or"
     " without fee is hereby granted provided that the above copyright notice and this permission notice appear in all"
-    " copies",
+    " copies the software is provided as is and <<words 1-8>> disclaims all warranties with regard to this software"
+    " including all implied warranties of merchantability and fitness in no event shall <<words 1-8>> be liable for any"
+    " special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or"
+    " profits whether in an action of contract negligence or other tortious action arising out of or in connection with"
+    " the use or performance of this software",
     "bsd-text": "redistribution and use in source and binary forms with or without modification are permitted provided"
     " that the following conditions are met <<optional>>1<<end>> redistributions of source code must retain the"
     " <<optional>>above<<end>> copyright notice this list of conditions and the following disclaimer"
     " <<optional>>2<<end>> redistributions in binary form must reproduce the above copyright notice this list of"
     " conditions and the following disclaimer in the documentation and or other materials provided with the distribution"
     " <<optional>><<optional>>3<<end>> neither the name of <<words 1-12>> nor the names of its contributors may be used"
-    " to endorse or promote products derived from this software without specific prior written permission<<end>>",
+    " to endorse or promote products derived from this software without specific prior written permission<<end>>"
+    " this software is provided by <<words 1-12>> as is and any express or implied warranties including but not limited to"
+    " the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall"
+    " <<words 1-12>> be liable for any direct indirect incidental special exemplary or consequential damages including but"
+    " not limited to procurement of substitute goods or services loss of use data or profits or business interruption"
+    " however caused and on any theory of liability whether in contract strict liability or tort including negligence or"
+    " otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
 }
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
