@@ -19,7 +19,6 @@ from shardstream.llm.common import Kept, add_columns, labelled_sample, map_rows,
 
 #: Labelled documents of each label that the lexicon and the curve are fitted on.
 MOST_LABELLED = 20_000
-MOST_TERMS = 20_000
 KEPT_CHUNKS = 120_000
 PREFIXES = range(3, 9)
 #: What a beginning of words needs: so many words of toxic documents, and this share of them in toxic documents.
@@ -91,13 +90,13 @@ def word_counts(known: DataFrame) -> DataFrame:
     )
 
 
-def fit_lexicon(known: DataFrame, most_terms: int = MOST_TERMS) -> dict[str, float]:
+def fit_lexicon(known: DataFrame) -> dict[str, float]:
     """Entries and weights. An entry begins with a space, one that is a whole word ends with one.
 
     An entry's share of toxic documents must be too high for chance among as many words as there are. The beginning of
     words is an entry if several words of toxic documents begin so. Of two entries of which one begins the other the
     less likely one by chance stays. The weight is the log odds of the share, drawn towards the share of all words
-    where support is small. At most ``most_terms`` entries are kept.
+    where support is small. What the driver gets is as bounded as the sample: an entry needs several toxic kinds of document.
     """
     counts = pin(word_counts(known), "words")
     total = counts.agg(F.count("*"), F.sum("toxic"), F.sum("clean")).first()
@@ -126,7 +125,7 @@ def fit_lexicon(known: DataFrame, most_terms: int = MOST_TERMS) -> dict[str, flo
     chosen = summed.filter(F.col("toxic") > 0).filter(F.when(F.col("term").endswith(" "), whole).otherwise(begins))
     chosen = chosen.withColumn("weight", F.log(drawn / (1 - drawn)) - float(np.log(base / (1 - base))))
     chosen = chosen.withColumn("surprise", surprise).filter(F.col("weight") >= LEAST_WEIGHT)
-    best = chosen.orderBy(F.desc("surprise"), F.desc(F.length("term")), "term").limit(most_terms).collect()
+    best = chosen.orderBy(F.desc("surprise"), F.desc(F.length("term")), "term").select("term", "weight").collect()
     lexicon: dict[str, float] = {}
     begun: set[str] = set()
     for term, weight in ((r.term, r.weight) for r in best):
@@ -138,7 +137,7 @@ def fit_lexicon(known: DataFrame, most_terms: int = MOST_TERMS) -> dict[str, flo
 
 
 def learned_exceptions(known: DataFrame, lexicon: dict[str, float]) -> list[str]:
-    """Pairs of neighbours that hold an entry and stand in at least three clean documents and in no toxic one."""
+    """All pairs of neighbours that hold an entry and stand in at least three clean documents and in no toxic one."""
     if not lexicon:
         return []
 
@@ -148,19 +147,20 @@ def learned_exceptions(known: DataFrame, lexicon: dict[str, float]) -> list[str]
         def pairs(text, label):
             found = set()
             words = folded(text or "", chunks)
-            for begin, end, _ in matcher.hits(words):
+            for begin, _, _ in matcher.hits(words):  # begin is the space before the word
+                end = words.find(" ", begin + 1)
                 left, right = words.rfind(" ", 0, begin), words.find(" ", end + 1)
-                if left > 0:
-                    found.add(words[words.rfind(" ", 0, left) + 1 : words.find(" ", begin + 1)])
+                if left >= 0:
+                    found.add(words[left + 1 : end])
                 if right > 0:
                     found.add(words[begin + 1 : right])
-            return [(p, label) for p in found if " " in p]
+            return [(p, label) for p in found]
 
         return pairs
 
     pairs = map_rows(known, ["text", "label"], "pair string, label int", start, many=True)
     counted = pairs.groupBy("pair").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
-    rows = counted.filter("toxic = 0 and n >= 3").orderBy(F.desc("n"), "pair").limit(MOST_TERMS).collect()
+    rows = counted.filter("toxic = 0 and n >= 3").select("pair").collect()
     return [r.pair for r in rows]
 
 

@@ -1,8 +1,11 @@
+import math
+import random
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
-from shardstream.llm.toxicity import Matcher, folded, score_toxicity
+from shardstream.llm.toxicity import EXCEPTIONS, Matcher, fit_lexicon, folded, learned_exceptions, measure, score_toxicity
 from tests.llm.data import documents, no_documents, odd_documents
 
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -46,6 +49,52 @@ def test_exceptions_and_word_borders():
     assert Matcher({}, ()).hits(folded("x")) == []
 
 
+def plain_hits(text, lexicon, exceptions):
+    """Weights of entries, by looking for each at every place of the folded text."""
+    words = folded(text or "")
+    places = lambda term: [k for k in range(len(words)) if words.startswith(term, k)]
+    spared = [(k, k + len(folded(e))) for e in exceptions for k in places(folded(e))]
+    hits = [(k, k + len(t), w) for t, w in lexicon.items() for k in places(t)]
+    return [w for a, b, w in hits if not any(x <= a and b <= y for x, y in spared)]
+
+
+def plain_exceptions(texts, lexicon):
+    """Neighbours of words that hold an entry outside exceptions, in three clean documents or more and in no toxic one."""
+    clean, toxic = {}, set()
+    for text, label in texts:
+        words = folded(text).split()
+        held = [any(f" {w} ".startswith(t) for t in lexicon) for w in words]
+        pairs = {f"{a} {b}" for a, b, x, y in zip(words, words[1:], held, held[1:], strict=False) if x or y}
+        for pair in pairs:
+            clean[pair] = clean.get(pair, 0) + 1
+        toxic |= pairs if label else set()
+    return {p for p, n in clean.items() if n >= 3} - toxic
+
+
+def test_scores_equal_a_plain_search_with_the_learned_lexicon(spark):
+    rng = random.Random(5)
+    calm, rude = ["".join(rng.choices("aeghnoprtu", k=5)) for _ in range(2000)], ["vile", "v1le", "scum", "SCUM"]
+    texts = []
+    for k in range(240):
+        label = k % 2
+        words = rng.choices(calm, k=rng.randrange(8, 20)) + (rng.choices(rude, k=3) if label else [])
+        rng.shuffle(words)
+        if k % 48 == 0:
+            words.append("scum bin")
+        texts.append((" ".join(words), label))
+    known = spark.createDataFrame(texts, "text string, label int")
+    lexicon = fit_lexicon(known)
+    assert lexicon and all(any(folded(w).strip() in t or t.strip() in folded(w) for w in rude) for t in lexicon)
+    exceptions = learned_exceptions(known, lexicon)
+    assert set(exceptions) == plain_exceptions(texts, lexicon) and "scum bin" in exceptions
+    tried = [t for t, _ in texts] + ["", "trash can", "scum bin scum", None]
+    rows = measure(documents(spark, tried), (lexicon, [*EXCEPTIONS, *exceptions]), "text").orderBy("doc_id").collect()
+    for text, row in zip(tried, rows, strict=True):
+        weights, n = plain_hits(text, lexicon, [*EXCEPTIONS, *exceptions]), len(folded(text or "").split())
+        assert (row.n_words, row.n_hits) == (n, len(weights)), text
+        assert row.density == pytest.approx(math.log1p(1000 * sum(weights) / max(n, 1)))
+
+
 def test_odd_rows(spark):
     labels = spark.createDataFrame([(0, 1, 0), (3, 1, 1), (None, 1, 1), (5, None, None)], LABELS)
     docs = odd_documents(spark)
