@@ -57,6 +57,25 @@ def test_odd_urls(spark):
     assert judge_pages(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_addresses_of_links_are_seeds(spark):
+    """Hosts without pages in the table count by what links say of them."""
+    links = {"ring.org": ["x.net/es/a", "x.net/es/b"], "mixed.org": ["y.net/fr/1", "y.net/ok"], "fine.org": ["y.net/other"], "own.net": ["own.net/es/"]}
+    pages = [(k, f"http://{h}/", "".join(f'<a href="https://{t}">' for t in to)) for k, (h, to) in enumerate(links.items())]
+    rows = {r.host: r for r in judge_pages(spark.createDataFrame(pages, PAGES)).collect()}
+    assert rows["ring.org"].distrust == pytest.approx(DAMPING, abs=0.01)  # all links to x.net are blocked
+    assert rows["mixed.org"].distrust == pytest.approx(DAMPING / 3 / 2, abs=0.01)  # one of three to y.net, half of its links
+    assert rows["own.net"].distrust == 0  # a host's links to itself say nothing
+    assert [rows[h].verdict for h in links] == ["block", "allow", "allow", "allow"]
+
+
+def test_rounds_end_by_themselves_on_a_ring(spark):
+    n = 30
+    pages = [(k, f"http://h{k}.{'com' if k == 0 else 'org'}/", f'<a href="//h{(k + 1) % n}.{"com" if (k + 1) % n == 0 else "org"}/">') for k in range(n)]
+    rows = {r.host: r.trust for r in judge_pages(spark.createDataFrame(pages, PAGES)).collect()}
+    for k in (0, 1, n - 1):
+        assert rows[f"h{k}.{'com' if k == 0 else 'org'}"] == pytest.approx(DAMPING**k / (1 - DAMPING**n), abs=0.01)
+
+
 def ranked(seeds, weights):
     """Scores of the dense recurrence score = seed + damping * passed."""
     scores = seeds.copy()
