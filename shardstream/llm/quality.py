@@ -2,7 +2,8 @@
 
 Two generative models over hashed n-grams are compared: the target model counts the n-grams of documents labelled
 good, the raw model those of all documents. An n-gram is a word, or the shapes of two neighbours in a row
-with whether each repeats the word before it. A document's weight is the mean log ratio of its n-grams.
+with whether each repeats the word before it. A document's weight is the mean log ratio of its n-grams. N-grams are
+counted in buckets, whose number grows with the corpus as its vocabulary does.
 """
 
 from __future__ import annotations
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 
 from shardstream.llm.common import Kept, add_columns, labelled_sample, pin
 
-WORD_BUCKETS, SHAPE_BUCKETS = 1 << 16, 1 << 14
-BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
+#: Buckets of words for each square root of a byte of text, which is how vocabularies grow, and at least so many.
+BUCKETS_PER_ROOT, LEAST_WORD_BUCKETS = 6, 1 << 16
+#: Buckets of words for each bucket of shapes.
+WORDS_PER_SHAPE = 4
 #: Labelled documents of each label that the target model and the cut are fitted on.
 MOST_LABELLED = 20_000
 TEMPERATURE = 0.02
@@ -42,10 +45,18 @@ def hashed_word(word: str) -> int:
     return xxhash.xxh64_intdigest(word.lower()) >> 16 << 16 | xxhash.xxh64_intdigest(shape(word)) >> 48
 
 
+def word_buckets(docs: DataFrame, text_col: str) -> int:
+    """The number of buckets of words for a corpus: a power of two in proportion to the square root of all its bytes."""
+    size = docs.agg(F.sum(F.octet_length(text_col).cast("double"))).first()[0] or 0.0
+    return max(LEAST_WORD_BUCKETS, 1 << round(float(np.log2(BUCKETS_PER_ROOT * np.sqrt(size) + 1))))
+
+
 class NGrams:
-    """Buckets of all n-grams of a text."""
+    """Buckets of all n-grams of a text: ``words`` buckets of words, and after them those of shapes."""
 
-    def __init__(self):
+    def __init__(self, words: int):
+        self.words, self.shapes = words, words // WORDS_PER_SHAPE
+        self.buckets = self.words + self.shapes
         self.hashed = Kept(hashed_word, KEPT_WORDS)
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -57,12 +68,12 @@ class NGrams:
         kind = kind * np.uint64(2) + repeats
         pairs = kind * np.uint64(0x9E3779B97F4A7C15)
         pairs[:-1] += kind[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
-        in_words = word % np.uint64(WORD_BUCKETS)
-        in_shapes = np.uint64(WORD_BUCKETS) + (pairs >> np.uint64(40)) % np.uint64(SHAPE_BUCKETS)
+        in_words = word % np.uint64(self.words)
+        in_shapes = np.uint64(self.words) + (pairs >> np.uint64(40)) % np.uint64(self.shapes)
         return np.concatenate([in_words, in_shapes]).astype(np.int64)
 
 
-def count_ngrams(docs: DataFrame, id_col: str, text_col: str, sample: DataFrame) -> DataFrame:
+def count_ngrams(docs: DataFrame, id_col: str, text_col: str, sample: DataFrame, words: int) -> DataFrame:
     """Counts of every bucket over all documents and over those of the sample labelled 1: (bucket, raw, target).
 
     Each task sums its documents up before anything is shuffled.
@@ -71,7 +82,8 @@ def count_ngrams(docs: DataFrame, id_col: str, text_col: str, sample: DataFrame)
     rows = rows.join(F.broadcast(sample), "labelled_id", "left").select("text", F.coalesce("label", F.lit(0)).alias("good"))
 
     def run(batches):
-        ngrams, counts = NGrams(), np.zeros((2, BUCKETS), np.int64)
+        ngrams = NGrams(words)
+        counts = np.zeros((2, ngrams.buckets), np.int64)
         for batch in batches:
             for text, good in zip(batch.column(0), batch.column(1), strict=True):
                 bucket, n = np.unique(ngrams(text.as_py()), return_counts=True)
@@ -87,23 +99,24 @@ def count_ngrams(docs: DataFrame, id_col: str, text_col: str, sample: DataFrame)
     return counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
-def fit_log_ratios(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> np.ndarray:
+def fit_log_ratios(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str, words: int) -> np.ndarray:
     """Log ratio of target and raw model for every bucket, smoothed by one count; zeros where nothing is labelled good."""
-    rows = count_ngrams(docs, id_col, text_col, sample).toArrow()  # at most BUCKETS rows
-    raw, target, bucket = np.zeros(BUCKETS), np.zeros(BUCKETS), rows["bucket"].to_numpy()
+    buckets = NGrams(words).buckets
+    rows = count_ngrams(docs, id_col, text_col, sample, words).toArrow()  # at most one row a bucket
+    raw, target, bucket = np.zeros(buckets), np.zeros(buckets), rows["bucket"].to_numpy()
     raw[bucket], target[bucket] = rows["raw"].to_numpy(), rows["target"].to_numpy()
     if not target.any():
-        return np.zeros(BUCKETS)
-    return np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
+        return np.zeros(buckets)
+    return np.log((target + 1) / (target.sum() + buckets)) - np.log((raw + 1) / (raw.sum() + buckets))
 
 
-def weigh(docs: DataFrame, log_ratios: np.ndarray, id_col: str, text_col: str, seed: int) -> DataFrame:
+def weigh(docs: DataFrame, log_ratios: np.ndarray, id_col: str, text_col: str, seed: int, words: int) -> DataFrame:
     """All columns, and ``n_grams``, ``log_ratio`` (the mean, 0 without n-grams) and ``gumbel``, a noise that the id, the
     text and the seed alone decide."""
     ratios = docs.sparkSession.sparkContext.broadcast(log_ratios)
 
     def start():
-        ngrams = NGrams()
+        ngrams = NGrams(words)
 
         def function(key, text):
             found = ngrams(text)
@@ -172,8 +185,9 @@ def resample(
     of at most ``most_labelled`` documents of each label.
     """
     sample = pin(labelled_sample(labels, "quality", most_labelled), "labelled")
-    log_ratios = fit_log_ratios(docs, sample, id_col, text_col)
-    weighed = weigh(docs.select(id_col, text_col), log_ratios, id_col, text_col, seed).drop(text_col)
+    words = word_buckets(docs, text_col)
+    log_ratios = fit_log_ratios(docs, sample, id_col, text_col, words)
+    weighed = weigh(docs.select(id_col, text_col), log_ratios, id_col, text_col, seed, words).drop(text_col)
     weighed = pin(weighed, "weights")
     cut = fit_cut(weighed, sample, id_col)
     good, key = F.col("log_ratio") >= F.lit(cut), F.col("log_ratio") / F.lit(temperature) + F.col("gumbel")
@@ -183,5 +197,5 @@ def resample(
     last = np.inf if last is None else last
     if not with_columns:
         return scored.withColumn("sampled", F.col("key") >= F.lit(last))
-    chosen = weigh(docs, log_ratios, id_col, text_col, seed).filter(key >= F.lit(last))
+    chosen = weigh(docs, log_ratios, id_col, text_col, seed, words).filter(key >= F.lit(last))
     return chosen.select(*docs.columns)

@@ -1,9 +1,14 @@
+import math
 import random
+from collections import Counter
 
+import numpy as np
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from shardstream.llm.quality import kth_largest, resample, shape
-from tests.llm.data import no_documents, odd_documents
+from shardstream.llm.quality import LEAST_WORD_BUCKETS, WORDS_PER_SHAPE, kth_largest, resample, shape, word_buckets
+from tests.llm.data import documents, no_documents, odd_documents
 
 LABELS = "doc_id bigint, quality int, toxic int"
 
@@ -34,6 +39,73 @@ def test_noise_is_gumbel(spark):
     assert abs(mean - 0.5772) < 0.08
 
 
+def plain_ngrams(text):
+    """Words, and pairs of neighbours' shapes with whether each repeats the word before it; no hashing."""
+    words = (text or "").split()
+    kinds = [(shape(w), k > 0 and w.lower() == words[k - 1].lower()) for k, w in enumerate(words)]
+    return [w.lower() for w in words] + list(zip(kinds, [*kinds[1:], None], strict=False))
+
+
+def plain_weights(texts, good, n_buckets):
+    """Mean log ratio of each text, from counts in dictionaries."""
+    raw, target = Counter(), Counter()
+    for key, text in texts.items():
+        raw.update(plain_ngrams(text))
+        if key in good:
+            target.update(plain_ngrams(text))
+    all_raw, all_target = sum(raw.values()) + n_buckets, sum(target.values()) + n_buckets
+    ratio = {g: math.log((target[g] + 1) / all_target) - math.log((raw[g] + 1) / all_raw) for g in raw}
+    return {k: float(np.mean([ratio[g] for g in grams])) if (grams := plain_ngrams(t)) else 0.0 for k, t in texts.items()}
+
+
+def plain_gumbel(key, text, seed):
+    drawn = (xxhash.xxh64_intdigest(f"{key}\0{text or ''}".encode(), seed) >> 11) + 0.5
+    return -math.log(-math.log(drawn / 2**53))
+
+
+@pytest.mark.parametrize(("seed", "temperature", "size"), [(0, 1.0, 25), (7, 0.3, 60), (3, 0.02, 1)])
+def test_weights_and_sample_equal_plain_gumbel_top_k(spark, seed, temperature, size):
+    rng = random.Random(seed)
+    vocabulary = ["the", "The", "river", "and", "stone", "of", "light", "BUY", "now!!", "$9", "click", "a1b2"]
+    texts = {}
+    for k in range(120):
+        mostly = vocabulary[:7] if k % 3 else vocabulary[5:]
+        texts[k] = " ".join(rng.choices(mostly, k=rng.randrange(0, 40))) or None
+    good = {k for k in texts if k % 3 == 1 and k < 60}
+    labels = spark.createDataFrame([(k, int(k in good), 0) for k in range(60) if k % 3 != 2], LABELS)
+    docs = documents(spark, list(texts.values()))
+    rows = {r.doc_id: r for r in resample(docs, labels, size=size, temperature=temperature, seed=seed).collect()}
+    weights = plain_weights(texts, good, LEAST_WORD_BUCKETS + LEAST_WORD_BUCKETS // WORDS_PER_SHAPE)
+    keys = {k: weights[k] / temperature + plain_gumbel(k, t, seed) for k, t in texts.items()}
+    for k in texts:
+        assert rows[k].log_ratio == pytest.approx(weights[k], abs=1e-9)
+        assert rows[k].key == pytest.approx(keys[k], abs=1e-6)
+    assert {k for k in rows if rows[k].sampled} == set(sorted(keys, key=keys.get)[-size:])
+
+
+def test_inclusion_is_that_of_a_plain_gumbel_top_k(spark):
+    """Of two kinds of text, the likelier one fills as much of the sample as independent Gumbel noise makes it fill."""
+    kinds, n, size = ("plain words of a river", "BUY now!! click $9"), 4000, 1000
+    docs = documents(spark, [kinds[k % 2] for k in range(n)])
+    labels = spark.createDataFrame([(k, 1 - k % 2, 0) for k in range(200)], LABELS)
+    rows = resample(docs, labels, size=size, temperature=2.0, seed=5).collect()
+    weight = {k: next(r.log_ratio for r in rows if r.doc_id % 2 == k) for k in (0, 1)}
+    assert weight[0] > weight[1]
+    rng, shares = np.random.default_rng(1), []
+    base = np.array([weight[k % 2] / 2.0 for k in range(n)])
+    for _ in range(200):
+        shares.append(np.mean(np.argsort(base + rng.gumbel(size=n))[-size:] % 2 == 0))
+    share = sum(r.sampled and r.doc_id % 2 == 0 for r in rows) / size
+    assert 0 < share < 1 and abs(share - np.mean(shares)) < 5 * np.std(shares)
+
+
+def test_buckets_grow_with_the_corpus(spark):
+    sizes = [spark.range(n).select(F.lit("x" * 10**6).alias("text")) for n in (0, 1, 1000, 4000, 16000)]
+    found = [word_buckets(s, "text") for s in sizes]
+    assert found[:2] == [LEAST_WORD_BUCKETS] * 2 and found[3] == 2 * found[2] and found[4] == 4 * found[2]
+    assert word_buckets(spark.createDataFrame([(None,)], "text string"), "text") == LEAST_WORD_BUCKETS
+
+
 def test_kth_largest(spark, monkeypatch):
     monkeypatch.setattr("shardstream.llm.quality.COLLECTED_KEYS", 20)
     rng = random.Random(3)
