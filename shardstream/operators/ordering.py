@@ -8,8 +8,9 @@ the same way, which cuts them again if there are too many of them.
 
 Buckets are counted, and those that are still too large are cut further. Where prefixes do not cut well, as with
 numbers of which nearly each has a prefix of its own, rows are cut at measured values instead: they are
-dealt out by range and written, and every partition is a bucket. Only rows that are equal in order and ties stay
-together, and within a shard there should be none.
+dealt out by range, sorted and written, and every partition is cut into buckets by the places of its rows. There are as
+many ranges as tasks need, however small the buckets are. Only rows that are equal in order and ties stay in one range,
+and within a shard there should be none.
 """
 
 from __future__ import annotations
@@ -33,10 +34,13 @@ DIGITS = 10
 TEXT = 16
 
 # Measured ranges are made for this part of the rows that a task may number, as samples place them roughly; and
-# for no fewer rows than this, so that there are always far fewer ranges than rows.
+# for no fewer rows than this, so that there are always far fewer ranges, and buckets of them, than rows.
 RANGE_SHARE = 3
 LEAST_RANGE = 4
 
+# ``monotonically_increasing_id`` has the place of a row in its partition in this many bits.
+PLACE_BITS = 33
+
 SUM = "sum"
 MAX = "max"
 
@@ -126,22 +130,28 @@ def _counted(start: str, known: str | None = None) -> Column:
 def _range(
     rows: DataFrame, by: Sequence[str], order: list[str], bucket: str, sums: Mapping[str, Scan], limit: int, n: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows dealt out by range and written, with the number of their partition, and the totals of every partition.
+    """Rows dealt out by range, sorted and written, with the bucket of their place, and the totals of every bucket.
 
-    The numbers of partitions are in the order of the rows. Where a sample has placed the ranges badly there are more
-    ranges the next time, until no partition is too large or more do not help.
+    The buckets of a partition hold ``limit`` rows each (``LEAST_RANGE`` at least), and are in the order of the rows. A
+    range is for a task, not for a bucket: a small ``limit`` does not make more ranges than ``WINDOW_ROWS`` asks for. Where
+    a sample has placed the ranges badly there are more the next time, until no partition is too large or more do not help.
     """
     keys = [*by, bucket]
-    parts = max(2, min(math.ceil(RANGE_SHARE * n / limit), n // LEAST_RANGE))
+    task, size = max(limit, WINDOW_ROWS), max(limit, LEAST_RANGE)
+    parts = max(2, min(math.ceil(RANGE_SHARE * n / task), n // LEAST_RANGE))
     former = math.inf
     while True:
-        ranged = rows.repartitionByRange(parts, *by, *order)
-        bucketed = store(ranged.withColumn(bucket, F.lpad(F.spark_partition_id().cast("string"), 10, "0")), "ranges")
-        totals = settle(_totals(bucketed, keys, sums))
-        largest = totals.agg(F.max("_rows")).first()[0]
-        if largest <= limit or largest >= former or parts >= n // LEAST_RANGE:
-            return bucketed, totals
+        ranged = rows.repartitionByRange(parts, *by, *order).sortWithinPartitions(*by, *order)
+        placed = store(ranged.withColumn(bucket, F.monotonically_increasing_id()), "ranges")
+        part, place = F.shiftright(bucket, PLACE_BITS), F.col(bucket).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+        largest = placed.agg(F.max(place)).first()[0] + 1
+        if largest <= task or largest >= former or parts >= n // LEAST_RANGE:
+            break
         former, parts = largest, min(2 * parts, n // LEAST_RANGE)
+    chunk = F.floor(place / F.lit(size)).cast("bigint")
+    digits = [F.lpad(x.cast("string"), len(str(most)), "0") for x, most in ((part, parts), (chunk, largest // size))]
+    bucketed = placed.withColumn(bucket, F.concat(*digits))
+    return bucketed, settle(_totals(bucketed, keys, sums))
 
 
 def _totals(bucketed: DataFrame, keys: Sequence[str], sums: Mapping[str, Scan]) -> DataFrame:

@@ -197,3 +197,13 @@ def test_all_rows_equal(spark, window_rows):
     assert [r[0] for r in rows(with_position(made).withColumn("position", F.col("position").cast("int")), "position")] == sorted(
         range(50), key=str
     )
+
+
+def test_small_windows_do_not_make_more_ranges_than_tasks_need(spark):
+    """A range is a task and a file: there must not be one for every few rows."""
+    made = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("sequence_number"))
+    bucketed, totals = _range(made, [], ["sequence_number"], "b", {"n": Scan(F.lit(1).cast("bigint"))}, 16, 20_000)
+    assert totals.agg(F.max("_rows"), F.sum("_rows")).first() == (16, 20_000)
+    assert len(bucketed.inputFiles()) <= 10
+    spans = rows(bucketed.groupBy("b").agg(F.min("sequence_number"), F.max("sequence_number")))
+    assert all(a[2] < b[1] for a, b in zip(spans, spans[1:], strict=False))
