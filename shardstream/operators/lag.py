@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shardstream.operators.fetch import fetch_summary
 from shardstream.operators.positions import shard_tips, with_starting_sequence
 from shardstream.operators.shards import join_shards, join_small
+from shardstream.session import settle
 
 
 def behind_ms(last: Column | str, tip: Column | str) -> Column:
@@ -34,7 +35,8 @@ def committable(
     that payloads move for the numbering of fetches only.
     """
     tips = shard_tips(fetches) if tips is None else tips
-    last = fetch_summary(fetches).select("shard_id", "fetch_no", F.col("last_arrival_ts").alias("_last"))
-    marked = join_small(fetches, last, ["shard_id", "fetch_no"])
+    keys = ["shard_id", "fetch_no"]
+    last = settle(fetch_summary(fetches).select(*keys, F.col("last_arrival_ts").alias("_last"), F.col("records").alias("_rows")))
+    marked = join_small(fetches, last.drop("_rows"), keys, settled=True, sizes=last)
     behind = with_millis_behind(marked, tips, "_last", settled=settled).drop("_last")
     return with_starting_sequence(behind, progress, settled)

@@ -187,14 +187,14 @@ def _cut(
         large = totals.where(F.col("_rows") > limit).select(*keys, "_rows")
         if large.isEmpty():
             return bucketed, totals
-        inside = join_small(bucketed.select(*keys, order), large, keys, "inner", salt_by=order, settled=True)
+        inside = join_small(bucketed.select(*keys, order), large, keys, "inner", salt_by=order, settled=True, sizes=large)
         ends = inside.groupBy(*keys, "_rows").agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
         more = F.ceil(F.log(float(TEXT), F.col("_rows") / F.lit(limit)))
         next_length = (_shared(F.col("_low"), F.col("_high")) + more).cast("int").alias("_next")
         deeper = settle(ends.where(F.col("_low") < F.col("_high")).select(*keys, next_length))
         if deeper.isEmpty():
             return bucketed, totals
-        bucketed = join_small(bucketed, deeper, keys, salt_by=order, settled=True)
+        bucketed = join_small(bucketed, deeper, keys, salt_by=order, settled=True, sizes=large)
         cut = F.when(F.col("_next").isNull(), F.col(bucket)).otherwise(F.substring(value, F.lit(1), F.col("_next")))
         bucketed = bucketed.withColumn(bucket, cut).drop("_next")
 

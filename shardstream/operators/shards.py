@@ -13,7 +13,8 @@ from shardstream.session import settle
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Copies of a larger table, so that the rows of one key go to this many tasks.
+# A key with more rows than this is hot: its row of a larger table is copied, so that its rows go to this many tasks.
+HOT_ROWS = 200_000
 SALTS = 64
 
 
@@ -31,11 +32,13 @@ def join_small(
     how: str = "left",
     salt_by: str = "sequence_number",
     settled: bool = False,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` with a table that has one row per ``keys``, adding the table's other columns.
 
     The table is settled (unless it already is) and measured: if it is small it is broadcast and
-    ``rows`` do not move. Otherwise both sides are shuffled by key and salt, which spreads a hot key.
+    ``rows`` do not move. Otherwise both sides are shuffled by key, and by a salt too where a key is hot. Only rows of the table
+    with hot keys are copied for that. ``sizes`` has the ``_rows`` of every key, where these are known; else they are counted.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"join_small does left and inner joins, not {how!r}")
@@ -45,9 +48,17 @@ def join_small(
     if fits_broadcast(table):
         joined = rows.join(F.broadcast(table), [*keys], how)
     else:
-        salt = F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int")
-        copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = rows.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how)
+        if sizes is None:
+            sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        hot = settle(sizes.where(F.col("_rows") > HOT_ROWS).select(*keys, F.lit(True).alias("_hot")))
+        if hot.isEmpty():
+            joined = rows.join(table, [*keys], how)
+        else:
+            marked, copied = (side.join(F.broadcast(hot), [*keys], "left") for side in (rows, table))
+            salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int")).otherwise(0)
+            salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+            copies = copied.withColumn("_salt", F.explode(salts)).drop("_hot")
+            joined = marked.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how)
     return joined.select(*columns)
 
 
