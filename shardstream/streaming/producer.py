@@ -151,6 +151,12 @@ def spread_writers(requests: DataFrame, settings: PutSettings) -> DataFrame:
     return requests.repartition(settings.parallelism, F.xxhash64("request_id"))
 
 
+def spread_unlimited(requests: DataFrame) -> DataFrame:
+    """Deal requests out evenly to all cores: a file of new ones beside small ones of retries is all but one task."""
+    tasks = max(requests.sparkSession.sparkContext.defaultParallelism, requests.rdd.getNumPartitions())
+    return requests.repartition(tasks, F.xxhash64("request_id"))
+
+
 class _Pace:
     """Holds calls back, so that records and bytes of one writer stay within its part of the limits per second."""
 
@@ -245,7 +251,8 @@ def _put_until_done(
                 f" {said['error_code']} ({said['error_message']})"
             )
         waiting = waiting[failed & ~spent]
-        pauses = np.array([delay_ms(policy.strategy, policy.base_ms, int(a)) for a in made[waiting]], dtype=np.float64)
+        tries, of_try = np.unique(made[waiting], return_inverse=True)
+        pauses = np.array([delay_ms(policy.strategy, policy.base_ms, int(a)) for a in tries], dtype=np.float64)[of_try]
         soon = pauses <= longest_pause_ms
         waiting = waiting[soon]
         if len(waiting):

@@ -22,7 +22,7 @@ from shardstream.functions.retry import delay_after_ms
 from shardstream.model import PUT_RESULT
 from shardstream.operators.quota import PutSettings
 from shardstream.sources.folders import children, publish
-from shardstream.streaming.producer import RAISE, PutFunction, identify_requests, put_through
+from shardstream.streaming.producer import RAISE, PutFunction, identify_requests, put_through, spread_unlimited
 
 #: Where final results stand; a waiting record stands under the millisecond it is due, which comes after this.
 FINAL = 0
@@ -110,6 +110,8 @@ class PutQueue:
 
     def _write(self, asked: DataFrame, made: Round) -> None:
         policy = self.settings.retry
+        if not self.limit_writers:  # what is read may be a file or two, and a round waits for its last task
+            asked = spread_unlimited(asked)
         results = put_through(
             asked, self.put, self.settings, self.on_exhausted, AT_ONCE_ONLY, self.limit_writers, with_requests=True
         )

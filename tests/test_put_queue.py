@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pytest
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
@@ -204,3 +204,20 @@ def test_requests_without_ids_and_without_payload(spark, tmp_path):
 def test_nothing_yet(spark, tmp_path):
     queue = PutQueue(spark, str(tmp_path / "job"), service(tmp_path), settings())
     assert queue.results().count() == 0 and queue.unfinished() is None and queue.drain() == 0
+
+
+def test_without_limits_the_requests_of_one_file_are_put_by_many_tasks(spark, tmp_path):
+    def put(batch):
+        with open(tmp_path / "tasks", "a") as tasks:
+            tasks.writelines(f"{TaskContext.get().partitionId()} {a}\n" for a in batch["attempt"].to_pylist())
+        return answer(batch)
+
+    answer = service(tmp_path)
+    write(spark, tmp_path / "in", {f"r{i}": i % 2 for i in range(200)})
+    queue = PutQueue(spark, str(tmp_path / "job"), put, settings(), limit_writers=False, clock=Hand())
+    queue.put_all(stream(spark, tmp_path / "in"))
+    assert results(queue) == {f"r{i}": (True, 1 + i % 2) for i in range(200)}
+    tasks = Counter(tuple(line.split()) for line in (tmp_path / "tasks").read_text().splitlines())
+    for attempt, records in (("1", 200), ("2", 100)):
+        of_task = [n for (_, a), n in tasks.items() if a == attempt]
+        assert len(of_task) > 4 and sum(of_task) == records and max(of_task) < records / 2
