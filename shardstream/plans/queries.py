@@ -26,6 +26,7 @@ from shardstream.functions.retry import (
 from shardstream.functions.routing import shard_of
 from shardstream.model import LATEST, RECORD, TRIM_HORIZON
 from shardstream.operators import fetch, lag, positions, progress, puts, quota
+from shardstream.operators.different import count_different
 from shardstream.operators.full_fetches import with_full_fetch
 from shardstream.operators.ordering import rank_by_sequence
 from shardstream.operators.processors import ShardProcessor, process_shards, shard_outputs, shard_states
@@ -466,12 +467,10 @@ def put_stream(spark: SparkSession, folder: str) -> DataFrame:
     stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", 1).parquet(source)
     start_producer(stream, log, job, t.SHARDS, once=True).awaitTermination()
     put = spark.read.schema(f"{RECORD}, request_id string").parquet(log)
-    return put.groupBy("shard_id").agg(
-        F.count(F.lit(1)).alias("results"),
-        F.countDistinct("request_id").alias("request_ids"),
-        F.countDistinct("sequence_number").alias("sequence_numbers"),
-        F.countDistinct("batch_id").alias("batches"),
-    )
+    counted = put.groupBy("shard_id").agg(F.count(F.lit(1)).alias("results"), F.countDistinct("batch_id").alias("batches"))
+    for column, name in (("request_id", "request_ids"), ("sequence_number", "sequence_numbers")):
+        counted = counted.join(count_different(put, "shard_id", column, name), "shard_id")
+    return counted.select("shard_id", "results", "request_ids", "sequence_numbers", "batches")
 
 
 def _failing_put(batch: pa.Table) -> pa.Table:
