@@ -15,6 +15,9 @@ from pyspark.sql.types import StructType
 from shardstream.session import new_folder
 
 ROWS_AT_ONCE = 128
+#: Rows of whole texts that Spark hands to Python at a time, where all else is at its default of 10 000.
+TEXTS_AT_ONCE = 4 * ROWS_AT_ONCE
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +39,21 @@ def pin(table: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(table.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that are started meanwhile hand at most ``TEXTS_AT_ONCE`` rows at a time to Python.
+
+    Executor and worker each hold a batch whole, which for a partition of texts is all of them.
+    """
+    before = spark.conf.get(BATCH_CONF)
+    most = int(before)
+    spark.conf.set(BATCH_CONF, str(min(most, TEXTS_AT_ONCE) if most > 0 else TEXTS_AT_ONCE))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, before)
+
+
 #: Lists that hear of every folder pinned while they are in here.
 _NOTED: list[list[str]] = []
 

@@ -20,13 +20,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardstream.llm.common import Kept, map_rows, pin
+from shardstream.llm.common import Kept, map_rows, pin, small_batches
 from shardstream.llm.components import connected_components
 from shardstream.llm.fingerprints import mixed
 
 WORDS, PERCENT = 5, 80
 #: Entries of the table of counts that orders shingles: what is broadcast has this size however large the input.
 COUNTERS = 1 << 20
+#: Counters that one row holds where tasks hand theirs over: rows, and groups to sum up, are so many times fewer.
+COUNTERS_A_ROW = 32
 KEPT_WORDS = 120_000
 SECOND = np.uint64(0x9E3779B97F4A7C15)
 
@@ -54,21 +56,27 @@ def prefix_length(n: int, percent: int) -> int:
 
 def count_shingles(docs: DataFrame, size: int) -> np.ndarray:
     """How many documents have a shingle, summed over all shingles with the same low bits."""
+    columns = [f"n{k}" for k in range(COUNTERS_A_ROW)]
 
     def run(batches):
         shingles, counts = Shingles(size), np.zeros(COUNTERS, np.int64)
         for batch in batches:
             for text in batch.column(0):
                 np.add.at(counts, (shingles(text.as_py()) & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
-        place = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(counts[place])], ["place", "n"])
-
-    counted = docs.select("text").mapInArrow(run, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
-    counted = counted.select("place", F.least("n", F.lit(2**31 - 1)).cast("int").alias("n"))
-    rows = counted.toArrow()  # at most COUNTERS rows
-    table = np.zeros(COUNTERS, np.int32)
-    table[rows["place"].to_numpy()] = rows["n"].to_numpy()
-    return table
+        counts = counts.reshape(-1, COUNTERS_A_ROW)
+        place = np.flatnonzero(counts.any(axis=1))
+        made = [pa.array(place.astype(np.int32)), *(pa.array(counts[place, k]) for k in range(COUNTERS_A_ROW))]
+        yield pa.RecordBatch.from_arrays(made, ["place", *columns])
+
+    counted = docs.select("text").mapInArrow(run, ", ".join(["place int", *(f"{c} bigint" for c in columns)]))
+    counted = counted.groupBy("place").agg(*(F.sum(c).alias(c) for c in columns))
+    counted = counted.select("place", *(F.least(c, F.lit(2**31 - 1)).cast("int").alias(c) for c in columns))
+    with small_batches(docs.sparkSession):
+        rows = counted.toArrow()  # at most COUNTERS / COUNTERS_A_ROW rows
+    table = np.zeros((COUNTERS // COUNTERS_A_ROW, COUNTERS_A_ROW), np.int32)
+    for k, c in enumerate(columns):
+        table[rows["place"].to_numpy(), k] = rows[c].to_numpy()
+    return table.reshape(-1)
 
 
 def ordered_prefixes(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
@@ -123,11 +131,16 @@ def may_link(percent: int, n: Column, at: Column, other_n: Column, other_at: Col
     return similar_sizes & (F.least(n - at, other_n - other_at) >= needed)
 
 
-def links_of(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) of ids that link: both random orders let them through and whole sets are compared."""
+def links_of(pairs: DataFrame, docs: DataFrame, size: int, percent: int, repeats: bool) -> DataFrame:
+    """Those of the pairs (a, b) of ids that link: both random orders let them through and whole sets are compared.
+
+    Sets are brought together and compared, to leave one of each that an id has, only where ``repeats`` says that ids repeat.
+    """
     pairs = pin(pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     ids = pin(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidates")
-    sets = pin(whole_sets(docs, ids, size, percent).dropDuplicates(["id", "tokens"]), "sets")
+    sets = whole_sets(docs, ids, size, percent)
+    with small_batches(docs.sparkSession):
+        sets = pin(sets.dropDuplicates(["id", "tokens"]) if repeats else sets, "sets")
 
     def beside(table: DataFrame, columns: list[str]) -> DataFrame:
         for side in "ab":
@@ -156,8 +169,11 @@ def jaccard_groups(
     gives an empty table; other columns are not read.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = pin(ordered_prefixes(docs, count_shingles(docs, size), size, percent), "prefixes")
+    counts = count_shingles(docs, size)
+    with small_batches(docs.sparkSession):
+        rows = pin(ordered_prefixes(docs, counts, size, percent), "prefixes")
     linkable = rows.filter("id is not null and n > 0")
+    repeats = not linkable.groupBy("id").agg(F.count("*").alias("m")).filter("m > 1").isEmpty()
     # Copies meet here; all but the one with the smallest id are left behind.
     reps = linkable.groupBy("digest").agg(F.min("id").alias("rep"), F.min_by(F.struct("n", "first"), "id").alias("set"))
     reps = pin(reps.select("digest", "rep", "set.n", "set.first"), "classes")
@@ -172,7 +188,7 @@ def jaccard_groups(
     other = F.col("pivot")
     close = may_link(percent, F.col("n"), F.col("at"), other["n"], other["at"])
     stars = postings.join(pivot, "token").filter(close).select(F.col("id").alias("a"), other["id"].alias("b"))
-    links = pin(links_of(stars, docs, size, percent), "links")
+    links = pin(links_of(stars, docs, size, percent, repeats), "links")
 
     found = connected_components(links)
     grouped = postings.join(found.withColumnRenamed("node", "id"), "id", "left")
@@ -186,7 +202,7 @@ def jaccard_groups(
     across = (F.col("component") != F.col("a_component")) & ((F.col("component") == F.col("main")) | (F.col("a_id") < F.col("id")))
     close = may_link(percent, F.col("n"), F.col("at"), F.col("a_n"), F.col("a_at"))
     rest = few.join(grouped, "token").filter(across & close).select(F.col("a_id").alias("a"), F.col("id").alias("b"))
-    links = links.unionByName(links_of(rest, docs, size, percent))
+    links = links.unionByName(links_of(rest, docs, size, percent, repeats))
 
     # An id that stands for several sets links their classes.
     classes = linkable.select("id", "digest").distinct().join(reps.select("digest", "rep"), "digest")

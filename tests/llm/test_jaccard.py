@@ -2,10 +2,13 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 
+from shardstream.llm import jaccard
+from shardstream.llm.common import BATCH_CONF, TEXTS_AT_ONCE
 from shardstream.llm.components import connected_components
-from shardstream.llm.jaccard import jaccard_groups
+from shardstream.llm.jaccard import COUNTERS, Shingles, count_shingles, jaccard_groups
 from tests.llm.data import documents, no_documents, odd_documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -72,6 +75,35 @@ def test_an_id_of_several_texts_joins_their_groups(spark):
     assert {(r.doc_id, r.component_id) for r in jaccard_groups(docs).collect()} == {(5, 2), (2, 2), (9, 2)}
 
 
+@pytest.mark.parametrize("repeats", [False, True])
+def test_texts_go_in_small_batches_and_sets_are_compared_only_where_ids_repeat(spark, monkeypatch, repeats):
+    words = [f"w{k}" for k in range(80)]
+    texts = [" ".join([*words[:k], f"x{k}", *words[k + 1 :]]) for k in range(0, 80, 20)]
+    ids, pinned, pin = [3, 1, 4, 1 if repeats else 2], [], jaccard.pin
+
+    def noted(table, purpose):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        pinned.append((purpose, int(spark.conf.get(BATCH_CONF)), "Aggregate" in plan))
+        return pin(table, purpose)
+
+    monkeypatch.setattr(jaccard, "pin", noted)
+    before = spark.conf.get(BATCH_CONF)
+    docs = documents(spark, texts, ids)
+    assert {r.component_id for r in jaccard_groups(docs).collect()} == {1}
+    assert spark.conf.get(BATCH_CONF) == before
+    assert [most <= TEXTS_AT_ONCE for what, most, _ in pinned if what in ("prefixes", "sets")] == [True] * 3
+    assert [compared for what, _, compared in pinned if what == "sets"] == [repeats] * 2
+
+
+def test_counts_of_shingles(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    by_hand, shingles = np.zeros(COUNTERS, np.int64), Shingles(5)
+    for row in docs.select("text").collect():
+        np.add.at(by_hand, (shingles(row.text) & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
+    assert (count_shingles(docs.repartition(3), 5) == by_hand).all()
+    assert not count_shingles(docs.limit(0), 5).any()
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(k, k + 1) for k in range(100, 140)] + [(0, k) for k in range(1, 30)] + [(7, 7), (200, 201), (201, 200)]
