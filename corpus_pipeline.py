@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import shardstream
-from shardstream.llm.common import drop_pins, noted_pins, pin, read_table
+from shardstream.llm.common import drop_pins, noted_pins, pin, read_table, small_batches
 from shardstream.llm.jaccard import jaccard_groups
 from shardstream.llm.packing import pack_documents
 from shardstream.llm.pii import redact
@@ -51,14 +51,16 @@ def in_turn(stage: Stage) -> Stage:
 @in_turn
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that importance resampling takes: as many as reach the cut fitted on the labels."""
-    return resample(docs, read_table(spark, sf_dir, "labels"), with_columns=True)
+    with small_batches(spark):
+        return pin(resample(docs, read_table(spark, sf_dir, "labels"), with_columns=True), "good")
 
 
 @in_turn
 def civil_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are not predicted toxic; rows with null texts and rows that repeat an id are scored like others."""
-    scored = score_toxicity(docs, read_table(spark, sf_dir, "labels"))
-    return scored.filter("predicted = 0").select(*docs.columns)
+    with small_batches(spark):
+        scored = score_toxicity(docs, read_table(spark, sf_dir, "labels"))
+        return pin(scored.filter("predicted = 0").select(*docs.columns), "civil")
 
 
 @in_turn

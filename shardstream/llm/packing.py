@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shardstream.llm.common import arrow_schema, map_rows, partitions, pin
+from shardstream.llm.common import arrow_schema, map_rows, partitions, pin, small_batches
 
 SIZE, END_ID = 4096, 1
 KEPT_WORDS = 160_000
@@ -62,17 +62,18 @@ class Recent(dict):
 
 class WordIds:
     """Ids of texts as little-endian 32-bit numbers. What is between white space is looked up while it is kept, else
-    put together from its words; a word is run through the vocabulary's merges.
+    put together from its words, which one table holds too; a word is run through the vocabulary's merges.
 
     That is done for vocabularies of the rules above only; with any other, every text goes to the tokenizer as it is.
     """
 
     def __init__(self, tokenizer, by_words: bool):
         self.tokenizer, self.by_words = tokenizer, by_words
-        self.chunks, self.words = Recent(self._chunk, KEPT_WORDS), Recent(self._word, KEPT_WORDS)
+        self.known = Recent(self._chunk, KEPT_WORDS)
 
     def _chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, WORDS.findall(chunk)))
+        words = WORDS.findall(chunk)  # a word by itself is found as it is
+        return self._word(chunk) if len(words) == 1 else b"".join(map(self.known.__getitem__, words))
 
     def _word(self, word: str) -> bytes:
         shown = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(SHOWN)
@@ -83,7 +84,7 @@ class WordIds:
         """Ids of a whole text. Any text that is not plain goes to the tokenizer as it is."""
         if not self.by_words or "<|" in text or not PLAIN.fullmatch(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.chunks.__getitem__, text.lower().split()))
+        return b"".join(map(self.known.__getitem__, text.lower().split()))
 
 
 def shown_bytes() -> dict[int, int]:
@@ -254,5 +255,6 @@ def pack_documents(
     stay null; an empty table gives no pieces; other columns are not read. The texts are read once: only the
     narrow rows of the pieces are written, shuffled and joined.
     """
-    pieces = pin(cut_documents(docs, tokenizer_file, size, end_id, id_col, text_col), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = pin(cut_documents(docs, tokenizer_file, size, end_id, id_col, text_col), "pieces")
     return place_pieces(pieces, size, (id_col, "piece", "ids_crc32"))

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardstream.llm.common import Kept, add_columns, labelled_sample, pin
+from shardstream.llm.common import Kept, add_columns, labelled_sample, pin, small_batches
 
 #: Buckets of words for each square root of a byte of text, which is how vocabularies grow, and at least so many.
 BUCKETS_PER_ROOT, LEAST_WORD_BUCKETS = 6, 1 << 16
@@ -102,7 +102,8 @@ def count_ngrams(docs: DataFrame, id_col: str, text_col: str, sample: DataFrame,
 def fit_log_ratios(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str, words: int) -> np.ndarray:
     """Log ratio of target and raw model for every bucket, smoothed by one count; zeros where nothing is labelled good."""
     buckets = NGrams(words).buckets
-    rows = count_ngrams(docs, id_col, text_col, sample, words).toArrow()  # at most one row a bucket
+    with small_batches(docs.sparkSession):
+        rows = count_ngrams(docs, id_col, text_col, sample, words).toArrow()  # at most one row a bucket
     raw, target, bucket = np.zeros(buckets), np.zeros(buckets), rows["bucket"].to_numpy()
     raw[bucket], target[bucket] = rows["raw"].to_numpy(), rows["target"].to_numpy()
     if not target.any():
@@ -188,7 +189,8 @@ def resample(
     words = word_buckets(docs, text_col)
     log_ratios = fit_log_ratios(docs, sample, id_col, text_col, words)
     weighed = weigh(docs.select(id_col, text_col), log_ratios, id_col, text_col, seed, words).drop(text_col)
-    weighed = pin(weighed, "weights")
+    with small_batches(docs.sparkSession):
+        weighed = pin(weighed, "weights")
     cut = fit_cut(weighed, sample, id_col)
     good, key = F.col("log_ratio") >= F.lit(cut), F.col("log_ratio") / F.lit(temperature) + F.col("gumbel")
     scored = weighed.select(id_col, "n_grams", "log_ratio", good.alias("good"), key.alias("key"))

@@ -86,6 +86,14 @@ def test_a_full_table_keeps_what_is_used_again():
     assert made == [0, 1, 2, 3, 4, 5, 6]
 
 
+def test_a_word_is_held_once():
+    words = encoder(open(FILE, encoding="utf-8").read())
+    text = "one two, it's one two one's !'' ''s 7 77"
+    assert words.ids(text) == np.array(ids(words.tokenizer, text)[:-1], "<u4").tobytes()
+    held = [key for table in vars(words).values() if isinstance(table, Recent) for key in table]
+    assert len(held) == len(set(held)) and {"one", "two", "two,", ",", "'s", "77", "7"} <= set(held)
+
+
 def plain_best_fit(lengths, size):
     rooms = []
     for length in sorted(lengths, reverse=True):

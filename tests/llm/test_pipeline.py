@@ -3,7 +3,8 @@ from pathlib import Path
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
-from shardstream.llm.common import noted_pins
+from shardstream.llm import packing, quality
+from shardstream.llm.common import BATCH_CONF, TEXTS_AT_ONCE, noted_pins
 from tests.llm.data import odd_documents
 from tests.llm.test_jaccard import by_hand
 from tests.llm.test_pii import by_hand as private_by_hand
@@ -57,6 +58,23 @@ def test_pins_go_when_the_next_stage_begins(spark, small):
         assert written.count() == 50
 
 
+def test_texts_go_to_python_in_small_batches(spark, small, monkeypatch):
+    pinned, before = {}, spark.conf.get(BATCH_CONF)
+
+    def noted(table, purpose, pin=corpus_pipeline.pin):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        pinned[purpose] = int(spark.conf.get(BATCH_CONF)), "MapInArrow" in plan
+        return pin(table, purpose)
+
+    for module in (corpus_pipeline, packing, quality):
+        monkeypatch.setattr(module, "pin", noted)
+    corpus_pipeline.run(spark, small).count()
+    assert spark.conf.get(BATCH_CONF) == before
+    assert {"weights", "good", "civil", "pieces"} <= {what for what, (_, python) in pinned.items() if python}
+    # What follows the pieces moves no texts.
+    assert {what for what, (most, python) in pinned.items() if python and most > TEXTS_AT_ONCE} == {"stage-packing"}
+
+
 def test_rows_that_repeat_and_nulls(spark, small):
     docs = odd_documents(spark).unionByName(odd_documents(spark))
     for _, stage in corpus_pipeline.STAGES[:-1]:
